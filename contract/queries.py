@@ -43,10 +43,9 @@ def query(name: str) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = function(spark, sf_dir)
-            return df.select(*[
-                (F.date_format(F.col(f"`{f.name}`"), "yyyy-MM-dd")
-                 if isinstance(f.dataType, T.DateType) else F.col(f"`{f.name}`")
-                 ).alias(f.name.replace(".", "_"))
+            return df.selectExpr(*[
+                (f"date_format(`{f.name}`, 'yyyy-MM-dd')" if isinstance(f.dataType, T.DateType)
+                 else f"`{f.name}`") + f" AS `{f.name.replace('.', '_')}`"
                 for f in df.schema.fields
             ])
 

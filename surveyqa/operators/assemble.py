@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,11 +92,7 @@ def locate(tables: SurveyTables, variables: Iterable[str]) -> frozenset[TableKey
 
 
 def _pick(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in dict.fromkeys(columns)])
-
-
-def _all(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
+    return df.selectExpr(*[f"`{c}`" for c in dict.fromkeys(columns)])
 
 
 def finished_filter(columns: Iterable[str]) -> Column | None:
@@ -124,8 +119,8 @@ def within(day: Column, start: str, end: str) -> Column:
 
 def live_cases(households: DataFrame, cases: DataFrame) -> DataFrame:
     """Households whose case is not deleted."""
-    live = cases.filter(F.col(fv.DELETED) == 0).select(F.col(fv.CASE_TABLE_KEY).alias("_case"))
-    return households.join(live, F.col(f"`{fv.CASE_KEY}`") == F.col("_case")).drop("_case")
+    live = cases.filter(f"{fv.DELETED} = 0").selectExpr(f"{fv.CASE_TABLE_KEY} AS `{fv.CASE_KEY}`")
+    return households.join(live, fv.CASE_KEY)
 
 
 def assemble(
@@ -198,16 +193,11 @@ def assemble(
     if finished is not None:
         base = base.filter(finished)
     last_date = fv.START_DATE[max(rounds)]
-    person = F.col(fv.PERSON) if fv.PERSON in provider else F.lit(0)
-    return base.select(
-        F.col(f"`{fv.HOUSEHOLD_KEY}`"),
-        F.col(last_date).alias(fv.DATE),
-        *[F.col(c) for c in (fv.INTERVIEWER, *fv.CARTOGRAPHY)],
-        person.alias(fv.PERSON),
-        *[
-            F.col(f"`{c}`") for c in dict.fromkeys(variables)
-            if c not in (fv.PERSON, fv.DATE, fv.INTERVIEWER, fv.HOUSEHOLD_KEY, *fv.CARTOGRAPHY)
-        ],
+    fixed = (fv.HOUSEHOLD_KEY, fv.DATE, fv.INTERVIEWER, *fv.CARTOGRAPHY, fv.PERSON)
+    return base.selectExpr(
+        f"`{fv.HOUSEHOLD_KEY}`", f"{last_date} AS {fv.DATE}", fv.INTERVIEWER, *fv.CARTOGRAPHY,
+        fv.PERSON if fv.PERSON in provider else f"0 AS {fv.PERSON}",
+        *[f"`{c}`" for c in dict.fromkeys(variables) if c not in fixed],
     )
 
 

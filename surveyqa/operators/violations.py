@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # Rules held by one 64-bit word of flags; the sign bit stays unused.
 WORD = 60
@@ -55,10 +55,8 @@ def passes(predicates: Sequence[Predicate]) -> list[list[Predicate]]:
     return out
 
 
-def _flag(predicate: Predicate, bit: int) -> Column:
-    return F.when(F.expr(predicate.sql), F.lit(1 << bit).cast("long")).otherwise(
-        F.lit(0).cast("long")
-    )
+def _quoted(names: Sequence[str]) -> list[str]:
+    return [f"`{name}`" for name in names]
 
 
 def flag_words(base: DataFrame, predicates: Sequence[Predicate]) -> tuple[DataFrame, list[str]]:
@@ -69,57 +67,44 @@ def flag_words(base: DataFrame, predicates: Sequence[Predicate]) -> tuple[DataFr
     large for the JIT compiler once there are dozens of rules.
     """
     df = base
+    columns = _quoted(base.columns)
     words: list[str] = []
     for start in range(0, len(predicates), WORD):
         word = f"_w{len(words)}"
-        words.append(word)
         bit = 0
-        for n, step in enumerate(_steps(predicates[start:start + WORD])):
-            flags = F.lit(0).cast("long") if n == 0 else F.col(word)
+        for step in _steps(predicates[start:start + WORD]):
+            flags = [word] if bit else []
             for predicate in step:
-                flags = flags.bitwiseOR(_flag(predicate, bit))
+                flags.append(f"if({predicate.sql}, {1 << bit}L, 0L)")
                 bit += 1
-            others = [F.col(f"`{c}`") for c in df.columns if c != word]
-            df = df.select(*others, F.explode(F.array(flags)).alias(word))
+            df = df.selectExpr(*columns, *words, f"explode(array({' | '.join(flags)})) AS {word}")
+        words.append(word)
     return df, words
 
 
 def broken_rules(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
-    """One row per base row and rule that holds: the kept columns and ``rule_position``.
+    """One row per base row and rule that holds: the kept columns and ``rule_id``.
 
     One scan of the base. Rows that break no rule are dropped before anything is multiplied.
     """
     flagged, words = flag_words(base, predicates)
-    kept = [F.col(f"`{c}`") for c in keep]
-    any_flag = F.lit(False)
-    for word in words:
-        any_flag = any_flag | (F.col(word) != 0)
-    by_word = (
-        flagged.filter(any_flag)
-        .select(*kept, F.posexplode(F.array(*[F.col(w) for w in words])).alias("_word", "_flags"))
-        .filter(F.col("_flags") != 0)
-    )
-    bits = F.sequence(F.lit(0), F.lit(min(WORD, len(predicates)) - 1))
+    kept = _quoted(keep)
+    last_bit = min(WORD, len(predicates)) - 1
+    ids = ", ".join(str(p.rule_id) for p in predicates)
     return (
-        by_word.select(*kept, "_word", "_flags", F.explode(bits).alias("_bit"))
-        .filter(F.expr("shiftright(_flags, _bit) & 1L = 1L"))
-        .select(*kept, (F.col("_word") * WORD + F.col("_bit")).alias("rule_position"))
+        flagged.filter(" OR ".join(f"{word} <> 0L" for word in words))
+        .selectExpr(*kept, f"posexplode(array({', '.join(words)})) AS (_word, _flags)")
+        .filter("_flags <> 0L")
+        .selectExpr(*kept, "_word", "_flags", f"explode(sequence(0, {last_bit})) AS _bit")
+        .filter("shiftright(_flags, _bit) & 1L = 1L")
+        .selectExpr(*kept, f"element_at(array({ids}), _word * {WORD} + _bit + 1) AS rule_id")
     )
 
 
 def evaluate(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
     """``keep`` and ``rule_id`` for every base row and rule that holds for it."""
-    spark = base.sparkSession
-    out = None
-    for group in passes(predicates):
-        rows = broken_rules(base, group, keep)
-        ids = F.array(*[F.lit(p.rule_id) for p in group])
-        named = rows.select(
-            *[F.col(f"`{c}`") for c in keep],
-            F.element_at(ids, F.col("rule_position") + 1).alias("rule_id"),
-        )
-        out = named if out is None else out.unionByName(named)
-    if out is None:
-        schema = base.select(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("rule_id")).schema
-        return spark.createDataFrame([], schema)
-    return out
+    if not predicates:
+        return base.selectExpr(*_quoted(keep), "0 AS rule_id").limit(0)
+    return reduce(
+        DataFrame.unionAll, [broken_rules(base, group, keep) for group in passes(predicates)]
+    )

@@ -74,14 +74,32 @@ def route_rule(
     )
 
 
-def check_rule(base: DataFrame, predicate: Predicate) -> None:
-    """Let Spark resolve the predicate; no job runs."""
+def check_rule(base: DataFrame, *predicates: Predicate) -> None:
+    """Let Spark resolve the predicates; no job runs."""
     try:
-        base.select(F.expr(predicate.sql).cast("boolean"))
+        base.selectExpr(*[f"if({predicate.sql}, 1, 0)" for predicate in predicates])
     except (AnalysisException, ParseException) as error:
         raise ConditionError(str(error).splitlines()[0]) from error
 
 
+def accepted_rules(
+    base: DataFrame, rules: Sequence[RoutedRule], failed: list[tuple[Row, str]]
+) -> list[RoutedRule]:
+    """The rules Spark accepts on a base; one by one only if together they are refused."""
+    try:
+        check_rule(base, *[rule.predicate for rule in rules])
+        return list(rules)
+    except ConditionError:
+        accepted = []
+        for rule in rules:
+            try:
+                check_rule(base, rule.predicate)
+                accepted.append(rule)
+            except ConditionError as error:
+                failed.append((rule.row, str(error)))
+        return accepted
+
+
 def route_all(
     tables: SurveyTables, rows: Sequence[Row], condition_of: Callable[[Row], str],
     extra_of: Callable[[Row], Sequence[str]] = lambda row: (),
@@ -112,13 +130,7 @@ def build_bases(
         except ConditionError as error:
             failed += [(rule.row, str(error)) for rule in rules]
             continue
-        accepted = []
-        for rule in rules:
-            try:
-                check_rule(base, rule.predicate)
-                accepted.append(rule)
-            except ConditionError as error:
-                failed.append((rule.row, str(error)))
+        accepted = accepted_rules(base, rules, failed)
         if accepted:
             out.append((base, accepted))
     return out
@@ -143,9 +155,15 @@ def _rule_details(spark: SparkSession, rules: Sequence[RoutedRule]) -> DataFrame
 def with_rule_details(hits: DataFrame, rules: Sequence[RoutedRule]) -> DataFrame:
     """Hits (identity columns and ``rule_id``) as violations, columns in report order."""
     details = F.broadcast(_rule_details(hits.sparkSession, rules))
-    joined = hits.join(details, "rule_id").withColumn("COMENTARIOS", F.lit(None).cast("string"))
-    return joined.select(*[
-        F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schemas.VIOLATIONS
+    return as_violations(hits.join(details, "rule_id"))
+
+
+def as_violations(df: DataFrame) -> DataFrame:
+    """Columns in report order and type; the comment is left for the analyst."""
+    return df.selectExpr(*[
+        f"CAST({'NULL' if f.name == 'COMENTARIOS' else f'`{f.name}`'} AS {f.dataType.simpleString()})"
+        f" AS `{f.name}`"
+        for f in schemas.VIOLATIONS
     ])
 
 
@@ -189,7 +207,7 @@ def filter_rule(
     ])
     base = assemble(tables, rule.needed, rule.predicate.variables, start, end)
     check_rule(base, rule.predicate)
-    return base.filter(F.expr(rule.predicate.sql)).select(*[F.col(f"`{c}`") for c in columns])
+    return base.filter(rule.predicate.sql).selectExpr(*[f"`{c}`" for c in columns])
 
 
 def cross_module_check(
@@ -205,11 +223,9 @@ def cross_module_check(
     labelled = persons.withColumnRenamed("member", fv.PERSON).withColumns({
         "CAPITULO": F.lit(fv.CROSS_CHAPTER), "SECCION": F.lit(fv.CROSS_SECTION),
         "PREGUNTA": F.lit(fv.CROSS_QUESTION), fv.DEFINITION: F.lit(fv.CROSS_DEFINITION),
-        fv.CODE: F.lit(fv.CROSS_CODE), "COMENTARIOS": F.lit(None).cast("string"),
+        fv.CODE: F.lit(fv.CROSS_CODE),
     })
-    return labelled.select(*[
-        F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schemas.VIOLATIONS
-    ])
+    return as_violations(labelled)
 
 
 OPEN_TEXT = tuple(
