@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from surveyqa import fixed_values as fv
 from surveyqa.functions.dates import parse_survey_date
 from surveyqa.operators.conditions import ConditionError
+from surveyqa.operators.violations import Predicate, flagged_rows
 
 TableKey = tuple[str, str]
 
@@ -91,10 +92,6 @@ def locate(tables: SurveyTables, variables: Iterable[str]) -> frozenset[TableKey
     return frozenset(needed)
 
 
-def _pick(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return df.selectExpr(*[f"`{c}`" for c in dict.fromkeys(columns)])
-
-
 def finished_filter(columns: Iterable[str]) -> Column | None:
     """The test for a finished interview, chosen by the columns the base has."""
     present = set(columns)
@@ -123,6 +120,40 @@ def live_cases(households: DataFrame, cases: DataFrame) -> DataFrame:
     return households.join(live, fv.CASE_KEY)
 
 
+def needed_rounds(needed: Iterable[TableKey]) -> list[str]:
+    return sorted({survey_round for _, survey_round in needed} or {fv.FIRST_ROUND})
+
+
+def control_keys(rounds: Iterable[str]) -> list[TableKey]:
+    return [(names[r], r) for r in rounds for names in (fv.TIME_TABLE, fv.STATE_TABLE)]
+
+
+def join_order(tables: SurveyTables, needed: Iterable[TableKey]) -> list[TableKey]:
+    """The tables of a base; of two that hold the same column the earlier one provides it."""
+    rounds = needed_rounds(needed)
+    control = control_keys(rounds)
+    levels = {(fv.HOUSEHOLD_TABLE, r) for r in fv.ROUNDS}
+    questions = sorted(set(needed) - set(control) - levels, key=tables.rank)
+    return [(fv.HOUSEHOLD_TABLE, rounds[0]), *questions, *control]
+
+
+def providers(tables: SurveyTables, needed: Iterable[TableKey]) -> dict[str, TableKey]:
+    """Which table of the base each column is read from."""
+    found: dict[str, TableKey] = {}
+    for key in join_order(tables, needed):
+        for column in tables.columns(key):
+            found.setdefault(column, key)
+    return found
+
+
+@dataclass(frozen=True)
+class EarlyFlags:
+    """Rules whose variables all come from one table, to be evaluated on it before any join."""
+
+    table: TableKey
+    predicates: Sequence[Predicate]
+
+
 def assemble(
     tables: SurveyTables,
     needed: Iterable[TableKey],
@@ -130,6 +161,7 @@ def assemble(
     start: str | None = None,
     end: str | None = None,
     person_keys: Sequence[str] = (fv.HOUSEHOLD_KEY,),
+    early: EarlyFlags | None = None,
 ) -> DataFrame:
     """The base for rules that need the given tables, filtered and pruned to what they use.
 
@@ -138,39 +170,36 @@ def assemble(
     The narrow one-row-per-household tables are joined and filtered first, the case join last among
     them. Person tables come next, so that a hot household sits in a join whose two sides are both
     fresh shuffles, which adaptive execution can split. ``person_keys`` may add CP when two person
-    tables describe the same persons; on the household alone each pairs with each.
+    tables describe the same persons; on the household alone each pairs with each. With ``early``
+    only the rows of its table that break a rule are joined, and the flag words are kept.
     """
     needed = set(needed)
-    rounds = {survey_round for _, survey_round in needed} or {fv.FIRST_ROUND}
-    base_round = fv.FIRST_ROUND if fv.FIRST_ROUND in rounds else fv.SECOND_ROUND
-    base_key = (fv.HOUSEHOLD_TABLE, base_round)
-    control: list[TableKey] = []
-    for survey_round in sorted(rounds):
-        control += [
-            (fv.TIME_TABLE[survey_round], survey_round), (fv.STATE_TABLE[survey_round], survey_round)
-        ]
-    questions = sorted(needed - set(control) - {(fv.HOUSEHOLD_TABLE, r) for r in fv.ROUNDS}, key=tables.rank)
-    order = [base_key, *questions, *control]
-
-    # Left table wins where two hold the same column.
-    provider: dict[str, TableKey] = {}
-    for key in order:
-        for column in tables.columns(key):
-            provider.setdefault(column, key)
+    rounds = needed_rounds(needed)
+    order = join_order(tables, needed)
+    base_key, control = order[0], control_keys(rounds)
+    questions = [key for key in order[1:] if key not in control]
+    provider = providers(tables, needed)
     wanted = dict.fromkeys([*fv.CARTOGRAPHY, fv.INTERVIEWER, *variables])
     missing = [c for c in wanted if c not in provider and c not in (fv.PERSON, fv.DATE)]
     if missing:
         raise ConditionError(f"no needed table holds {', '.join(missing)}")
     status = [c for c in (fv.PERSON_STATUS, *fv.STATE.values()) if c in provider]
-    dates = [fv.START_DATE[r] for r in sorted(rounds)]
+    dates = [fv.START_DATE[r] for r in rounds]
+    words: list[str] = []
 
     def part(key: TableKey) -> DataFrame:
         own = [c for c, owner in provider.items() if owner == key]
-        used = [c for c in own if c in wanted or c in status or c in dates or c == fv.PERSON]
         keys = [fv.HOUSEHOLD_KEY] + ([fv.CASE_KEY] if key == base_key else [])
         if len(person_keys) > 1 and fv.PERSON in tables.columns(key):
             keys.append(fv.PERSON)
-        df = _pick(tables.tables[key], [*keys, *used])
+        used = [c for c in own if c in wanted or c in status or c in dates or c == fv.PERSON]
+        used = list(dict.fromkeys([*keys, *used]))
+        df = tables.tables[key]
+        if early is not None and key == early.table:
+            df, found = flagged_rows(df, early.predicates, used)
+            words.extend(found)
+        else:
+            df = df.selectExpr(*[f"`{c}`" for c in used])
         if key in control and fv.START_DATE[key[1]] in used:
             date = fv.START_DATE[key[1]]
             df = df.withColumn(date, parse_survey_date(F.col(date)))
@@ -184,7 +213,7 @@ def assemble(
     finished = finished_filter(provider)
     if finished is not None and all(provider[c] in (base_key, *control) for c in status):
         households, finished = households.filter(finished), None
-    base = live_cases(households, tables.tables[(fv.CASES_TABLE, base_round)])
+    base = live_cases(households, tables.tables[(fv.CASES_TABLE, rounds[0])])
     persons = [k for k in questions if fv.PERSON in tables.columns(k)]
     others = [k for k in questions if k not in persons]
     for n, key in enumerate([*persons, *others]):
@@ -192,12 +221,11 @@ def assemble(
         base = base.join(part(key), list(person_keys) if both_persons else [fv.HOUSEHOLD_KEY])
     if finished is not None:
         base = base.filter(finished)
-    last_date = fv.START_DATE[max(rounds)]
     fixed = (fv.HOUSEHOLD_KEY, fv.DATE, fv.INTERVIEWER, *fv.CARTOGRAPHY, fv.PERSON)
     return base.selectExpr(
-        f"`{fv.HOUSEHOLD_KEY}`", f"{last_date} AS {fv.DATE}", fv.INTERVIEWER, *fv.CARTOGRAPHY,
+        f"`{fv.HOUSEHOLD_KEY}`", f"{dates[-1]} AS {fv.DATE}", fv.INTERVIEWER, *fv.CARTOGRAPHY,
         fv.PERSON if fv.PERSON in provider else f"0 AS {fv.PERSON}",
-        *[f"`{c}`" for c in dict.fromkeys(variables) if c not in fixed],
+        *[f"`{c}`" for c in dict.fromkeys(variables) if c not in fixed], *words,
     )
 
 

@@ -25,7 +25,11 @@ def member_pairs(
     left: DataFrame, right: DataFrame, key: str, left_member: str, right_member: str,
     carry: Sequence[str],
 ) -> DataFrame:
-    """Distinct (household, member) pairs, with the side or sides they occur on."""
+    """Distinct (household, member) pairs, with the side or sides they occur on.
+
+    The pair is one struct key. Grouped by two columns, the pairs would stay where the joins before
+    put their household, in a single task for a hot one; a struct spreads them by pair.
+    """
     member_type = left.select(_name(left_member)).schema[0].dataType
     absent = {c: left.schema[c].dataType for c in carry}
     sides = left.select(
@@ -38,11 +42,15 @@ def member_pairs(
     ))
     return (
         sides.filter(F.col("_member").isNotNull())
-        .groupBy(_name(key), "_member")
+        .groupBy(F.struct(_name(key), F.col("_member")).alias("_pair"))
         .agg(
             F.max("_in_left").alias("_in_left"), F.max("_in_right").alias("_in_right"),
             *[F.min(_name(c)).alias(c) for c in carry],
         )
+        .select(
+            F.col("_pair")[key].alias(key), F.col("_pair._member").alias("_member"), "_in_left",
+            "_in_right", *[_name(c) for c in carry],
+        )
     )
 
 
@@ -71,11 +79,12 @@ def set_mismatch(
             F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
         )
     )
+    # Two details keep both uses of the pairs alike, so that Spark aggregates the pairs once: the
+    # salt is never NULL (no extra filter on the members), and least(), which is the household's own
+    # minimum, reads the pair's values too (no column is left out).
     different = pairs.filter(differs).withColumn(
-        "_salt", F.pmod(F.hash("_member"), F.lit(salts))
+        "_salt", F.coalesce(F.pmod(F.hash("_member"), F.lit(salts)), F.lit(0))
     )
-    # least() is the household's own minimum. Reading the pair's value too keeps the two uses of
-    # the pairs alike, and Spark then aggregates them once.
     return different.join(summary, [key, "_salt"]).select(
         _name(key),
         *[F.least(_name(c), _name(f"_{c}")).alias(c) for c in carry],

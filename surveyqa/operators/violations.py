@@ -82,18 +82,24 @@ def flag_words(base: DataFrame, predicates: Sequence[Predicate]) -> tuple[DataFr
     return df, words
 
 
-def broken_rules(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
-    """One row per base row and rule that holds: the kept columns and ``rule_id``.
-
-    One scan of the base. Rows that break no rule are dropped before anything is multiplied.
-    """
+def flagged_rows(
+    base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """Rows that break some rule: the kept columns and the flag words."""
     flagged, words = flag_words(base, predicates)
+    broken = flagged.filter(" OR ".join(f"{word} <> 0L" for word in words))
+    return broken.selectExpr(*_quoted(keep), *words), words
+
+
+def expand_flags(
+    flagged: DataFrame, words: Sequence[str], predicates: Sequence[Predicate], keep: Sequence[str]
+) -> DataFrame:
+    """One row per flagged row and rule that holds for it: the kept columns and ``rule_id``."""
     kept = _quoted(keep)
     last_bit = min(WORD, len(predicates)) - 1
     ids = ", ".join(str(p.rule_id) for p in predicates)
     return (
-        flagged.filter(" OR ".join(f"{word} <> 0L" for word in words))
-        .selectExpr(*kept, f"posexplode(array({', '.join(words)})) AS (_word, _flags)")
+        flagged.selectExpr(*kept, f"posexplode(array({', '.join(words)})) AS (_word, _flags)")
         .filter("_flags <> 0L")
         .selectExpr(*kept, "_word", "_flags", f"explode(sequence(0, {last_bit})) AS _bit")
         .filter("shiftright(_flags, _bit) & 1L = 1L")
@@ -101,6 +107,15 @@ def broken_rules(base: DataFrame, predicates: Sequence[Predicate], keep: Sequenc
     )
 
 
+def broken_rules(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
+    """One row per base row and rule that holds: the kept columns and ``rule_id``.
+
+    One scan of the base. Rows that break no rule are dropped before anything is multiplied.
+    """
+    flagged, words = flagged_rows(base, predicates, keep)
+    return expand_flags(flagged, words, predicates, keep)
+
+
 def evaluate(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
     """``keep`` and ``rule_id`` for every base row and rule that holds for it."""
     if not predicates:

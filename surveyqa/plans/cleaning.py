@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from surveyqa import fixed_values as fv
@@ -13,8 +13,7 @@ from surveyqa import schemas
 from surveyqa.operators.assemble import SurveyTables, TableKey, locate
 from surveyqa.operators.conditions import ConditionError
 from surveyqa.operators.corrections import apply_corrections, clean_corrections, corrections_sql
-from surveyqa.operators.violations import evaluate
-from surveyqa.plans.validate import build_bases, filter_rule, route_all, rule_rows
+from surveyqa.plans.validate import RoutedRule, filter_rule, route_all, rule_hits, rule_rows
 
 PLACE = (*fv.CARTOGRAPHY, fv.PERSON)
 
@@ -63,19 +62,23 @@ def cleaning_extract(
     """
     spark = criteria.sparkSession
     rows = rule_rows(criteria)
+
+    def exports(row: Row) -> list[str]:
+        return [v for v in variable_list(row[fv.CLEANING_VARIABLES]) if v not in PLACE]
+
+    def exported_by(rule: RoutedRule) -> list[str]:
+        return exports(rule.row)
+
     by_tables, failed = route_all(
-        tables, rows, lambda row: row[fv.CLEANING_CONDITION],
-        lambda row: [v for v in variable_list(row[fv.CLEANING_VARIABLES]) if v not in PLACE],
+        tables, rows, lambda row: row[fv.CLEANING_CONDITION], exports
     )
     extract = None
-    for base, accepted in build_bases(tables, by_tables, start, end, failed):
+    for hits, accepted in rule_hits(tables, by_tables, PLACE, start, end, failed, exported_by):
         exported: dict[str, list[int]] = {}
         for rule in accepted:
-            for variable in variable_list(rule.row[fv.CLEANING_VARIABLES]):
-                if variable not in PLACE:
-                    exported.setdefault(variable, []).append(rule.rule_id)
+            for variable in exported_by(rule):
+                exported.setdefault(variable, []).append(rule.rule_id)
         needed = accepted[0].needed
-        hits = evaluate(base, [r.predicate for r in accepted], [*PLACE, *exported])
         names = F.broadcast(spark.createDataFrame(
             [(r.rule_id, r.row[fv.CLEANING_NAME]) for r in accepted], "rule_id int, nombre string"
         ))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException, ParseException
@@ -13,10 +14,19 @@ from pyspark.sql import types as T
 
 from surveyqa import fixed_values as fv
 from surveyqa import schemas
-from surveyqa.operators.assemble import SurveyTables, TableKey, assemble, live_cases, locate
+from surveyqa.operators.assemble import (
+    EarlyFlags,
+    SurveyTables,
+    TableKey,
+    assemble,
+    live_cases,
+    locate,
+    providers,
+)
 from surveyqa.operators.checks import TextCheck, poor_answers, recently_visited, set_mismatch
 from surveyqa.operators.conditions import ConditionError, compile_condition, condition_names
-from surveyqa.operators.violations import Predicate, evaluate
+from surveyqa.operators.violations import Predicate, evaluate, expand_flags, passes
+from surveyqa.session import staged
 
 # The rule sheet is written by hand and read by the driver; a larger table is not a rule sheet.
 MAX_RULES = 20_000
@@ -52,7 +62,10 @@ def rule_rows(rules: DataFrame, limit: int = MAX_RULES) -> list[Row]:
 def route_rule(
     tables: SurveyTables, rule_id: int, row: Row, condition: str, extra: Sequence[str] = ()
 ) -> RoutedRule:
-    """Compile one rule against the tables holding its variables, or raise ``ConditionError``."""
+    """Compile one rule against the tables holding its variables, or raise ``ConditionError``.
+
+    ``extra`` are further variables whose tables the base must have.
+    """
     known = {name.upper(): name for key in tables.tables for name in tables.columns(key)}
     names = [known.get(name.upper()) for name in condition_names(condition or "")]
     variables = [name for name in dict.fromkeys([*names, *extra]) if name]
@@ -67,9 +80,9 @@ def route_rule(
     types |= tables.columns((fv.HOUSEHOLD_TABLE, base_round)) | synthetic
     types.setdefault(fv.PERSON, T.IntegerType())
     compiled = compile_condition(condition, types)
-    used = tuple(dict.fromkeys([*compiled.variables, *extra]))
     return RoutedRule(
-        rule_id, row, needed, Predicate(rule_id, compiled.sql, compiled.comparisons, used),
+        rule_id, row, needed,
+        Predicate(rule_id, compiled.sql, compiled.comparisons, compiled.variables),
         compiled.warnings,
     )
 
@@ -117,23 +130,59 @@ def route_all(
     return by_tables, failed
 
 
-def build_bases(
+def home_table(tables: SurveyTables, rule: RoutedRule) -> TableKey | None:
+    """The question table that all variables of a rule are read from, if there is one."""
+    provider = providers(tables, rule.needed)
+    homes = {provider.get(v) for v in rule.predicate.variables}
+    home = homes.pop() if len(homes) == 1 else None
+    return home if home in rule.needed and home[0] != fv.HOUSEHOLD_TABLE else None
+
+
+def rule_hits(
     tables: SurveyTables, by_tables: dict[frozenset[TableKey], list[RoutedRule]],
-    start: str | None, end: str | None, failed: list[tuple[Row, str]],
-) -> list[tuple[DataFrame, list[RoutedRule]]]:
-    """One base per table set, with the rules Spark accepts on it."""
-    out = []
+    keep: Sequence[str], start: str | None, end: str | None, failed: list[tuple[Row, str]],
+    exports: Callable[[RoutedRule], Sequence[str]] = lambda rule: (), work_dir: str | None = None,
+) -> Iterator[tuple[DataFrame, list[RoutedRule]]]:
+    """Hits and their rules, by the tables the rules need: ``keep``, the exports and ``rule_id``.
+
+    A rule on the columns of one table is evaluated on that table, and only rows that break a rule
+    are shuffled to meet their household. Other rules are evaluated on the joined base; with
+    ``work_dir`` a base that takes several passes is written there once.
+    """
     for needed, rules in by_tables.items():
-        variables = dict.fromkeys(v for rule in rules for v in rule.predicate.variables)
         try:
-            base = assemble(tables, needed, variables, start, end)
+            assemble(tables, needed, ())
         except ConditionError as error:
             failed += [(rule.row, str(error)) for rule in rules]
             continue
-        accepted = accepted_rules(base, rules, failed)
-        if accepted:
-            out.append((base, accepted))
-    return out
+        homes: dict[TableKey | None, list[RoutedRule]] = {}
+        for rule in rules:
+            homes.setdefault(home_table(tables, rule), []).append(rule)
+        for home, group in homes.items():
+            variables = dict.fromkeys(v for rule in group for v in rule.predicate.variables)
+            extra = list(dict.fromkeys(v for rule in group for v in exports(rule)))
+            columns = [*keep, *[v for v in extra if v not in keep]]
+            if home is None:
+                base = assemble(tables, needed, [*variables, *extra], start, end)
+            else:
+                base = tables.tables[home]
+            accepted = accepted_rules(base, group, failed)
+            if not accepted:
+                continue
+            predicates = [rule.predicate for rule in accepted]
+            if home is None:
+                if work_dir is not None and len(passes(predicates)) > 1:
+                    name = "-".join(sorted(f"{table}_{r}" for table, r in needed)) or "level"
+                    base = staged(base, f"{work_dir}/{name}")
+                yield evaluate(base, predicates, columns), accepted
+                continue
+            parts = []
+            for some in passes(predicates):
+                early = EarlyFlags(home, some)
+                flagged = assemble(tables, needed, extra, start, end, early=early)
+                words = [c for c in flagged.columns if c.startswith("_w")]
+                parts.append(expand_flags(flagged, words, some, columns))
+            yield reduce(DataFrame.unionAll, parts), accepted
 
 
 def _rule_details(spark: SparkSession, rules: Sequence[RoutedRule]) -> DataFrame:
@@ -168,21 +217,23 @@ def as_violations(df: DataFrame) -> DataFrame:
 
 
 def validate(
-    tables: SurveyTables, rules: DataFrame, start: str | None = None, end: str | None = None
+    tables: SurveyTables, rules: DataFrame, start: str | None = None, end: str | None = None,
+    work_dir: str | None = None,
 ) -> ValidationResult:
     """All rules over the interviews begun between two dates, both included.
 
     A rule that cannot be read, names unknown or ambiguous variables, or does not fit the column
     types is set aside in ``rejected`` with its analyst; the others run. Rules that need the same
-    tables share one base and are evaluated together. Nothing is computed here.
+    tables are evaluated together. Nothing is computed here, except a base staged in ``work_dir``.
     """
     spark = rules.sparkSession
     rows = rule_rows(rules)
     by_tables, failed = route_all(tables, rows, lambda row: row[fv.RULE_CONDITION])
     violations = None
     warnings: list[tuple[str, str]] = []
-    for base, accepted in build_bases(tables, by_tables, start, end, failed):
-        hits = evaluate(base, [rule.predicate for rule in accepted], IDENTITY)
+    for hits, accepted in rule_hits(
+        tables, by_tables, IDENTITY, start, end, failed, work_dir=work_dir
+    ):
         part = with_rule_details(hits, accepted)
         violations = part if violations is None else violations.unionByName(part)
         warnings += [(r.row[fv.RULE_CODE], w) for r in accepted for w in r.warnings]
@@ -202,10 +253,9 @@ def filter_rule(
     end: str | None = None,
 ) -> DataFrame:
     """The rows one condition holds for, with chosen columns; its filters reach the scans."""
-    rule = route_rule(tables, 0, Row(), condition, [
-        c for c in columns if c not in (*IDENTITY, fv.HOUSEHOLD_KEY)
-    ])
-    base = assemble(tables, rule.needed, rule.predicate.variables, start, end)
+    extra = [c for c in columns if c not in (*IDENTITY, fv.HOUSEHOLD_KEY)]
+    rule = route_rule(tables, 0, Row(), condition, extra)
+    base = assemble(tables, rule.needed, [*rule.predicate.variables, *extra], start, end)
     check_rule(base, rule.predicate)
     return base.filter(rule.predicate.sql).selectExpr(*[f"`{c}`" for c in columns])
 
