@@ -39,7 +39,7 @@ def _accent_tables() -> tuple[str, str, list[tuple[str, str]]]:
 
 
 _ACCENTED, _PLAIN, _LONGER = _accent_tables()
-_LONGER_CLASS = "[" + "".join(char for char, _ in _LONGER) + "]"
+_NOT_ASCII = r"[^\x00-\x7F]"
 
 
 def strip_accents(text: Column) -> Column:
@@ -47,8 +47,8 @@ def strip_accents(text: Column) -> Column:
     expanded = text
     for char, plain in _LONGER:
         expanded = F.replace(expanded, F.lit(char), F.lit(plain))
-    prepared = F.when(text.rlike(_LONGER_CLASS), expanded).otherwise(text)
-    return F.translate(prepared, _ACCENTED, _PLAIN)
+    plain_text = F.translate(expanded, _ACCENTED, _PLAIN)
+    return F.when(text.rlike(_NOT_ASCII), plain_text).otherwise(text)
 
 
 def collapse_whitespace(text: Column) -> Column:

@@ -146,6 +146,18 @@ def providers(tables: SurveyTables, needed: Iterable[TableKey]) -> dict[str, Tab
     return found
 
 
+def check_columns(
+    tables: SurveyTables, needed: Iterable[TableKey], variables: Iterable[str] = ()
+) -> dict[str, TableKey]:
+    """The providers of a base's columns, or ``ConditionError`` when a table or column is missing."""
+    provider = providers(tables, needed)
+    wanted = dict.fromkeys([*fv.CARTOGRAPHY, fv.INTERVIEWER, *variables])
+    missing = [c for c in wanted if c not in provider and c not in (fv.PERSON, fv.DATE)]
+    if missing:
+        raise ConditionError(f"no needed table holds {', '.join(missing)}")
+    return provider
+
+
 @dataclass(frozen=True)
 class EarlyFlags:
     """Rules whose variables all come from one table, to be evaluated on it before any join."""
@@ -178,11 +190,9 @@ def assemble(
     order = join_order(tables, needed)
     base_key, control = order[0], control_keys(rounds)
     questions = [key for key in order[1:] if key not in control]
-    provider = providers(tables, needed)
+    variables = list(variables)
+    provider = check_columns(tables, needed, variables)
     wanted = dict.fromkeys([*fv.CARTOGRAPHY, fv.INTERVIEWER, *variables])
-    missing = [c for c in wanted if c not in provider and c not in (fv.PERSON, fv.DATE)]
-    if missing:
-        raise ConditionError(f"no needed table holds {', '.join(missing)}")
     status = [c for c in (fv.PERSON_STATUS, *fv.STATE.values()) if c in provider]
     dates = [fv.START_DATE[r] for r in rounds]
     words: list[str] = []

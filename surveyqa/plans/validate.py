@@ -19,6 +19,7 @@ from surveyqa.operators.assemble import (
     SurveyTables,
     TableKey,
     assemble,
+    check_columns,
     live_cases,
     locate,
     providers,
@@ -67,6 +68,7 @@ def route_rule(
     ``extra`` are further variables whose tables the base must have.
     """
     known = {name.upper(): name for key in tables.tables for name in tables.columns(key)}
+    known[fv.DATE] = fv.DATE
     names = [known.get(name.upper()) for name in condition_names(condition or "")]
     variables = [name for name in dict.fromkeys([*names, *extra]) if name]
     synthetic = {fv.DATE: T.DateType()} if fv.DATE in variables else {}
@@ -151,7 +153,7 @@ def rule_hits(
     """
     for needed, rules in by_tables.items():
         try:
-            assemble(tables, needed, ())
+            check_columns(tables, needed)
         except ConditionError as error:
             failed += [(rule.row, str(error)) for rule in rules]
             continue
