@@ -28,7 +28,7 @@ from surveyqa.operators.corrections import clean_corrections, correction_conflic
 from surveyqa.operators.violations import Predicate, evaluate
 from surveyqa.plans import cleaning, productivity
 from surveyqa.plans.validate import cross_module_check, filter_rule, open_text_check, validate
-from surveyqa.session import checkpoint_folder
+from surveyqa.session import checkpoint_folder, tune
 from surveyqa.streaming import validate_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,7 +42,7 @@ def query(name: str) -> Callable[[Query], Query]:
 
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            df = function(spark, sf_dir)
+            df = function(tune(spark), sf_dir)
             return df.selectExpr(*[
                 (f"date_format(`{f.name}`, 'yyyy-MM-dd')" if isinstance(f.dataType, T.DateType)
                  else f"`{f.name}`") + f" AS `{f.name.replace('.', '_')}`"

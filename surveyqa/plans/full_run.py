@@ -19,7 +19,7 @@ from surveyqa.operators.reports import (
     violations_rollup,
 )
 from surveyqa.plans.validate import cross_module_check, open_text_check, validate
-from surveyqa.session import staged
+from surveyqa.session import staged, tune
 from surveyqa.sinks import write_by, write_consolidated, write_sorted_report
 
 
@@ -43,7 +43,8 @@ def run(
     so the rules run once and a lost executor costs no more than its own tasks. ``out`` must be on
     shared storage.
     """
-    outcome = validate(tables, rules, start, end)
+    tune(rules.sparkSession)
+    outcome = validate(tables, rules, start, end, work_dir=f"{out}/tables/bases")
     found, rejected = outcome.violations, outcome.rejected
     try:
         found = found.unionByName(cross_module_check(tables, start, end))

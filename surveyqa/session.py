@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Adaptive execution sizes partitions, splits skewed join partitions (also where one stage holds
-# several joins) and picks broadcast joins from measured sizes.
+# Adaptive execution sizes partitions, splits skewed join partitions and picks broadcast joins from
+# measured sizes. A base joins several tables on the household key in one stage; without the force
+# setting one join of a stage that cannot be split keeps all others from it.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
