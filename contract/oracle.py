@@ -9,7 +9,7 @@ _LEVEL = """
 level1 AS (
   SELECT o_orderkey AS id, o_custkey, o_orderstatus, o_orderpriority, o_totalprice,
          CAST(o_orderdate AS DATE) AS fecha, o_custkey % 20 AS encuestador,
-         o_orderkey % 22 + 1 AS depto, o_orderkey % 17 + 1 AS mupio, o_custkey % 25 AS sector,
+         o_orderkey % 22 + 1 AS depto, o_orderkey % 17 + 1 AS mupio, o_custkey % 28 AS sector,
          o_orderkey // 1000 AS estructura, o_orderkey % 1000 AS vivienda, o_orderkey % 3 + 1 AS hogar,
          CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS p01h09,
          CASE WHEN o_custkey % 10 = 3 THEN NULL ELSE o_custkey % 10 END AS p01h10,
@@ -79,7 +79,7 @@ _WITH = f"WITH {_LEVEL.strip()}"
 _VIOL = f"{_WITH}, viol AS ({_VIOLATIONS})"
 _GROUPED = (
     f"{_VIOL}, grouped AS (SELECT viol.*, n_regionkey AS GRUPO FROM viol "
-    "JOIN nation ON viol.SECTOR = n_nationkey WHERE n_nationkey < 22)"
+    "JOIN nation ON viol.SECTOR = n_nationkey)"
 )
 
 _NULLABLE = """WITH n AS (
@@ -111,7 +111,7 @@ clean AS (
   SELECT *, split_part(variable, '.', 1) AS tabla, upper(split_part(variable, '.', 2)) AS columna
   FROM raw WHERE variable IS NOT NULL AND nuevo IS NOT NULL
 ),
-placed AS (SELECT clean.*, o_custkey % 25 AS sector FROM clean JOIN orders ON household = o_orderkey)"""
+placed AS (SELECT clean.*, o_custkey % 28 AS sector FROM clean JOIN orders ON household = o_orderkey)"""
 
 
 def _many_rules() -> str:
@@ -158,13 +158,12 @@ ORACLE_SQL: dict[str, str] = {
         )
     ),
     "filter_project": f"{_WITH} SELECT depto AS DEPTO, hogar AS HOGAR, cp AS CP, ppa03 AS PPA03 "
-    f"FROM {_PERSON} WHERE ppa10 = 1 AND ppa03 >= 40 AND p10c21 = 3",
+    f"FROM {_PERSON} WHERE ppa10 = 1 AND ppa03 >= 40 AND p10a01 <> ''",
     "pred_compare": _NULLABLE + "CANTIDAD > 40 AND CP <= PROVEEDOR AND DESCUENTO = 0.05",
     "pred_and_or": _NULLABLE + "CANTIDAD = 49 OR (CP = 7 AND (PROVEEDOR = 1 OR PROVEEDOR >= 7))",
     "pred_in": _NULLABLE + "CANTIDAD IN (5, 6, 7) AND MARCA IN ('R', '')",
-    "pred_not_equal_null": _NULLABLE + "coalesce(MARCA <> 'R', TRUE) AND coalesce(CANTIDAD <> 20, TRUE) "
-    "AND CP = 1 AND PROVEEDOR = 4",
-    "pred_not_in_null": _NULLABLE + "coalesce(CANTIDAD NOT IN (1, 2, 3, 4, 5), TRUE) AND PROVEEDOR = 4",
+    "pred_not_equal_null": _NULLABLE + "coalesce(MARCA <> 'R', TRUE) AND coalesce(CANTIDAD <> 20, TRUE)",
+    "pred_not_in_null": _NULLABLE + "coalesce(CANTIDAD NOT IN (1, 2, 3, 4, 5), TRUE)",
     "pred_empty_numeric": _NULLABLE + "CANTIDAD IS NULL AND DESCUENTO IS NOT NULL",
     "pred_empty_text": _NULLABLE + "(coalesce(MARCA, '') = '' AND CP = 3) OR (coalesce(MARCA, '') <> '' AND CP = 5)",
     "pred_arithmetic": _NULLABLE + "CANTIDAD - CP * 2 > 40 AND PROVEEDOR <= 2",
@@ -217,9 +216,9 @@ WHERE id IN (SELECT id FROM l) AND id IN (SELECT id FROM r)""",
     "SELECT c_nationkey, 'U' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') || "
     "CAST(CASE WHEN c_acctbal < 0 THEN c_custkey + 100000 ELSE c_custkey END AS VARCHAR) || 'XX' AS u FROM customer)",
     "group_distribution": f'{_GROUPED} SELECT GRUPO, SECTOR, DEPTO, HOGAR, CP, "CODIGO ERROR" FROM grouped',
-    "left_group_join": "SELECT c_custkey, CASE WHEN c_nationkey = 3 THEN NULL ELSE c_nationkey END AS SECTOR, "
-    "c_nationkey % 5 AS DEPTO, n_regionkey AS GRUPO FROM customer LEFT JOIN nation "
-    "ON c_nationkey = n_nationkey AND n_nationkey <> 7",
+    "left_group_join": "SELECT c_custkey, CASE WHEN c_nationkey = 4 THEN NULL ELSE c_nationkey + 3 END AS SECTOR, "
+    "c_nationkey AS DEPTO, n_regionkey AS GRUPO FROM customer LEFT JOIN nation "
+    "ON c_nationkey + 3 = n_nationkey",
     "deliverable_groups": f"{_GROUPED} SELECT GRUPO, count(*) AS n FROM grouped GROUP BY GRUPO HAVING count(*) > 1",
     "violations_rollup": f"{_GROUPED} SELECT GRUPO, CAST(grouping(GRUPO) AS INTEGER) AS es_total, count(*) AS n "
     "FROM grouped GROUP BY ROLLUP (GRUPO)",
@@ -262,7 +261,7 @@ FROM inwin WHERE o_orderstatus <> 'O' AND p01h09 = 1 AND p01h10 IS NULL""",
     "cleaning_query": f"""{_WITH}
 SELECT {_PLACE.lower()}, cp AS cp, ppa03 AS personas_ppa03, p10c47 AS personas_p10c47,
        CAST(NULL AS VARCHAR) AS variable, CAST(NULL AS VARCHAR) AS "valor nuevo"
-FROM {_PERSON} WHERE ppa10 = 1 AND ppa03 IS NULL AND p10c21 = 2""",
+FROM {_PERSON} WHERE ppa10 = 1 AND ppa03 IS NULL AND p10a01 <> ''""",
     "split_list": "SELECT p_partkey, p_brand || '|' || p_type || '|' || p_name AS lista FROM part",
     "corrections_clean": f'{_CORRECTIONS} SELECT household, cp, tabla, columna, nuevo AS "valor nuevo", seq FROM clean',
     "corrections_sql": f"""{_CORRECTIONS}

@@ -111,7 +111,7 @@ def table_profile(spark, sf_dir):
 @query("filter_project")
 def filter_project(spark, sf_dir):
     return filter_rule(
-        survey_tables(spark, sf_dir), "PPA03 >= 40 & P10C21 = 3", ["DEPTO", "HOGAR", "CP", "PPA03"],
+        survey_tables(spark, sf_dir), "PPA03 >= 40 & P10A01 no es vacío", ["DEPTO", "HOGAR", "CP", "PPA03"],
         START, END,
     )
 
@@ -138,12 +138,12 @@ def pred_in(spark, sf_dir):
 
 @query("pred_not_equal_null")
 def pred_not_equal_null(spark, sf_dir):
-    return where(nullable_lines(spark, sf_dir), "MARCA <> 'R' y CANTIDAD <> 20 y CP = 1 y PROVEEDOR = 4")
+    return where(nullable_lines(spark, sf_dir), "MARCA <> 'R' y CANTIDAD <> 20")
 
 
 @query("pred_not_in_null")
 def pred_not_in_null(spark, sf_dir):
-    return where(nullable_lines(spark, sf_dir), "CANTIDAD no está en (1, 2, 3, 4, 5) y PROVEEDOR = 4")
+    return where(nullable_lines(spark, sf_dir), "CANTIDAD no está en (1, 2, 3, 4, 5)")
 
 
 @query("pred_empty_numeric")
@@ -276,7 +276,7 @@ def violations(spark, sf_dir):
 
 
 def sector_groups(spark, sf_dir):
-    return given(spark, sf_dir, "nation").filter("n_nationkey < 22").selectExpr(
+    return given(spark, sf_dir, "nation").selectExpr(
         "n_regionkey AS GRUPO", "n_nationkey AS SECTOR"
     )
 
@@ -303,10 +303,11 @@ def group_distribution(spark, sf_dir):
 @query("left_group_join")
 def left_group_join(spark, sf_dir):
     lines = given(spark, sf_dir, "customer").selectExpr(
-        "c_custkey", "nullif(c_nationkey, 3) AS SECTOR", "c_nationkey % 5 AS DEPTO"
+        "c_custkey", "nullif(c_nationkey + 3, 7) AS SECTOR", "c_nationkey AS DEPTO"
     )
-    places = given(spark, sf_dir, "nation").filter("n_nationkey <> 7").selectExpr(
-        "nullif(n_nationkey, 3) AS SECTOR", "n_nationkey % 5 AS DEPTO", "n_regionkey AS GRUPO"
+    places = given(spark, sf_dir, "nation").selectExpr(
+        "nullif(n_nationkey, 7) AS SECTOR", "if(n_nationkey = 7, 4, n_nationkey - 3) AS DEPTO",
+        "n_regionkey AS GRUPO"
     )
     return groups.assign_groups(lines, places, ["DEPTO", "SECTOR"], "left")
 
@@ -434,7 +435,7 @@ def cleaning_extract(spark, sf_dir):
 @query("cleaning_query")
 def cleaning_query(spark, sf_dir):
     return cleaning.cleaning_query(
-        survey_tables(spark, sf_dir), "PPA03 es vacio y P10C21 = 2", "PPA03, P10C47", START, END
+        survey_tables(spark, sf_dir), "PPA03 es vacio y P10A01 no es vacio", "PPA03, P10C47", START, END
     )
 
 
@@ -465,7 +466,7 @@ def corrections(spark, sf_dir):
 
 def placed_corrections(spark, sf_dir):
     sector = given(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey AS household", "o_custkey % 25 AS sector"
+        "o_orderkey AS household", "o_custkey % 28 AS sector"
     )
     return corrections(spark, sf_dir).join(sector, "household").drop("household")
 

@@ -25,7 +25,7 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # The same expressions serve Spark and the SQL check only in their arithmetic; dates and casts are
 # written out on each side.
 PLACE = (
-    "o_orderkey % 22 + 1 AS DEPTO", "o_orderkey % 17 + 1 AS MUPIO", "o_custkey % 25 AS SECTOR",
+    "o_orderkey % 22 + 1 AS DEPTO", "o_orderkey % 17 + 1 AS MUPIO", "o_custkey % 28 AS SECTOR",
     "o_orderkey div 1000 AS ESTRUCTURA", "o_orderkey % 1000 AS VIVIENDA", "o_orderkey % 3 + 1 AS HOGAR",
 )
 

@@ -76,9 +76,9 @@ def latest_values(cleaned: DataFrame, keys: Sequence[str], columns: Sequence[str
 
 def apply_corrections(
     table: DataFrame, households: DataFrame, cleaned: DataFrame, table_name: str,
-    columns: Sequence[str], record_keys: Sequence[str],
+    columns: Sequence[str], record_keys: Sequence[str], logged_at: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """The corrected table and the log of what changed.
+    """The corrected table and the log of what changed, stamped ``logged_at`` if given.
 
     ``columns`` are the columns that may be corrected, ``households`` maps the cartographic key to
     the household key. A correction without a person number holds for all rows of the household; of
@@ -125,4 +125,6 @@ def apply_corrections(
         .filter(F.col("_entry").isNotNull())
         .select(F.lit(table_name).alias("tabla"), *[F.col(f"`{k}`") for k in record_keys], "_entry.*")
     )
+    if logged_at is not None:
+        audit = audit.withColumn("fecha_creacion", logged_at)
     return corrected, audit

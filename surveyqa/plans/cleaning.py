@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from surveyqa import fixed_values as fv
@@ -127,6 +127,7 @@ def correction_script(
 
 def correct_table(
     tables: SurveyTables, key: TableKey, corrections: DataFrame, columns: Sequence[str],
+    logged_at: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """One table with its corrections applied, and the log of old and new values."""
     households = tables.tables[(fv.HOUSEHOLD_TABLE, key[1])]
@@ -136,5 +137,5 @@ def correct_table(
     if unknown:
         raise ConditionError(f"{key[0]} has no column {', '.join(unknown)}")
     return apply_corrections(
-        table, households, clean_corrections(corrections), key[0], columns, keys
+        table, households, clean_corrections(corrections), key[0], columns, keys, logged_at
     )
