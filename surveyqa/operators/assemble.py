@@ -27,6 +27,7 @@ class SurveyTables:
     tables: Mapping[TableKey, DataFrame]
     precedence: Sequence[str] = ()
     _columns: dict[TableKey, dict[str, T.DataType]] = field(default_factory=dict, repr=False)
+    _spellings: dict[str, str] = field(default_factory=dict, repr=False)
 
     def columns(self, key: TableKey) -> dict[str, T.DataType]:
         if key not in self._columns:
@@ -35,6 +36,14 @@ class SurveyTables:
             self._columns[key] = {f.name: f.dataType for f in self.tables[key].schema.fields}
         return self._columns[key]
 
+    def spelling(self, name: str) -> str | None:
+        """A variable's name as the tables write it; conditions may use any case."""
+        if not self._spellings:
+            for key in self.tables:
+                self._spellings.update({c.upper(): c for c in self.columns(key)})
+            self._spellings[fv.DATE] = fv.DATE
+        return self._spellings.get(name.upper())
+
     def rank(self, key: TableKey) -> tuple[int, str, str]:
         name, survey_round = key
         order = self.precedence.index(name) if name in self.precedence else len(self.precedence)

@@ -96,8 +96,10 @@ def distinct_members(
     df: DataFrame, key: str, member: str, carry: Sequence[str] = ()
 ) -> DataFrame:
     """Distinct members per household as rows, with the carried columns' minimum per member."""
-    return df.groupBy(_name(key), _name(member)).agg(*[F.min(_name(c)).alias(c) for c in carry]) \
-        if carry else df.select(_name(key), _name(member)).distinct()
+    pairs = df.select(_name(key), _name(member), *[_name(c) for c in carry])
+    if not carry:
+        return pairs.distinct()
+    return pairs.groupBy(_name(key), _name(member)).agg(*[F.min(_name(c)).alias(c) for c in carry])
 
 
 def member_lists(

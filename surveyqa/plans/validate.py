@@ -67,9 +67,7 @@ def route_rule(
 
     ``extra`` are further variables whose tables the base must have.
     """
-    known = {name.upper(): name for key in tables.tables for name in tables.columns(key)}
-    known[fv.DATE] = fv.DATE
-    names = [known.get(name.upper()) for name in condition_names(condition or "")]
+    names = [tables.spelling(name) for name in condition_names(condition or "")]
     variables = [name for name in dict.fromkeys([*names, *extra]) if name]
     synthetic = {fv.DATE: T.DateType()} if fv.DATE in variables else {}
     needed = locate(tables, [v for v in variables if v not in synthetic])
@@ -210,12 +208,19 @@ def with_rule_details(hits: DataFrame, rules: Sequence[RoutedRule]) -> DataFrame
 
 
 def as_violations(df: DataFrame) -> DataFrame:
-    """Columns in report order and type; the comment is left for the analyst."""
-    return df.selectExpr(*[
-        f"CAST({'NULL' if f.name == 'COMENTARIOS' else f'`{f.name}`'} AS {f.dataType.simpleString()})"
-        f" AS `{f.name}`"
-        for f in schemas.VIOLATIONS
-    ])
+    """Columns in report order; the comment is left for the analyst.
+
+    Whole numbers become ``bigint``. A place or interviewer code that is text stays text.
+    """
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+
+    def column(f: T.StructField) -> str:
+        if f.name == "COMENTARIOS":
+            return "CAST(NULL AS STRING) AS COMENTARIOS"
+        kept = f.name in texts
+        return f"`{f.name}`" if kept else f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+
+    return df.selectExpr(*[column(f) for f in schemas.VIOLATIONS])
 
 
 def validate(

@@ -1,6 +1,12 @@
 """Reading survey tables, control sheets and earlier reports."""
 
-from surveyqa.sources.databases import extract_database, jdbc_options, read_jdbc_query, read_jdbc_table
+from surveyqa.sources.databases import (
+    extract_database,
+    jdbc_options,
+    list_tables,
+    read_jdbc_query,
+    read_jdbc_table,
+)
 from surveyqa.sources.files import (
     count_lines,
     read_group_files,
@@ -13,6 +19,7 @@ __all__ = [
     "count_lines",
     "extract_database",
     "jdbc_options",
+    "list_tables",
     "load_snapshot",
     "read_group_files",
     "read_jdbc_query",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from surveyqa.sources.snapshots import write_table
@@ -60,17 +62,42 @@ def read_jdbc_query(
     return spark.read.format("jdbc").options(**options).load()
 
 
+def list_tables(spark: SparkSession, connection: Mapping[str, str]) -> list[str]:
+    """Names of the tables in the connection's database, from its information schema."""
+    query = (
+        "SELECT table_name AS name FROM information_schema.tables "
+        "WHERE table_schema = DATABASE() AND table_type = 'BASE TABLE'"
+    )
+    return [row["name"] for row in read_jdbc_query(spark, connection, query).toLocalIterator()]
+
+
+@dataclass(frozen=True)
+class Extracted:
+    """What became of one table: the path written, or the error."""
+
+    table: str
+    path: str | None
+    error: str | None
+
+
 def extract_database(
-    spark: SparkSession, connection: Mapping[str, str], tables: Iterable[str], root: str,
-    survey_round: str, commission: int | None = None,
+    spark: SparkSession, connection: Mapping[str, str], root: str, survey_round: str,
+    tables: Iterable[str] | None = None, commission: int | None = None,
     partitioning: Mapping[str, Partitioning] | None = None,
-) -> list[str]:
-    """Copy every listed table of one round's database to the snapshot; returns the paths."""
+) -> list[Extracted]:
+    """Copy one round's database to the snapshot, all tables or those listed.
+
+    Large tables should be given a partitioning, else one task reads each. A table that fails is
+    reported and the others are still copied.
+    """
     partitioning = partitioning or {}
-    return [
-        write_table(
-            read_jdbc_table(spark, connection, table, partitioning.get(table)),
-            root, table, survey_round, commission,
-        )
-        for table in tables
-    ]
+    names = list_tables(spark, connection) if tables is None else tables
+    done = []
+    for table in names:
+        try:
+            df = read_jdbc_table(spark, connection, table, partitioning.get(table))
+            path = write_table(df, root, table, survey_round, commission)
+            done.append(Extracted(table, path, None))
+        except (PySparkException, Py4JError) as error:
+            done.append(Extracted(table, None, str(error).splitlines()[0]))
+    return done

@@ -38,6 +38,4 @@ def resent_once(
     answers: DataFrame, keys: Sequence[str], event_time: str, delay: str
 ) -> DataFrame:
     """The first copy of a questionnaire sent again within ``delay``; state is dropped after it."""
-    return answers.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(
-        list(keys)
-    )
+    return answers.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))

@@ -14,6 +14,7 @@ from surveyqa.sources import (
     read_violation_file,
     write_table,
 )
+from surveyqa.sources import databases
 from surveyqa.sources.databases import Partitioning
 from surveyqa.sources.snapshots import control_tables
 
@@ -37,6 +38,18 @@ def test_jdbc_options():
         jdbc_options(connection, table="a", query="b")
 
 
+def test_extraction_goes_on_after_a_bad_table(spark, tmp_path, monkeypatch):
+    """No database may run here, so the reader is replaced; the copying around it is real."""
+    def read(session, connection, table, partitioning=None):
+        return session.sql("SELECT * FROM no_such_table" if table == "rota" else "SELECT 1 AS ppa03")
+
+    monkeypatch.setattr(databases, "read_jdbc_table", read)
+    monkeypatch.setattr(databases, "list_tables", lambda session, connection: ["personas", "rota", "cases"])
+    done = databases.extract_database(spark, {"url": "jdbc:x"}, str(tmp_path), "SR", commission=2)
+    assert [(d.table, d.error is None) for d in done] == [("personas", True), ("rota", False), ("cases", True)]
+    assert spark.read.parquet(str(tmp_path / "commission=2/round=SR/personas")).columns == ["PPA03"]
+
+
 def test_snapshot(spark, tables, tmp_path):
     root = str(tmp_path)
     for (name, survey_round), df in tables.tables.items():

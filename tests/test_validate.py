@@ -150,6 +150,13 @@ def test_date_is_a_variable(spark, tables):
     assert rows(found, "VIVIENDA") == [(2,), (4,)]
 
 
+def test_text_codes_stay_text(spark, tables):
+    level = tables.tables[("level-1", "PR")].withColumn("SECTOR", F.concat(F.lit("S"), "SECTOR"))
+    coded = SurveyTables({**tables.tables, ("level-1", "PR"): level})
+    found = validate(coded, rule_sheet(spark, rule("PPA03 es vacio"), rule("P01H10 es vacio"))).violations
+    assert rows(found, "SECTOR") == [("S101",), ("S101",)]
+
+
 # -- set mismatch ------------------------------------------------------------------------------
 
 
