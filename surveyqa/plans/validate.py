@@ -20,6 +20,7 @@ from surveyqa.operators.assemble import (
     TableKey,
     assemble,
     check_columns,
+    control_keys,
     live_cases,
     locate,
     providers,
@@ -79,6 +80,8 @@ def route_rule(
     base_round = fv.FIRST_ROUND if fv.FIRST_ROUND in rounds else fv.SECOND_ROUND
     types |= tables.columns((fv.HOUSEHOLD_TABLE, base_round)) | synthetic
     types.setdefault(fv.PERSON, T.IntegerType())
+    # Start dates are text in their table and dates in the base.
+    types |= {c: T.DateType() for c in fv.START_DATE.values() if c in types}
     compiled = compile_condition(condition, types)
     return RoutedRule(
         rule_id, row, needed,
@@ -135,7 +138,8 @@ def home_table(tables: SurveyTables, rule: RoutedRule) -> TableKey | None:
     provider = providers(tables, rule.needed)
     homes = {provider.get(v) for v in rule.predicate.variables}
     home = homes.pop() if len(homes) == 1 else None
-    return home if home in rule.needed and home[0] != fv.HOUSEHOLD_TABLE else None
+    others = {(fv.HOUSEHOLD_TABLE, r) for r in fv.ROUNDS} | set(control_keys(fv.ROUNDS))
+    return home if home in rule.needed - others else None
 
 
 def rule_hits(

@@ -150,6 +150,18 @@ def test_date_is_a_variable(spark, tables):
     assert rows(found, "VIVIENDA") == [(2,), (4,)]
 
 
+def test_control_tables_hold_variables_too(spark, tables):
+    sheet = rule_sheet(
+        spark, rule("FECHA_INICIO_CAP_1 >= '2023-09-25'", "D"), rule("ESTADO_PR = 1 y PPA03 = 33", "E"),
+        rule("ESTADO_PR = 2 y PPA03 = 33", "F"), rule("ESTADO_PR = 1 y HOGAR = 1", "G"),
+    )
+    found = validate(tables, sheet)
+    assert found.rejected.count() == 0
+    assert rows(found.violations, "CODIGO ERROR", "VIVIENDA") == [
+        ("D", 2), ("D", 4), ("F", 6), ("G", 1), ("G", 2), ("G", 3), ("G", 4)
+    ]
+
+
 def test_text_codes_stay_text(spark, tables):
     level = tables.tables[("level-1", "PR")].withColumn("SECTOR", F.concat(F.lit("S"), "SECTOR"))
     coded = SurveyTables({**tables.tables, ("level-1", "PR"): level})
