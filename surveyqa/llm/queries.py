@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from surveyqa.llm.mixing import mixed
 from surveyqa.llm.ngram_join import ngram_components
+from surveyqa.llm.quality_rules import quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -23,3 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op2_ngram_join(spark, sf_dir):
     return ngram_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_mixing(spark, sf_dir):
+    return mixed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_quality_rules(spark, sf_dir):
+    return quality_rules(table(spark, sf_dir, "documents"))
