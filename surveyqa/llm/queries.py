@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from surveyqa.llm import quality_crf
 from surveyqa.llm.mixing import mixed
 from surveyqa.llm.ngram_join import ngram_components
+from surveyqa.llm.packing import packed
 from surveyqa.llm.quality_rules import quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +39,19 @@ def op8_mixing(spark, sf_dir):
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_quality_crf(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    remainder = "coalesce(crc32(cast(doc_id AS string)) % 4, 0)"
+    model = quality_crf.train(docs, labels, learn=F.expr(f"{remainder} <> 2"))
+    return quality_crf.scored(docs, model).select(
+        "doc_id", F.expr(f"{remainder} = 2").alias("held_out"), F.col("quality_score").alias("score"),
+        F.expr("cast(quality_score >= 0.7 AS int)").alias("predicted"),
+    )
+
+
+@query
+def op3_best_fit_packing(spark, sf_dir):
+    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
