@@ -13,6 +13,7 @@ from surveyqa.llm.mixing import mixed
 from surveyqa.llm.ngram_join import ngram_components
 from surveyqa.llm.packing import packed
 from surveyqa.llm.quality_rules import quality_rules
+from surveyqa.llm.secret_scan import secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -55,3 +56,8 @@ def op7_quality_crf(spark, sf_dir):
 @query
 def op3_best_fit_packing(spark, sf_dir):
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op6_secret_scan(spark, sf_dir):
+    return secrets(table(spark, sf_dir, "documents"))
