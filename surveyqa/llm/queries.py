@@ -14,6 +14,7 @@ from surveyqa.llm.ngram_join import ngram_components
 from surveyqa.llm.packing import packed
 from surveyqa.llm.quality_rules import quality_rules
 from surveyqa.llm.secret_scan import secrets
+from surveyqa.llm.token_files import token_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -61,3 +62,8 @@ def op3_best_fit_packing(spark, sf_dir):
 @query
 def op6_secret_scan(spark, sf_dir):
     return secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_token_files(spark, sf_dir):
+    return token_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
