@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyqa.llm import chat_format, quality_crf
+from surveyqa.llm.embedding_join import near_vectors
 from surveyqa.llm.mixing import mixed
 from surveyqa.llm.ngram_join import ngram_components
 from surveyqa.llm.packing import packed
@@ -75,3 +76,8 @@ def op6_secret_scan(spark, sf_dir):
 @query
 def op10_token_files(spark, sf_dir):
     return token_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op5_embedding_join(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
