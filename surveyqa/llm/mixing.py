@@ -96,21 +96,22 @@ def apportioned(df: DataFrame, group: list[str], votes: str, seats: Column, orde
 def mixed(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     share: float = 1.5, most: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix",
-    block: int = BLOCK, shard: int = SHARD,
+    block: int = BLOCK, shard: int = SHARD, keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``doc_id``, ``size``, ``source_size``, ``target``, ``taken`` for every row; see the module."""
+    """``doc_id``, ``size``, ``source_size``, ``target``, ``taken`` and ``keep`` for every row; see the module."""
     folder = shared_folder(docs.sparkSession)
     named = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text")
+        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"),
+        *keep,
     )
-    sizes = staged(named.select("doc_id", "source", F.expr(SIZE).alias("size")), folder, "sizes")
+    sizes = staged(named.select("doc_id", "source", F.expr(SIZE).alias("size"), *keep), folder, "sizes")
     sources = targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), share, most, weights)
     seats = F.round(F.sum("target").over(Window.partitionBy()) / block).cast("long")
     sources = staged(apportioned(sources, [], "target", seats, ["rank"], "quota"), folder, "sources")
     dealt = sizes.join(
         sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))
     ).withColumn("shard", pick(seed, F.col("doc_id")) % F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard)))
-    dealt = dealt.select("doc_id", "rank", "shard", "size", "source_size", "target", "quota")
+    dealt = dealt.select("doc_id", "rank", "shard", "size", "source_size", "target", "quota", *keep)
     shards = dealt.groupBy("rank", "shard", "quota").agg(F.sum("size").alias("shard_size")).withColumnRenamed("quota", "seats")
     shards = apportioned(shards, ["rank"], "shard_size", F.col("seats"), ["rank", "shard"], "quota").select(
         "rank", "shard", "shard_size", F.greatest(F.lit(1), F.round(F.col("shard_size") / block)).cast("long").alias("blocks"), "quota"
@@ -127,5 +128,18 @@ def mixed(
             * (quota div blocks + if((b * {STRIDE} + offset) % blocks < quota % blocks, 1, 0)))
     """)
     return placed.select(
-        "doc_id", "size", "source_size", "target", F.when(F.col("size") > 0, taken).otherwise(F.lit(0)).cast("long").alias("taken")
+        "doc_id", *keep, "size", "source_size", "target", F.when(F.col("size") > 0, taken).otherwise(F.lit(0)).cast("long").alias("taken")
     )
+
+
+def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it; a part of a row is rounded by a seeded draw."""
+    kept = docs.columns
+    named = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(kept)])
+    column = dict(zip(kept, named.columns))
+    rows = staged(named.withColumn("row", F.monotonically_increasing_id()), shared_folder(docs.sparkSession), "rows")
+    mix = mixed(rows, column[id_col], column[text_col], column[source_col], keep=("row",), **options)
+    draw = pick("copies", F.col("doc_id")) / (1 << 28)
+    copies = F.floor(F.col("taken") / F.greatest(F.lit(1), F.col("size")) + draw).cast("int")
+    often = mix.select("row", copies.alias("copies")).filter("copies > 0")
+    return rows.join(often, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*named.columns).toDF(*kept)

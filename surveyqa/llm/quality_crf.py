@@ -225,3 +225,13 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     chosen = docs.select(*dict.fromkeys([*names, text_col]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.select(*names).schema.fields)
     return chosen.mapInArrow(run, f"{schema}, quality_score double")
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, least: float, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose score is under ``least``."""
+    kept = docs.columns
+    named = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(kept)])
+    id_name, text_name = (named.columns[kept.index(c)] for c in (id_col, text_col))
+    model = train(named, labels, id_name, text_name, learn)
+    rows = scored(named, model, id_name, text_name, keep=tuple(named.columns))
+    return rows.filter(F.col("quality_score") >= least).select(*named.columns).toDF(*kept)

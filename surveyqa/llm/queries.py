@@ -12,6 +12,7 @@ from surveyqa.llm import chat_format, quality_crf
 from surveyqa.llm.embedding_join import near_vectors
 from surveyqa.llm.mixing import mixed
 from surveyqa.llm.ngram_join import ngram_components
+from surveyqa.llm.ngram_model import language_scores
 from surveyqa.llm.packing import packed
 from surveyqa.llm.quality_rules import quality_rules
 from surveyqa.llm.secret_scan import secrets
@@ -81,3 +82,9 @@ def op10_token_files(spark, sf_dir):
 @query
 def op5_embedding_join(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_language_model(spark, sf_dir):
+    held_out = F.expr("coalesce(crc32(cast(doc_id AS string)) % 10, 0) = 0")
+    return language_scores(table(spark, sf_dir, "documents"), ~held_out).withColumn("held_out", held_out)
