@@ -85,13 +85,13 @@ def judged(hits: DataFrame) -> DataFrame:
 
 
 def collected(spans: DataFrame) -> DataFrame:
-    """Spans per row in order of start and kind: base ones, and live-looking wider ones apart from them."""
+    """Spans per row in order of start and kind: base ones, and live-looking wider ones apart from kinds before."""
     wider = F.col("kind") >= len(BASE)
     spans = spans.filter(~wider | F.col("live"))
     rows = spans.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live", "owners"))).alias("all"))
     base = F.expr(f"filter(all, x -> x.kind < {len(BASE)})")
     return rows.withColumn("base", base).withColumn(
-        "all", F.expr(f"filter(all, x -> x.kind < {len(BASE)} OR NOT exists(base, b -> x.start < b.end AND x.end > b.start))")
+        "all", F.expr(f"filter(all, x -> x.kind < {len(BASE)} OR NOT exists(all, b -> b.kind < x.kind AND x.start < b.end AND x.end > b.start))")
     )
 
 
