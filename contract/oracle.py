@@ -105,7 +105,7 @@ _CORRECTIONS = """WITH raw AS (
          CASE WHEN l_linenumber = 6 THEN NULL WHEN l_returnflag = 'R' THEN 'O''Neil ' || l_suppkey
               ELSE CAST(l_suppkey % 90 AS VARCHAR) END AS nuevo,
          l_partkey * 100 + l_suppkey % 100 AS seq
-  FROM lineitem WHERE l_quantity >= 40
+  FROM lineitem
 ),
 clean AS (
   SELECT *, split_part(variable, '.', 1) AS tabla, upper(split_part(variable, '.', 2)) AS columna
@@ -158,7 +158,7 @@ ORACLE_SQL: dict[str, str] = {
         )
     ),
     "filter_project": f"{_WITH} SELECT depto AS DEPTO, hogar AS HOGAR, cp AS CP, ppa03 AS PPA03 "
-    f"FROM {_PERSON} WHERE ppa10 = 1 AND ppa03 >= 40 AND p10a01 <> ''",
+    "FROM level1 JOIN persona USING (id) WHERE ppa10 = 1 AND ppa03 >= 40 AND p10a01 <> ''",
     "pred_compare": _NULLABLE + "CANTIDAD > 40 AND CP <= PROVEEDOR AND DESCUENTO = 0.05",
     "pred_and_or": _NULLABLE + "CANTIDAD = 49 OR (CP = 7 AND (PROVEEDOR = 1 OR PROVEEDOR >= 7))",
     "pred_in": _NULLABLE + "CANTIDAD IN (5, 6, 7) AND MARCA IN ('R', '')",
@@ -168,12 +168,12 @@ ORACLE_SQL: dict[str, str] = {
     "pred_empty_text": _NULLABLE + "(coalesce(MARCA, '') = '' AND CP = 3) OR (coalesce(MARCA, '') <> '' AND CP = 5)",
     "pred_arithmetic": _NULLABLE + "CANTIDAD - CP * 2 > 40 AND PROVEEDOR <= 2",
     "base_assembly": f'{_WITH} SELECT id AS "LEVEL-1-ID", {_FECHA}, encuestador AS ENCUESTADOR, {_PLACE}, '
-    f"cp AS CP, ppa03 AS PPA03, p01h09 AS P01H09, p01h10 AS P01H10 FROM {_PERSON} WHERE ppa10 = 1",
+    "cp AS CP, ppa03 AS PPA03, p01h09 AS P01H09, p01h10 AS P01H10 FROM level1 JOIN persona USING (id) WHERE ppa10 = 1",
     "finished_only": f'{_WITH} SELECT id AS "LEVEL-1-ID", {_FECHA}, encuestador AS ENCUESTADOR, {_PLACE}, '
     "0 AS CP, p01h09 AS P01H09 FROM level1 WHERE o_orderstatus <> 'O'",
     "date_window": f'{_WITH} SELECT id AS "LEVEL-1-ID", {_FECHA}, p01h10 AS P01H10 FROM level1 '
     "WHERE o_orderstatus <> 'O' AND fecha >= DATE '1997-03-10' AND fecha <= DATE '1997-09-20'",
-    "household_default_cp": f'{_WITH} SELECT id AS "LEVEL-1-ID", 0 AS CP, sector AS SECTOR FROM inwin '
+    "household_default_cp": f'{_WITH} SELECT id AS "LEVEL-1-ID", 0 AS CP, sector AS SECTOR FROM level1 '
     "WHERE o_orderstatus <> 'O' AND p01h10 IS NULL",
     "cross_round": f'{_WITH} SELECT id AS "LEVEL-1-ID", strftime(fecha + 30, \'%Y-%m-%d\') AS FECHA, '
     f"encuestador AS ENCUESTADOR, {_PLACE}, cp AS CP, ppa03 AS PPA03, o_custkey % 40 AS P13A04A "
@@ -228,10 +228,9 @@ WHERE id IN (SELECT id FROM l) AND id IN (SELECT id FROM r)""",
     "sorted_report": f'{_GROUPED} SELECT * FROM grouped ORDER BY GRUPO, DEPTO, "CODIGO ERROR"',
     "merge_reports": "SELECT o_custkey % 25 AS GRUPO, o_orderkey AS HOGAR, 'regla' AS ORIGEN FROM orders "
     "WHERE o_orderstatus = 'F' UNION ALL SELECT o_custkey % 30, o_orderkey, 'texto' FROM orders "
-    "WHERE o_orderstatus = 'P'",
-    "outer_join": 'SELECT coalesce(o_orderkey, l_orderkey) AS "LEVEL-1-ID", o_custkey AS P16A01, '
-    "l_linenumber AS P17A06B FROM (SELECT * FROM orders WHERE o_orderstatus = 'P') "
-    "FULL JOIN (SELECT * FROM lineitem WHERE l_quantity = 50) ON o_orderkey = l_orderkey",
+    "WHERE o_orderstatus <> 'F'",
+    "outer_join": 'SELECT coalesce(o_orderkey, l_orderkey + 3) AS "LEVEL-1-ID", o_custkey AS P16A01, '
+    "l_linenumber AS P17A06B FROM orders FULL JOIN lineitem ON o_orderkey = l_orderkey + 3",
     "frame_equality": "SELECT 'misma' AS tabla, TRUE AS igual, CAST(0 AS BIGINT) AS diferencias UNION ALL "
     "SELECT 'otra', count(*) = 0, CAST(2 * count(*) AS BIGINT) FROM part WHERE p_size = 5 UNION ALL "
     "SELECT 'columnas', FALSE, NULL",
@@ -244,7 +243,7 @@ WHERE id IN (SELECT id FROM l) AND id IN (SELECT id FROM r)""",
     "rules_approved": f"{_PART_RULES} SELECT codigo, p_brand AS analista FROM rules "
     "WHERE codigo IN (SELECT 'R' || s_suppkey FROM supplier)",
     "codes_unreviewed": "SELECT 'R' || l_partkey AS codigo FROM lineitem WHERE NOT EXISTS "
-    "(SELECT 1 FROM part WHERE p_size > 3 AND p_partkey = l_partkey)",
+    "(SELECT 1 FROM supplier WHERE s_suppkey = l_partkey)",
     "distinct_sections": "SELECT DISTINCT p_size AS capitulo, p_type AS seccion FROM part",
     "cleaning_extract": f"""{_WITH}
 SELECT 'edades' AS nombre, {_PLACE.lower()}, cp AS cp, ppa03 AS personas_ppa03, p10c21 AS personas_p10c21,
@@ -275,7 +274,7 @@ SELECT seq, 'UPDATE ' || CASE WHEN tabla = 'vivienda' THEN 'base_sr' ELSE 'base_
   || CASE WHEN tabla = 'personas' AND coalesce(cp, 0) <> 0 THEN ' and `personas`.`cp` = ' || cp ELSE '' END
   || '; ' AS sentencia
 FROM placed""",
-    "corrections_conflicts": f"{_CORRECTIONS} SELECT depto, mupio, sector, estructura, vivienda, hogar, cp, tabla, "
+    "corrections_conflicts": f"{_CORRECTIONS} SELECT depto, mupio, sector, estructura, vivienda, hogar, coalesce(cp, 0) AS cp, tabla, "
     "columna, min(nuevo) AS menor, max(nuevo) AS mayor, count(*) AS n FROM placed "
     "GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9 HAVING min(nuevo) <> max(nuevo)",
     "corrections_apply": f"""{_CORRECTIONS},
@@ -305,7 +304,7 @@ SELECT 'vivienda' AS tabla, household AS "LEVEL-1-ID", 'P01H10' AS variable,
        nuevo AS valor_nuevo, seq, TRUE AS aplicado
 FROM last JOIN orders ON household = o_orderkey WHERE k = 1""",
     "productivity_totals": "SELECT 'A' || user_id AS analista, CAST(count(*) AS BIGINT) AS conteo FROM events "
-    "WHERE event_type IN ('click', 'view', 'error') GROUP BY user_id",
+    "GROUP BY user_id",
     "analyst_list": "SELECT DISTINCT 'A' || user_id AS analista FROM events",
     "latest_batch": "SELECT strftime(date_trunc('minute', max(ts)), 'Inconsistencias_%d-%m-%H-%M') AS lote, "
     "strftime(max(ts), '%m-%d %H:%M') AS fecha FROM events WHERE event_type <> 'error'",
@@ -318,12 +317,41 @@ FROM last JOIN orders ON household = o_orderkey WHERE k = 1""",
         "SELECT strftime(l_shipdate, '%Y-%m-%d') AS FECHA, l_suppkey % 20 AS ENCUESTADOR, "
         "l_orderkey % 22 + 1 AS DEPTO, l_orderkey % 17 + 1 AS MUPIO, l_suppkey % 25 AS SECTOR, "
         "l_orderkey AS ESTRUCTURA, l_orderkey % 1000 AS VIVIENDA, l_orderkey % 3 + 1 AS HOGAR, "
-        "CAST(l_linenumber AS BIGINT) AS CP, 3 AS CAPITULO, 'A' AS SECCION, 3 AS PREGUNTA, "
+        f"CAST(l_linenumber AS BIGINT) AS CP, {chapter} AS CAPITULO, '{section}' AS SECCION, {question} AS PREGUNTA, "
         f"'{definition}' AS \"DEFINICION DE INCONSISTENCIA\", '{code}' AS \"CODIGO ERROR\", "
         f"CAST(NULL AS VARCHAR) AS COMENTARIOS FROM lineitem WHERE {where}"
-        for definition, code, where in (
-            ("Edad alta", "03A00301", "l_quantity >= 48 AND l_quantity <> 50"),
-            ("Edad sin dato", "03A00302", "l_quantity = 50"),
+        for chapter, section, question, definition, code, where in (
+            (3, "A", 3, "Edad alta", "03A00301", "l_quantity >= 48 AND l_quantity <> 50"),
+            (3, "A", 3, "Edad sin dato", "03A00302", "l_quantity = 50"),
+            (10, "A", 1, "Respuesta sin dato en menores", "10A00101", "(l_returnflag = 'N' OR l_linenumber = 2) AND l_quantity < 3"),
+            (10, "C", 21, "Ocupación", "10C02101", "l_suppkey % 9 IN (5, 6) AND l_partkey % 9 > 6"),
+            (10, "C", 47, "Horas distintas", "10C04701", "l_tax <> 0.08 AND l_quantity = 10"),
+            (1, "H", 9, "Hogar sin dato", "01H00901", "l_linenumber = 1 AND (l_orderkey % 10 = 3 OR l_orderkey % 7 = 2)"),
+            (1, "A", 5, "Gasto fuera de rango", "01A00501", "l_extendedprice > 480000 OR l_extendedprice < 1500"),
+            (1, "H", 10, "Hogar y persona", "01H01001", "l_linenumber = 5 AND l_quantity = 7"),
+            (13, "A", 4, "Segunda ronda", "13A00401", "l_orderkey % 40 IN (27, 29, 30, 31, 32, 33) AND l_orderkey % 3 = l_suppkey % 3"),
         )
     ),
+    "date_window_open": f'{_WITH}, finished AS (SELECT id AS "LEVEL-1-ID", {_FECHA}, fecha FROM level1 WHERE o_orderstatus <> \'O\') '
+    "SELECT \"LEVEL-1-ID\", FECHA, 'desde' AS ventana FROM finished WHERE fecha >= DATE '1997-03-10' UNION ALL "
+    "SELECT \"LEVEL-1-ID\", FECHA, 'hasta' FROM finished WHERE fecha <= DATE '1997-03-10'",
+    "pred_exact_integers": "SELECT * FROM (SELECT l_orderkey AS ORDEN, l_linenumber AS CP, 9007199254740992 + l_linenumber AS GRANDE, "
+    "9223372036854775800 + l_linenumber AS MAYOR, CASE WHEN l_linenumber = 2 THEN CAST(-2147483648 AS INTEGER) ELSE l_linenumber END AS ENTERO "
+    "FROM lineitem) WHERE CP = 3 OR CP = 7 OR CP = 2",
+    "merge_reports_left": "SELECT o_custkey % 25 AS GRUPO, o_orderkey AS HOGAR, 'regla' AS ORIGEN FROM orders "
+    "WHERE o_orderstatus = 'F' UNION ALL SELECT o_custkey % 30, o_orderkey, 'texto' FROM orders "
+    "WHERE o_orderstatus <> 'F' AND o_custkey % 30 IN (SELECT o_custkey % 25 FROM orders WHERE o_orderstatus = 'F')",
+    "line_counts": "SELECT o_orderstatus AS estado, CAST(count(*) AS BIGINT) AS lineas FROM orders GROUP BY 1",
+    "group_files_roundtrip": f'{_GROUPED} SELECT GRUPO, SECTOR, DEPTO, HOGAR, CP, "CODIGO ERROR" FROM grouped',
+    "corrections_unused": f"""{_CORRECTIONS},
+sheet AS (
+  SELECT CASE WHEN seq % 7 = 0 THEN 'personas.p99x01' WHEN seq % 11 = 0 THEN 'sin punto' ELSE variable END AS variable,
+         CASE WHEN seq % 13 = 0 THEN 'x' ELSE nuevo END AS nuevo, seq, seq % 5 = 0 AS away
+  FROM raw JOIN orders ON household = o_orderkey
+)
+SELECT seq, variable, nuevo AS "valor nuevo", motivo FROM (
+  SELECT *, CASE WHEN variable IS NULL OR variable = 'sin punto' OR nuevo IS NULL THEN 'sin variable o valor'
+    WHEN variable = 'personas.p99x01' THEN 'variable desconocida' WHEN away THEN 'hogar desconocido'
+    WHEN variable <> 'personas.p10a01' AND NOT regexp_full_match(nuevo, '[0-9]+') THEN 'valor no convertible' END AS motivo FROM sheet
+) WHERE motivo IS NOT NULL""",
 }

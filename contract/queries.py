@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -29,6 +28,8 @@ from surveyqa.operators.violations import Predicate, evaluate
 from surveyqa.plans import cleaning, productivity
 from surveyqa.plans.validate import cross_module_check, filter_rule, open_text_check, validate
 from surveyqa.session import checkpoint_folder, tune
+from surveyqa.sinks import write_by
+from surveyqa.sources.files import count_lines, read_group_files
 from surveyqa.streaming import validate_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +56,11 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
+def shared_root(spark: SparkSession) -> str:
+    """A folder that all hosts see: the one the cluster names, else the warehouse."""
+    return checkpoint_folder(spark) or f"{spark.conf.get('spark.sql.warehouse.dir')}/staged"
+
+
 def rule_sheet(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RULES, schemas.RULES)
 
@@ -111,8 +117,7 @@ def table_profile(spark, sf_dir):
 @query("filter_project")
 def filter_project(spark, sf_dir):
     return filter_rule(
-        survey_tables(spark, sf_dir), "PPA03 >= 40 & P10A01 no es vacío", ["DEPTO", "HOGAR", "CP", "PPA03"],
-        START, END,
+        survey_tables(spark, sf_dir), "PPA03 >= 40 & P10A01 no es vacío", ["DEPTO", "HOGAR", "CP", "PPA03"]
     )
 
 
@@ -161,6 +166,16 @@ def pred_arithmetic(spark, sf_dir):
     return where(nullable_lines(spark, sf_dir), "CANTIDAD - CP * 2 > 40 y ~(10 / PROVEEDOR < 4)")
 
 
+@query("pred_exact_integers")
+def pred_exact_integers(spark, sf_dir):
+    """Whole numbers of 16 to 19 digits, which doubles would run together."""
+    lines = given(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS ORDEN", "l_linenumber AS CP", "9007199254740992 + l_linenumber AS GRANDE",
+        "9223372036854775800 + l_linenumber AS MAYOR", "if(l_linenumber = 2, -2147483648, l_linenumber) AS ENTERO",
+    )
+    return where(lines, "GRANDE - 9007199254740992 = 3 o MAYOR = 9223372036854775807 o -ENTERO > 2147483647")
+
+
 # -- base assembly -----------------------------------------------------------------------------
 
 
@@ -168,7 +183,7 @@ def pred_arithmetic(spark, sf_dir):
 def base_assembly(spark, sf_dir):
     return assemble(
         survey_tables(spark, sf_dir), {("personas", "PR"), ("vivienda", "PR")},
-        ["PPA03", "P01H09", "P01H10"], START, END,
+        ["PPA03", "P01H09", "P01H10"],
     )
 
 
@@ -184,10 +199,21 @@ def date_window(spark, sf_dir):
     ).select("LEVEL-1-ID", "FECHA", "P01H10")
 
 
+@query("date_window_open")
+def date_window_open(spark, sf_dir):
+    """Windows with one end only."""
+    tables, columns = survey_tables(spark, sf_dir), ["LEVEL-1-ID", "FECHA"]
+    parts = [
+        assemble(tables, {("vivienda", "PR")}, [], start, end).select(*columns, F.lit(name).alias("ventana"))
+        for name, start, end in (("desde", "1997-03-10", None), ("hasta", None, "1997-03-10"))
+    ]
+    return parts[0].unionAll(parts[1])
+
+
 @query("household_default_cp")
 def household_default_cp(spark, sf_dir):
     return filter_rule(
-        survey_tables(spark, sf_dir), "P01H10 es vacio", ["LEVEL-1-ID", "CP", "SECTOR"], START, END
+        survey_tables(spark, sf_dir), "P01H10 es vacio", ["LEVEL-1-ID", "CP", "SECTOR"]
     )
 
 
@@ -343,18 +369,49 @@ def merge_reports(spark, sf_dir):
     one = orders.filter("o_orderstatus = 'F'").selectExpr(
         "o_custkey % 25 AS GRUPO", "o_orderkey AS HOGAR", "'regla' AS ORIGEN"
     )
-    two = orders.filter("o_orderstatus = 'P'").selectExpr(
+    two = orders.filter("o_orderstatus <> 'F'").selectExpr(
         "o_orderkey AS HOGAR", "'texto' AS ORIGEN", "o_custkey % 30 AS GRUPO"
     )
     return reports.merge_reports(one, two)
 
 
+@query("merge_reports_left")
+def merge_reports_left(spark, sf_dir):
+    """Groups that only the right report has are left out."""
+    orders = given(spark, sf_dir, "orders")
+    one = orders.filter("o_orderstatus = 'F'").selectExpr("o_custkey % 25 AS GRUPO", "o_orderkey AS HOGAR", "'regla' AS ORIGEN")
+    two = orders.filter("o_orderstatus <> 'F'").selectExpr("o_orderkey AS HOGAR", "'texto' AS ORIGEN", "o_custkey % 30 AS GRUPO")
+    return reports.merge_reports(one, two, left_groups_only=True)
+
+
+@query("line_counts")
+def line_counts(spark, sf_dir):
+    """Lines per file of text that Spark wrote."""
+    root = f"{shared_root(spark)}/lines-{uuid.uuid4().hex}"
+    given(spark, sf_dir, "orders").selectExpr("o_orderstatus AS estado", "CAST(o_orderkey AS STRING) AS linea").repartition(
+        "estado"
+    ).write.partitionBy("estado").text(root)
+    counted = count_lines(spark, f"{root}/*/*.txt")
+    state = F.regexp_extract("ruta", "estado=([^/]*)/", 1).alias("estado")
+    return counted.select(state, "lineas").groupBy("estado").agg(F.sum("lineas").alias("lineas"))
+
+
+@query("group_files_roundtrip")
+def group_files_roundtrip(spark, sf_dir):
+    """Grouped violations written by group and read back, the group from the folder's name."""
+    root = f"{shared_root(spark)}/groups-{uuid.uuid4().hex}"
+    rows = grouped(spark, sf_dir).select("GRUPO", "SECTOR", "DEPTO", "HOGAR", "CP", fv.CODE)
+    write_by(rows, root, ["GRUPO"])
+    schema = T.StructType([f for f in rows.schema.fields if f.name != "GRUPO"])
+    return read_group_files(spark, f"{root}/*/*.csv", schema)
+
+
 @query("outer_join")
 def outer_join(spark, sf_dir):
     orders, lines = given(spark, sf_dir, "orders"), given(spark, sf_dir, "lineitem")
     return compare.outer_join([
-        orders.filter("o_orderstatus = 'P'").selectExpr("o_orderkey AS `LEVEL-1-ID`", "o_custkey AS P16A01"),
-        lines.filter("l_quantity = 50").selectExpr("l_orderkey AS `LEVEL-1-ID`", "l_linenumber AS P17A06B"),
+        orders.selectExpr("o_orderkey AS `LEVEL-1-ID`", "o_custkey AS P16A01"),
+        lines.selectExpr("l_orderkey + 3 AS `LEVEL-1-ID`", "l_linenumber AS P17A06B"),
     ], fv.HOUSEHOLD_KEY)
 
 
@@ -405,9 +462,7 @@ def rules_approved(spark, sf_dir):
 @query("codes_unreviewed")
 def codes_unreviewed(spark, sf_dir):
     emitted = given(spark, sf_dir, "lineitem").select(F.concat(F.lit("R"), "l_partkey").alias("codigo"))
-    reviewed = given(spark, sf_dir, "part").filter("p_size > 3").select(
-        F.concat(F.lit("R"), "p_partkey").alias("codigo")
-    )
+    reviewed = given(spark, sf_dir, "supplier").select(F.concat(F.lit("R"), "s_suppkey").alias("codigo"))
     return triage.unreviewed(emitted, reviewed, "codigo")
 
 
@@ -450,8 +505,8 @@ def split_list_query(spark, sf_dir):
 
 
 def corrections(spark, sf_dir):
-    """A correction for each line with a high quantity; some for a whole household, some unusable."""
-    return given(spark, sf_dir, "lineitem").filter("l_quantity >= 40").selectExpr(
+    """A correction for each line; some for a whole household, some unusable."""
+    return given(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey % 22 + 1 AS depto", "l_orderkey % 17 + 1 AS mupio",
         "l_orderkey div 1000 AS estructura", "l_orderkey % 1000 AS vivienda",
         "l_orderkey % 3 + 1 AS hogar",
@@ -491,6 +546,17 @@ def corrections_conflicts(spark, sf_dir):
     return correction_conflicts(clean_corrections(placed_corrections(spark, sf_dir)))
 
 
+@query("corrections_unused")
+def corrections_unused(spark, sf_dir):
+    """Corrections that change nothing, among them some of unknown variables and households."""
+    sheet = placed_corrections(spark, sf_dir).withColumns({
+        "variable": F.expr("CASE WHEN seq % 7 = 0 THEN 'personas.p99x01' WHEN seq % 11 = 0 THEN 'sin punto' ELSE variable END"),
+        "sector": F.expr("if(seq % 5 = 0, 99, sector)"),
+        fv.NEW_VALUE: F.expr("if(seq % 13 = 0, 'x', `valor nuevo`)"),
+    })
+    return cleaning.unused_corrections(survey_tables(spark, sf_dir), sheet)
+
+
 @query("corrections_apply")
 def corrections_apply(spark, sf_dir):
     corrected, _ = cleaning.correct_table(
@@ -517,7 +583,7 @@ def productivity_totals(spark, sf_dir):
         F.concat(F.lit("A"), "user_id").alias("analista"), "event_type"
     )
     totals = events.filter("event_type = 'click'").groupBy("analista").agg(F.count("*").alias("conteo"))
-    new = events.filter("event_type IN ('view', 'error')").groupBy("analista").agg(
+    new = events.filter("event_type <> 'click'").groupBy("analista").agg(
         F.count("*").alias("conteo")
     )
     return productivity.add_counts(totals, new)
@@ -569,18 +635,21 @@ def fill_cast_int_query(spark, sf_dir):
 @query("stream_rules")
 def stream_rules(spark, sf_dir):
     """Rules over the line items as a stream, written to files and read back when it has caught up."""
-    shared = checkpoint_folder(spark)
-    root = f"{shared}/stream-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="run-")
+    root = f"{shared_root(spark)}/stream-{uuid.uuid4().hex}"
     schema = given(spark, sf_dir, "lineitem").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem.parquet*")
+    # A stream's path must be a folder or a pattern; this pattern names one path only.
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem.parque[t]")
     answers = stream.selectExpr(
         "CAST(l_shipdate AS DATE) AS FECHA", "l_suppkey % 20 AS ENCUESTADOR",
         "l_orderkey % 22 + 1 AS DEPTO", "l_orderkey % 17 + 1 AS MUPIO", "l_suppkey % 25 AS SECTOR",
         "l_orderkey AS ESTRUCTURA", "l_orderkey % 1000 AS VIVIENDA", "l_orderkey % 3 + 1 AS HOGAR",
         "l_linenumber AS CP", "nullif(CAST(l_quantity AS INT), 50) AS PPA03", "l_suppkey % 9 AS P10C21",
+        "CASE WHEN l_returnflag = 'N' THEN NULL WHEN l_linenumber = 2 THEN '' ELSE l_returnflag END AS P10A01",
+        "l_partkey % 9 AS P10D07", "nullif(l_tax, 0.0D) AS P10C47", "l_linenumber AS P01H09",
+        "nullif(l_orderkey % 10, 3) AS P01H10", "nullif(l_orderkey % 7, 2) AS P01H11", "l_extendedprice AS P01A05",
+        "l_orderkey % 40 AS P13A04A", "l_orderkey % 3 AS P13A07A", "l_suppkey % 3 AS P13A07E",
     )
-    rules = rule_sheet(spark).filter(F.col(fv.RULE_CODE).isin("03A00301", "03A00302"))
-    found, _ = validate_stream(answers, rules)
+    found, _ = validate_stream(answers, rule_sheet(spark))
     started = (
         found.writeStream.format("parquet").option("path", f"{root}/rows")
         .option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()

@@ -63,8 +63,9 @@ def condition_variables(condition: Column) -> Column:
 
 
 def leading_variable(condition: Column) -> Column:
-    """The name a condition starts with, or an empty string."""
-    return F.regexp_extract(condition, fv.LEADING_VARIABLE_PATTERN, 1)
+    """The names that the lines of a condition start with, in order; empty without any."""
+    names = F.regexp_extract_all(condition, F.lit("(?m)" + fv.LEADING_VARIABLE_PATTERN), F.lit(1))
+    return F.array_join(names, ", ")
 
 
 def group_number(file_name: Column) -> Column:

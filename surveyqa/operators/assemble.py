@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from surveyqa import fixed_values as fv
 from surveyqa.functions.dates import parse_survey_date
 from surveyqa.operators.conditions import ConditionError
-from surveyqa.operators.violations import Predicate, flagged_rows
+from surveyqa.operators.violations import FLAG_COLUMNS, Predicate, flagged_rows
 
 TableKey = tuple[str, str]
 
@@ -118,9 +118,14 @@ def finished_filter(columns: Iterable[str]) -> Column | None:
     return None
 
 
-def within(day: Column, start: str, end: str) -> Column:
-    """Both ends belong to the window; an unreadable date is outside it."""
-    return day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+def within(day: Column, start: str | None, end: str | None) -> Column:
+    """Both ends belong to the window, either may be open; an unreadable date is outside it."""
+    inside = day.isNotNull()
+    if start is not None:
+        inside &= day >= F.lit(start).cast("date")
+    if end is not None:
+        inside &= day <= F.lit(end).cast("date")
+    return inside
 
 
 def live_cases(households: DataFrame, cases: DataFrame) -> DataFrame:
@@ -192,7 +197,8 @@ def assemble(
     them. Person tables come next, so that a hot household sits in a join whose two sides are both
     fresh shuffles, which adaptive execution can split. ``person_keys`` may add CP when two person
     tables describe the same persons; on the household alone each pairs with each. With ``early``
-    only the rows of its table that break a rule are joined, and the flag words are kept.
+    only the rows of its table that break a rule are joined, all passes over it together, and the
+    flag columns are kept.
     """
     needed = set(needed)
     rounds = needed_rounds(needed)
@@ -215,14 +221,14 @@ def assemble(
         used = list(dict.fromkeys([*keys, *used]))
         df = tables.tables[key]
         if early is not None and key == early.table:
-            df, found = flagged_rows(df, early.predicates, used)
-            words.extend(found)
+            df = flagged_rows(df, early.predicates, used)
+            words.extend(FLAG_COLUMNS)
         else:
             df = df.selectExpr(*[f"`{c}`" for c in used])
         if key in control and fv.START_DATE[key[1]] in used:
             date = fv.START_DATE[key[1]]
             df = df.withColumn(date, parse_survey_date(F.col(date)))
-            if start is not None and end is not None:
+            if start is not None or end is not None:
                 df = df.filter(within(F.col(date), start, end))
         return df
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,7 +135,7 @@ class TextCheck:
 def poor_answers(
     base: DataFrame, checks: Sequence[TextCheck], keep: Sequence[str], chapter: int, section: str
 ) -> DataFrame:
-    """A row per poor open answer: one pass over the base for all checks.
+    """A row per poor open answer: one pass over the base for all checks, good rows dropped first.
 
     The last column is the answer itself, which is short by construction.
     """
@@ -150,8 +152,9 @@ def poor_answers(
         for c in checks
     ])
     kept = [_name(c) for c in keep]
+    any_poor = reduce(or_, [too_short_or_stopword(_name(c.column), c.max_bytes, c.stopwords) for c in checks])
     return (
-        base.select(*kept, F.explode(hits).alias("_hit"))
+        base.filter(any_poor).select(*kept, F.explode(hits).alias("_hit"))
         .filter(F.col("_hit").isNotNull())
         .select(
             *kept,
@@ -196,4 +199,4 @@ def recently_visited(
         last = last_visit(visits, key, date_column, text_max=True)
         return last.filter(days_since(F.col("ultima_visita"), as_of) <= max_days).select(_name(key))
     day = parse_survey_date(_name(date_column))
-    return visits.filter(days_since(day, as_of) <= max_days).select(_name(key))
+    return visits.filter(days_since(day, as_of) <= max_days).select(_name(key)).distinct()

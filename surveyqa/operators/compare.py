@@ -62,5 +62,12 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def outer_join(tables: list[DataFrame], key: str) -> DataFrame:
-    """Full outer join of all tables on one key; columns other than the key must differ."""
-    return reduce(lambda a, b: a.join(b, key, "full_outer"), tables)
+    """Full outer join of all tables on one key; columns other than the key must differ.
+
+    Spark splits a hot key of left and anti joins, but not of a full outer join.
+    """
+    def both(a: DataFrame, b: DataFrame) -> DataFrame:
+        unmatched = b.join(a.select(F.col(f"`{key}`")).distinct(), key, "left_anti")
+        return a.join(b, key, "left").unionByName(unmatched, allowMissingColumns=True)
+
+    return reduce(both, tables)

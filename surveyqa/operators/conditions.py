@@ -71,6 +71,11 @@ def _kind(data_type: T.DataType) -> str:
     return data_type.simpleString()
 
 
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+#: Digits of the widest decimal.
+_WIDEST = 38
+
+
 def _quote(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -81,6 +86,8 @@ class _Side:
     kind: str
     names: tuple[str, ...] = ()
     text: str | None = None
+    #: The most digits of a whole number; None for other values.
+    digits: int | None = None
 
 
 class _Rewriter:
@@ -108,21 +115,27 @@ class _Rewriter:
             side = self.term(text[1:])
             if side.kind != "number":
                 raise ConditionError("a sign needs a number")
-            return _Side(f"(-{side.sql})", "number", side.names)
+            # The least whole number has no opposite of its own type.
+            value = side.sql if side.digits is None else f"CAST({side.sql} AS DECIMAL({side.digits}, 0))"
+            return _Side(f"(-{value})", "number", side.names, digits=side.digits)
         if text.startswith("\x02"):
             value = self.literals[int(text[1:-1])]
             return _Side(_quote(value), "text", text=value)
         if text[0].isdigit():
-            whole = text.isdigit() and len(text) <= 18
-            return _Side(text if whole else f"{text}D", "number")
+            if not text.isdigit():
+                return _Side(f"{text}D", "number")
+            if len(text) > _WIDEST:
+                raise ConditionError(f"more than {_WIDEST} digits: {text}")
+            return _Side(text if len(text) <= 18 else f"{text}BD", "number", digits=len(text))
         name, data_type = self.column(text)
-        return _Side(f"`{name}`", _kind(data_type), (name,))
+        return _Side(f"`{name}`", _kind(data_type), (name,), digits=_DIGITS.get(type(data_type)))
 
     def operand(self, text: str) -> _Side:
         """A column, number or quoted text, or a sum/product of numbers.
 
-        Arithmetic is done in double, which cannot overflow; dividing by zero gives a signed
-        infinity, or NULL for 0/0.
+        Sums, differences and products of whole numbers are decimals wide enough to be exact. Other
+        arithmetic, and any that needs more digits than a decimal has, is done in double, which
+        cannot overflow; dividing by zero gives a signed infinity, or NULL for 0/0.
         """
         pieces = re.split(r"(?<=[\w\x03])\s*([-+*/])\s*", text.strip())
         if len(pieces) == 1:
@@ -130,9 +143,10 @@ class _Rewriter:
         sides = [self.term(piece) for piece in pieces[::2]]
         if any(side.kind != "number" for side in sides):
             raise ConditionError(f"arithmetic needs numbers: {text}")
-        sums, signs = [f"CAST({sides[0].sql} AS DOUBLE)"], [""]
-        for sign, side in zip(pieces[1::2], sides[1:], strict=True):
-            value = f"CAST({side.sql} AS DOUBLE)"
+        digits = self.exact_digits(sides, pieces[1::2])
+        cast = [f"CAST({s.sql} AS {'DOUBLE' if digits is None else f'DECIMAL({s.digits}, 0)'})" for s in sides]
+        sums, signs = cast[:1], [""]
+        for sign, value in zip(pieces[1::2], cast[1:], strict=True):
             if sign in "+-":
                 sums.append(value)
                 signs.append(sign)
@@ -149,7 +163,21 @@ class _Rewriter:
         if "/" in pieces[1::2]:
             # Infinity less infinity is NaN, which Spark would order above every number.
             sql = f"nullif({sql}, double('NaN'))"
-        return _Side(f"({sql})", "number", names)
+        return _Side(f"({sql})", "number", names, digits=digits)
+
+    @staticmethod
+    def exact_digits(sides: list[_Side], signs: list[str]) -> int | None:
+        """Digits of an exact result, or None where there is no exact one."""
+        if "/" in signs or any(side.digits is None for side in sides):
+            return None
+        terms = [sides[0].digits]
+        for sign, side in zip(signs, sides[1:], strict=True):
+            if sign == "*":
+                terms[-1] += side.digits + 1
+            else:
+                terms.append(side.digits)
+        digits = max(terms) + len(terms) - 1
+        return digits if digits <= _WIDEST else None
 
     # -- comparisons ------------------------------------------------------
 

@@ -27,17 +27,18 @@ def clean_corrections(corrections: DataFrame) -> DataFrame:
 def correction_conflicts(cleaned: DataFrame) -> DataFrame:
     """Cells that were given more than one value."""
     return (
-        cleaned.groupBy(*_PLACE, "cp", "tabla", "columna")
+        cleaned.withColumn("cp", F.coalesce("cp", F.lit(0)))  # both stand for the whole household
+        .groupBy(*_PLACE, "cp", "tabla", "columna")
         .agg(F.min(fv.NEW_VALUE).alias("menor"), F.max(fv.NEW_VALUE).alias("mayor"),
              F.count("*").alias("n"))
         .filter("menor <> mayor")
     )
 
 
-def sql_value(value: Column) -> Column:
-    """Numbers as they are; anything else quoted, with quotes and backslashes escaped."""
+def sql_value(value: Column, text: Column) -> Column:
+    """Numbers as they are; texts, and what isn't a number, quoted and escaped."""
     escaped = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("''"))
-    return F.when(value.rlike(_NUMBER), value).otherwise(F.concat(F.lit("'"), escaped, F.lit("'")))
+    return F.when(value.rlike(_NUMBER) & ~text, value).otherwise(F.concat(F.lit("'"), escaped, F.lit("'")))
 
 
 def corrections_sql(
@@ -45,9 +46,13 @@ def corrections_sql(
 ) -> DataFrame:
     """One statement per correction, in the order column ``seq``.
 
-    ``cleaned`` carries the round of each correction in ``round``. The person number is part of the
-    condition for person tables only, and only when it is given.
+    ``cleaned`` carries the round of each correction in ``round``, and may carry the type of its column
+    in ``dtype``: values of a text column are quoted, also if they look like numbers. The person number
+    is part of the condition for person tables only, and only when it is given. A correction whose
+    round has no database gives no statement.
     """
+    cleaned = cleaned.filter(F.col("round").isin(*databases))
+    text = F.coalesce(F.col("dtype") == "string", F.lit(False)) if "dtype" in cleaned.columns else F.lit(False)
     database = F.lit(None).cast("string")
     for survey_round, name in databases.items():
         database = F.when(F.col("round") == survey_round, F.lit(name)).otherwise(database)
@@ -60,20 +65,38 @@ def corrections_sql(
     )).otherwise(place)
     table, column = F.col("tabla"), F.lower("columna")
     statement = F.format_string(
-        fv.UPDATE_LINE, database, table, table, table, table, column, sql_value(F.col(fv.NEW_VALUE)),
+        fv.UPDATE_LINE, database, table, table, table, table, column, sql_value(F.col(fv.NEW_VALUE), text),
         where,
     )
     return cleaned.select("seq", statement.alias("sentencia"))
 
 
-def latest_values(cleaned: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """One row per key; per column the last (seq, value) given, NULL when none was."""
-    last = F.struct("seq", F.col(fv.NEW_VALUE).alias("value"))
-    return cleaned.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*[
-        F.max(F.when(F.col("columna") == c, last)).alias(f"_new_{c}") for c in columns
+def latest_cells(located: DataFrame, columns: Sequence[str], has_person: bool) -> DataFrame:
+    """One row per household: per column the last (seq, value), by person where the table has persons.
+
+    Persons' values are first reduced to the last one each, so that a household's map holds one entry
+    per person; person 0 stands for all of them.
+    """
+    person = F.col(fv.PERSON) if has_person else F.lit(0)
+    last = located.groupBy(F.col(f"`{fv.HOUSEHOLD_KEY}`"), person.cast("long").alias("_person"), "columna").agg(
+        F.max(F.struct("seq", F.col(fv.NEW_VALUE).alias("value"))).alias("_last")
+    )
+    entry = F.struct("_person", "_last")
+    return last.groupBy(F.col(f"`{fv.HOUSEHOLD_KEY}`")).agg(*[
+        F.map_from_entries(F.collect_list(F.when(F.col("columna") == c, entry))).alias(f"_new_{c}") for c in columns
     ])
 
 
+def newest_of(column: str, has_person: bool) -> Column:
+    """The last (seq, value) for a row: of its household's value and its own."""
+    given = F.col(f"_new_{column}")
+    whole = F.try_element_at(given, F.lit(0).cast("long"))
+    if not has_person:
+        return whole
+    own = F.try_element_at(given, F.coalesce(F.col(fv.PERSON), F.lit(0)).cast("long"))
+    return F.greatest(whole, own)
+
+
 def apply_corrections(
     table: DataFrame, households: DataFrame, cleaned: DataFrame, table_name: str,
     columns: Sequence[str], record_keys: Sequence[str], logged_at: Column | None = None,
@@ -84,7 +107,7 @@ def apply_corrections(
     the household key. A correction without a person number holds for all rows of the household; of
     several values for a cell the one with the highest ``seq`` wins.
     """
-    own = cleaned.filter(F.col("tabla") == table_name)
+    own = cleaned.filter(F.lower("tabla") == table_name.lower())
     place = households.select(
         F.col(f"`{fv.HOUSEHOLD_KEY}`"), *[F.col(c).alias(c.lower()) for c in fv.CARTOGRAPHY]
     )
@@ -92,24 +115,16 @@ def apply_corrections(
         F.col(f"`{fv.HOUSEHOLD_KEY}`"), F.coalesce("cp", F.lit(0)).alias(fv.PERSON), "columna",
         F.col(f"`{fv.NEW_VALUE}`"), "seq",
     )
-    has_person = fv.PERSON in table.columns
-    whole = latest_values(
-        located.filter(F.col(fv.PERSON) == 0) if has_person else located, [fv.HOUSEHOLD_KEY], columns
-    )
-    joined = table.join(whole, fv.HOUSEHOLD_KEY, "left")
-    newest = {c: F.col(f"_new_{c}") for c in columns}
-    if has_person:
-        single = latest_values(
-            located.filter(F.col(fv.PERSON) != 0), [fv.HOUSEHOLD_KEY, fv.PERSON], columns
-        ).withColumnsRenamed({f"_new_{c}": f"_own_{c}" for c in columns})
-        joined = joined.join(single, [fv.HOUSEHOLD_KEY, fv.PERSON], "left")
-        newest = {c: F.greatest(F.col(f"_new_{c}"), F.col(f"_own_{c}")) for c in columns}
+    given = latest_cells(located, columns, fv.PERSON in table.columns)
+    joined = table.join(given, fv.HOUSEHOLD_KEY, "left")
+    newest = {c: newest_of(c, fv.PERSON in table.columns) for c in columns}
     types = {f.name: f.dataType for f in table.schema.fields}
     new_values = {c: newest[c]["value"].try_cast(types[c]) for c in columns}
     corrected = joined.select(*[
         F.coalesce(new_values[c], F.col(f"`{c}`")).alias(c) if c in new_values else F.col(f"`{c}`")
         for c in table.columns
     ])
+    logged = table.join(given, fv.HOUSEHOLD_KEY)  # only households with a correction travel
     entries = F.array(*[
         F.when(newest[c].isNotNull(), F.struct(
             F.lit(c).alias("variable"),
@@ -121,7 +136,7 @@ def apply_corrections(
         for c in columns
     ])
     audit = (
-        joined.select(*[F.col(f"`{k}`") for k in record_keys], F.explode(entries).alias("_entry"))
+        logged.select(*[F.col(f"`{k}`") for k in record_keys], F.explode(entries).alias("_entry"))
         .filter(F.col("_entry").isNotNull())
         .select(F.lit(table_name).alias("tabla"), *[F.col(f"`{k}`") for k in record_keys], "_entry.*")
     )

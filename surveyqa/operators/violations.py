@@ -82,44 +82,45 @@ def flag_words(base: DataFrame, predicates: Sequence[Predicate]) -> tuple[DataFr
     return df, words
 
 
-def flagged_rows(
-    base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]
-) -> tuple[DataFrame, list[str]]:
-    """Rows that break some rule: the kept columns and the flag words."""
-    flagged, words = flag_words(base, predicates)
-    broken = flagged.filter(" OR ".join(f"{word} <> 0L" for word in words))
-    return broken.selectExpr(*_quoted(keep), *words), words
-
-
-def expand_flags(
-    flagged: DataFrame, words: Sequence[str], predicates: Sequence[Predicate], keep: Sequence[str]
-) -> DataFrame:
+#: A row's flags: the number of the word and its bits.
+FLAG_COLUMNS = ("_word", "_flags")
+
+
+def flagged_rows(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
+    """Rows that break some rule, a row for each word with a bit set: the kept columns and flags.
+
+    Each pass reads the columns its rules use; the passes' rows are united, so that whatever is
+    joined to them is joined once, whatever the number of rules.
+    """
+    parts, first = [], 0
+    for some in passes(predicates):
+        flagged, words = flag_words(base, some)
+        broken = flagged.filter(" OR ".join(f"{word} <> 0L" for word in words))
+        rows = broken.selectExpr(*_quoted(keep), f"posexplode(array({', '.join(words)})) AS (_word, _flags)")
+        parts.append(rows.filter("_flags <> 0L").selectExpr(*_quoted(keep), f"_word + {first} AS _word", "_flags"))
+        first += len(words)
+    return reduce(DataFrame.unionAll, parts)
+
+
+def expand_flags(flagged: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
     """One row per flagged row and rule that holds for it: the kept columns and ``rule_id``."""
     kept = _quoted(keep)
-    last_bit = min(WORD, len(predicates)) - 1
-    ids = ", ".join(str(p.rule_id) for p in predicates)
+    ids: list[int] = []
+    for some in passes(predicates):
+        own = [p.rule_id for p in some]
+        ids += own + [-1] * (-len(own) % WORD)
     return (
-        flagged.selectExpr(*kept, f"posexplode(array({', '.join(words)})) AS (_word, _flags)")
-        .filter("_flags <> 0L")
-        .selectExpr(*kept, "_word", "_flags", f"explode(sequence(0, {last_bit})) AS _bit")
+        flagged.selectExpr(*kept, *FLAG_COLUMNS, f"explode(sequence(0, {WORD - 1})) AS _bit")
         .filter("shiftright(_flags, _bit) & 1L = 1L")
-        .selectExpr(*kept, f"element_at(array({ids}), _word * {WORD} + _bit + 1) AS rule_id")
+        .selectExpr(*kept, f"element_at(array({', '.join(map(str, ids))}), _word * {WORD} + _bit + 1) AS rule_id")
     )
 
 
-def broken_rules(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
-    """One row per base row and rule that holds: the kept columns and ``rule_id``.
+def evaluate(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
+    """``keep`` and ``rule_id`` for every base row and rule that holds for it.
 
-    One scan of the base. Rows that break no rule are dropped before anything is multiplied.
+    Rows that break no rule are dropped before anything is multiplied.
     """
-    flagged, words = flagged_rows(base, predicates, keep)
-    return expand_flags(flagged, words, predicates, keep)
-
-
-def evaluate(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
-    """``keep`` and ``rule_id`` for every base row and rule that holds for it."""
     if not predicates:
         return base.selectExpr(*_quoted(keep), "0 AS rule_id").limit(0)
-    return reduce(
-        DataFrame.unionAll, [broken_rules(base, group, keep) for group in passes(predicates)]
-    )
+    return expand_flags(flagged_rows(base, predicates, keep), predicates, keep)

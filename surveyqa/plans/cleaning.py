@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveyqa import fixed_values as fv
 from surveyqa import schemas
@@ -79,9 +80,9 @@ def cleaning_extract(
             for variable in exported_by(rule):
                 exported.setdefault(variable, []).append(rule.rule_id)
         needed = accepted[0].needed
-        names = F.broadcast(spark.createDataFrame(
+        names = spark.createDataFrame(
             [(r.rule_id, r.row[fv.CLEANING_NAME]) for r in accepted], "rule_id int, nombre string"
-        ))
+        )
         part = hits.join(names, "rule_id").select(
             "nombre",
             *[F.col(c).alias(c.lower()) for c in PLACE],
@@ -107,13 +108,59 @@ def cleaning_extract(
     return CleaningResult(extract, rejected)
 
 
+UNUSED_REASONS = ("sin variable o valor", "variable desconocida", "ronda ambigua", "hogar desconocido", "valor no convertible")
+
+
 def with_rounds(cleaned: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Each correction with the round of the table and column it names, first round first."""
-    rounds = catalog.groupBy(
-        F.lower("table").alias("tabla"), F.upper("variable").alias("columna")
-    ).agg(F.min("round").alias("round"))
+    """Each correction with the round and type of the table and column it names.
+
+    A column ``round`` of the sheet says which round is meant; without it a column held in both
+    rounds is ambiguous, and its corrections have a NULL round, as those of unknown columns.
+    """
+    held = catalog.groupBy(F.lower("table").alias("tabla"), F.upper("variable").alias("columna"))
     keyed = cleaned.withColumn("tabla", F.lower("tabla"))
-    return keyed.join(rounds, ["tabla", "columna"])
+    if "round" in cleaned.columns:
+        rounds = held.agg(F.map_from_entries(F.collect_set(F.struct("round", "dtype"))).alias("_held"))
+        joined = keyed.join(rounds, ["tabla", "columna"], "left")
+        dtype = F.try_element_at("_held", F.col("round"))
+        return joined.withColumns({
+            "dtype": dtype, "round": F.when(dtype.isNotNull(), F.col("round")), "_rounds": F.size("_held"),
+        }).drop("_held")
+    rounds = held.agg(F.min("round").alias("_round"), F.count_distinct("round").alias("_rounds"), F.min("dtype").alias("dtype"))
+    return keyed.join(rounds, ["tabla", "columna"], "left").withColumn(
+        "round", F.when(F.col("_rounds") == 1, F.col("_round"))
+    ).drop("_round")
+
+
+def unused_corrections(tables: SurveyTables, corrections: DataFrame) -> DataFrame:
+    """Corrections that change nothing, with the reason: ``seq``, ``variable``, value, ``motivo``."""
+    spark = corrections.sparkSession
+    kept = ["seq", "variable", fv.NEW_VALUE]
+    usable = F.col("variable").contains(".") & F.col(f"`{fv.NEW_VALUE}`").isNotNull()
+    missing = corrections.filter(~F.coalesce(usable, F.lit(False))).select(
+        *[F.col(f"`{c}`") for c in kept], F.lit(UNUSED_REASONS[0]).alias("motivo")
+    )
+    placed = with_rounds(clean_corrections(corrections), tables.catalog(spark))
+    places = None
+    for survey_round in sorted({r for name, r in tables.tables if name == fv.HOUSEHOLD_TABLE}):
+        own = tables.tables[(fv.HOUSEHOLD_TABLE, survey_round)].select(
+            F.lit(survey_round).alias("round"), *[F.col(c).alias(c.lower()) for c in fv.CARTOGRAPHY]
+        ).distinct().withColumn("_known", F.lit(True))
+        places = own if places is None else places.unionByName(own)
+    placed = placed.join(places, ["round", *[c.lower() for c in fv.CARTOGRAPHY]], "left")
+    value = F.col(f"`{fv.NEW_VALUE}`")
+    types = {f.dataType.simpleString(): f.dataType for df in tables.tables.values() for f in df.schema.fields}
+    unfit = F.lit(False)
+    for name, data_type in types.items():
+        if not isinstance(data_type, (T.StringType, T.ArrayType, T.StructType, T.MapType)):
+            unfit = unfit | ((F.col("dtype") == name) & value.try_cast(data_type).isNull())
+    reason = (
+        F.when(F.col("_rounds").isNull(), UNUSED_REASONS[1])
+        .when(F.col("round").isNull(), UNUSED_REASONS[2]).when(F.col("_known").isNull(), UNUSED_REASONS[3])
+        .when(unfit, UNUSED_REASONS[4])
+    )
+    rest = placed.withColumn("motivo", reason).filter("motivo IS NOT NULL")
+    return missing.unionByName(rest.select(*[F.col(f"`{c}`") for c in kept], "motivo"))
 
 
 def correction_script(

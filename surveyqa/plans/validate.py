@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException, ParseException
@@ -27,12 +26,9 @@ from surveyqa.operators.assemble import (
 )
 from surveyqa.operators.checks import TextCheck, poor_answers, recently_visited, set_mismatch
 from surveyqa.operators.conditions import ConditionError, compile_condition, condition_names
-from surveyqa.operators.violations import Predicate, evaluate, expand_flags, passes
+from surveyqa.operators.violations import FLAG_COLUMNS, Predicate, evaluate, expand_flags
 from surveyqa.session import staged
 
-# The rule sheet is written by hand and read by the driver; a larger table is not a rule sheet.
-MAX_RULES = 20_000
-
 IDENTITY = (fv.DATE, fv.INTERVIEWER, *fv.CARTOGRAPHY, fv.PERSON)
 
 
@@ -53,12 +49,9 @@ class RoutedRule:
     warnings: tuple[str, ...]
 
 
-def rule_rows(rules: DataFrame, limit: int = MAX_RULES) -> list[Row]:
-    """The rules on the driver, refused beyond a sheet's size."""
-    rows = rules.take(limit + 1)
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} rules")
-    return rows
+def rule_rows(rules: DataFrame) -> list[Row]:
+    """The rules' texts, read a partition at a time: the driver makes one plan of all of them."""
+    return list(rules.toLocalIterator())
 
 
 def route_rule(
@@ -150,8 +143,8 @@ def rule_hits(
     """Hits and their rules, by the tables the rules need: ``keep``, the exports and ``rule_id``.
 
     A rule on the columns of one table is evaluated on that table, and only rows that break a rule
-    are shuffled to meet their household. Other rules are evaluated on the joined base; with
-    ``work_dir`` a base that takes several passes is written there once.
+    are shuffled to meet their household, all of them in one join. Other rules are evaluated on the
+    joined base, which is written to ``work_dir`` once where that is given.
     """
     for needed, rules in by_tables.items():
         try:
@@ -175,22 +168,18 @@ def rule_hits(
                 continue
             predicates = [rule.predicate for rule in accepted]
             if home is None:
-                if work_dir is not None and len(passes(predicates)) > 1:
+                if work_dir is not None:
                     name = "-".join(sorted(f"{table}_{r}" for table, r in needed)) or "level"
                     base = staged(base, f"{work_dir}/{name}")
                 yield evaluate(base, predicates, columns), accepted
                 continue
-            parts = []
-            for some in passes(predicates):
-                early = EarlyFlags(home, some)
-                flagged = assemble(tables, needed, extra, start, end, early=early)
-                words = [c for c in flagged.columns if c.startswith("_w")]
-                parts.append(expand_flags(flagged, words, some, columns))
-            yield reduce(DataFrame.unionAll, parts), accepted
+            early = EarlyFlags(home, predicates)
+            flagged = assemble(tables, needed, extra, start, end, early=early)
+            yield expand_flags(flagged.select(*[F.col(f"`{c}`") for c in (*columns, *FLAG_COLUMNS)]), predicates, columns), accepted
 
 
 def _rule_details(spark: SparkSession, rules: Sequence[RoutedRule]) -> DataFrame:
-    """What a violation says about its rule. At most ``MAX_RULES`` rows, so safe to broadcast."""
+    """What a violation says about its rule."""
     rows = [
         (
             r.rule_id, r.row[fv.RULE_CHAPTER], r.row[fv.RULE_SECTION], r.row[fv.RULE_QUESTION],
@@ -207,7 +196,7 @@ def _rule_details(spark: SparkSession, rules: Sequence[RoutedRule]) -> DataFrame
 
 def with_rule_details(hits: DataFrame, rules: Sequence[RoutedRule]) -> DataFrame:
     """Hits (identity columns and ``rule_id``) as violations, columns in report order."""
-    details = F.broadcast(_rule_details(hits.sparkSession, rules))
+    details = _rule_details(hits.sparkSession, rules)  # Spark broadcasts it if its size allows
     return as_violations(hits.join(details, "rule_id"))
 
 

@@ -28,17 +28,17 @@ def read_violation_file(spark: SparkSession, path: str) -> DataFrame:
 def read_group_files(
     spark: SparkSession, pattern: str, schema: T.StructType, sep: str = ","
 ) -> DataFrame:
-    """All report files a pattern names, with the group number cut from each file's name."""
+    """All report files a pattern names, with the group number cut from the name of file or folder."""
     files = spark.read.schema(schema).option("header", True).option("sep", sep).option(
         "escape", '"'
     ).csv(pattern)
-    return files.withColumn("GRUPO", group_number(F.col("_metadata.file_name")))
+    return files.withColumn("GRUPO", group_number(F.upper(F.col("_metadata.file_path"))))
 
 
 def count_lines(spark: SparkSession, pattern: str) -> DataFrame:
-    """Lines per text file; an empty file has no row."""
-    lines = spark.read.text(pattern)
-    return (
-        lines.select(F.col("_metadata.file_name").alias("archivo"))
-        .groupBy("archivo").agg(F.count("*").alias("lineas"))
+    """Lines per text file, each file by its path; an empty file has 0."""
+    files = spark.read.format("binaryFile").load(pattern).select(
+        F.col("_metadata.file_path").alias("ruta"), F.col("_metadata.file_name").alias("archivo")
     )
+    lines = spark.read.text(pattern).groupBy(F.col("_metadata.file_path").alias("ruta")).agg(F.count("*").alias("lineas"))
+    return files.join(lines, "ruta", "left").select("ruta", "archivo", F.coalesce("lineas", F.lit(0)).alias("lineas"))

@@ -5,6 +5,8 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from contract.oracle import ORACLE_SQL
+from contract.queries import QUERIES
 from contract.tables import NAMES
 
 duckdb = pytest.importorskip("duckdb")
@@ -32,10 +34,10 @@ def canonical(records):
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL) and set(QUERIES) <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sql, name):
     found = queries()[name](spark, SF_DIR)
     columns = sorted(found.columns)
