@@ -2,7 +2,23 @@
 
 from __future__ import annotations
 
-from surveyqa import fixed_values as fv
+_CROSS_DEFINITION = (
+    "No está registrando los mismos CPs en actividad agrícola en el capítulo 10 y el 14. "
+    "No es coincidente la información de los CPs registrados. Verifique sección C o D capítulo 10, "
+    "persona ingresada como actividad económica no agrícola y no está siendo registrada en el capítulo 14 "
+    "o bien, está registrando información en el capítulo 14 de una persona pero no la categorizó como "
+    "actividad económica no agrícola en el capítulo 10."
+)
+_OPEN_TEXT = (
+    ("P10C02", 2, 3, ("NO", "NA", "N/A", "NADA", "ESTUDIA", "ESTUDIAR", "NINGUNO"),
+     "10C00251", "P10C02 Ocupación principal falta o insuficientemente descrita"),
+    ("P10C03", 3, 3, ("NO", "NA", "N/A", "NADA", "ESTUDIA", "ESTUDIAR", "NINGUNA", "NINGUNO"),
+     "10C00351", "P10C03 Actividad principal falta o insuficientemente descrita"),
+    ("P10C04", 4, 2, ("NO", "NA", "N/A", "POR", "NADA", "ESTUDIA", "ESTUDIAR"),
+     "10C00451", "P10C04 Empresa falta o insuficientemente descrita"),
+    ("P10C07", 7, 2, ("NO", "NA", "N/A", "POR", "NADA", "ESTUDIA", "ESTUDIAR"),
+     "10C00751", "P10C07 Productos falta o insuficientemente descrita"),
+)
 
 # The survey tables over the given ones, as common table expressions.
 _LEVEL = """
@@ -82,6 +98,15 @@ _GROUPED = (
     "JOIN nation ON viol.SECTOR = n_nationkey)"
 )
 
+_BIJECTION = f"""
+l AS (SELECT DISTINCT id, cp FROM {_PERSON} WHERE ppa10 = 1 AND ppa03 >= 18
+      AND (p10c21 IN (5, 6) OR p10d07 IN (5, 6) OR p10c47 > 0)),
+r AS (SELECT DISTINCT id, p14a04 AS cp FROM {_PERSON}
+      WHERE o_orderstatus <> 'O' AND p14a04 IS NOT NULL AND coalesce(p14a03a, '') <> ''),
+d AS (SELECT id, coalesce(l.cp, r.cp) AS cp FROM l FULL JOIN r USING (id, cp)
+      WHERE l.cp IS NULL OR r.cp IS NULL)"""
+_BOTH = "id IN (SELECT id FROM l) AND id IN (SELECT id FROM r)"
+
 _NULLABLE = """WITH n AS (
   SELECT l_orderkey AS ORDEN, l_linenumber AS CP,
          CASE WHEN CAST(l_quantity AS INTEGER) = 10 THEN NULL ELSE CAST(l_quantity AS INTEGER) END AS CANTIDAD,
@@ -139,7 +164,7 @@ def _open_text() -> str:
         f"({', '.join(repr(w) for w in words)})) "
         "AND (SELECT date_diff('day', CAST(max(ts) AS DATE), DATE '2024-02-02') FROM events "
         "WHERE user_id = id) <= 4"
-        for column, question, size, words, code, label in fv.OPEN_TEXT_CHECKS
+        for column, question, size, words, code, label in _OPEN_TEXT
     ]
     return f"{_WITH} " + " UNION ".join(parts)
 
@@ -181,19 +206,12 @@ ORACLE_SQL: dict[str, str] = {
     "AND fecha + 30 BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'",
     "rule_violations": f"{_VIOL} SELECT * FROM viol",
     "many_rules": _many_rules(),
-    "bijection_check": f"""{_WITH},
-l AS (SELECT DISTINCT id, cp FROM {_PERSON} WHERE ppa10 = 1 AND ppa03 >= 18
-      AND (p10c21 IN (5, 6) OR p10d07 IN (5, 6) OR p10c47 > 0)),
-r AS (SELECT DISTINCT id, p14a04 AS cp FROM {_PERSON}
-      WHERE o_orderstatus <> 'O' AND p14a04 IS NOT NULL AND coalesce(p14a03a, '') <> ''),
-d AS (SELECT id, coalesce(l.cp, r.cp) AS cp FROM l FULL JOIN r USING (id, cp)
-      WHERE l.cp IS NULL OR r.cp IS NULL)
+    "bijection_check": f"""{_WITH}, {_BIJECTION}
 SELECT {_FECHA}, encuestador AS ENCUESTADOR, {_PLACE}, CAST(cp AS BIGINT) AS CP,
        14 AS CAPITULO, 'A' AS SECCION, 3 AS PREGUNTA,
-       '{fv.CROSS_DEFINITION}' AS "DEFINICION DE INCONSISTENCIA", 'ACECO14' AS "CODIGO ERROR",
+       '{_CROSS_DEFINITION}' AS "DEFINICION DE INCONSISTENCIA", 'ACECO14' AS "CODIGO ERROR",
        CAST(NULL AS VARCHAR) AS COMENTARIOS
-FROM d JOIN inwin USING (id)
-WHERE id IN (SELECT id FROM l) AND id IN (SELECT id FROM r)""",
+FROM d JOIN inwin USING (id) WHERE {_BOTH}""",
     "collect_distinct": "SELECT l_orderkey, CAST(0 AS BIGINT) AS parte, "
     "string_agg(DISTINCT CAST(l_linenumber AS VARCHAR), ',' ORDER BY CAST(l_linenumber AS VARCHAR)) AS miembros, "
     "strftime(min(CAST(l_shipdate AS DATE)), '%Y-%m-%d') AS FECHA FROM lineitem GROUP BY l_orderkey",
@@ -332,12 +350,17 @@ FROM last JOIN orders ON household = o_orderkey WHERE k = 1""",
             (13, "A", 4, "Segunda ronda", "13A00401", "l_orderkey % 40 IN (27, 29, 30, 31, 32, 33) AND l_orderkey % 3 = l_suppkey % 3"),
         )
     ),
-    "date_window_open": f'{_WITH}, finished AS (SELECT id AS "LEVEL-1-ID", {_FECHA}, fecha FROM level1 WHERE o_orderstatus <> \'O\') '
-    "SELECT \"LEVEL-1-ID\", FECHA, 'desde' AS ventana FROM finished WHERE fecha >= DATE '1997-03-10' UNION ALL "
-    "SELECT \"LEVEL-1-ID\", FECHA, 'hasta' FROM finished WHERE fecha <= DATE '1997-03-10'",
+    "date_window_open": f'{_WITH}, finished AS (SELECT id AS "LEVEL-1-ID", {_FECHA}, fecha AS dia FROM level1 WHERE o_orderstatus <> \'O\') '
+    "SELECT \"LEVEL-1-ID\", FECHA, 'desde' AS ventana FROM finished WHERE dia >= DATE '1997-03-10' UNION ALL "
+    "SELECT \"LEVEL-1-ID\", FECHA, 'hasta' FROM finished WHERE dia <= DATE '1997-03-10'",
     "pred_exact_integers": "SELECT * FROM (SELECT l_orderkey AS ORDEN, l_linenumber AS CP, 9007199254740992 + l_linenumber AS GRANDE, "
     "9223372036854775800 + l_linenumber AS MAYOR, CASE WHEN l_linenumber = 2 THEN CAST(-2147483648 AS INTEGER) ELSE l_linenumber END AS ENTERO "
     "FROM lineitem) WHERE CP = 3 OR CP = 7 OR CP = 2",
+    "freq_with_cross_check": f"""{_VIOL}, {_BIJECTION}
+SELECT "CODIGO ERROR", "DEFINICION DE INCONSISTENCIA", FRECUENCIA FROM (
+  SELECT "CODIGO ERROR", "DEFINICION DE INCONSISTENCIA", count(*) AS FRECUENCIA FROM viol GROUP BY 1, 2 UNION ALL
+  SELECT 'ACECO14', '{_CROSS_DEFINITION}', count(DISTINCT id) FROM d WHERE {_BOTH} AND id IN (SELECT id FROM inwin))
+WHERE FRECUENCIA > 0""",
     "merge_reports_left": "SELECT o_custkey % 25 AS GRUPO, o_orderkey AS HOGAR, 'regla' AS ORIGEN FROM orders "
     "WHERE o_orderstatus = 'F' UNION ALL SELECT o_custkey % 30, o_orderkey, 'texto' FROM orders "
     "WHERE o_orderstatus <> 'F' AND o_custkey % 30 IN (SELECT o_custkey % 25 FROM orders WHERE o_orderstatus = 'F')",

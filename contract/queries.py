@@ -353,6 +353,14 @@ def freq_by_code(spark, sf_dir):
     return reports.frequency_by_code(violations(spark, sf_dir))
 
 
+@query("freq_with_cross_check")
+def freq_with_cross_check(spark, sf_dir):
+    """Rules and the chapter comparison together; a household counts once for the comparison."""
+    tables = survey_tables(spark, sf_dir)
+    rows = violations(spark, sf_dir).unionByName(cross_module_check(tables, START, END))
+    return reports.frequency_by_code(rows)
+
+
 @query("freq_by_interviewer")
 def freq_by_interviewer(spark, sf_dir):
     return reports.frequency_by_interviewer(violations(spark, sf_dir))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyqa import fixed_values as fv
+from surveyqa.operators.reports import households_once
 
 
 def unit_sector(unit):
@@ -45,8 +46,8 @@ def assign_groups(
 
 
 def deliverable_groups(grouped: DataFrame, group: str = "GRUPO") -> DataFrame:
-    """Groups with more than one row; the others are not sent."""
+    """Groups with more than one violation; the others are not sent."""
     return (
-        grouped.filter(F.col(f"`{group}`").isNotNull())
+        households_once(grouped, group).filter(F.col(f"`{group}`").isNotNull())
         .groupBy(F.col(f"`{group}`")).agg(F.count("*").alias("n")).filter("n > 1")
     )

@@ -11,6 +11,17 @@ from surveyqa import fixed_values as fv
 from surveyqa.functions.text import batch_time
 
 
+def households_once(violations: DataFrame, *keys: str, codes: Sequence[str] = (fv.CROSS_CODE,)) -> DataFrame:
+    """Rows to count: of the codes that compare chapters one per household, of others all.
+
+    Such a code's rows are the differing persons of a household, which is one violation. ``keys`` are
+    further columns in which the same household counts anew.
+    """
+    own = F.coalesce(F.col(f"`{fv.CODE}`").isin(*codes), F.lit(False))
+    once = violations.filter(own).dropDuplicates([*dict.fromkeys([fv.CODE, *fv.CARTOGRAPHY, *keys])])
+    return violations.filter(~own).unionByName(once)
+
+
 def frequency(violations: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows per key combination; rows with a NULL key are not counted."""
     return (
@@ -20,16 +31,16 @@ def frequency(violations: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def frequency_by_code(violations: DataFrame) -> DataFrame:
-    return frequency(violations, [fv.CODE, fv.DEFINITION])
+    return frequency(households_once(violations), [fv.CODE, fv.DEFINITION])
 
 
 def frequency_by_interviewer(violations: DataFrame) -> DataFrame:
-    return frequency(violations, [fv.INTERVIEWER])
+    return frequency(households_once(violations, fv.INTERVIEWER), [fv.INTERVIEWER])
 
 
 def violations_rollup(grouped: DataFrame, group: str = "GRUPO") -> DataFrame:
     """Rows per group and, flagged ``es_total``, of all groups: one aggregation."""
-    return grouped.rollup(F.col(f"`{group}`")).agg(
+    return households_once(grouped, group).rollup(F.col(f"`{group}`")).agg(
         F.grouping(F.col(f"`{group}`")).cast("int").alias("es_total"), F.count("*").alias("n")
     )
 
