@@ -356,6 +356,8 @@ FROM last JOIN orders ON household = o_orderkey WHERE k = 1""",
     "pred_exact_integers": "SELECT * FROM (SELECT l_orderkey AS ORDEN, l_linenumber AS CP, 9007199254740992 + l_linenumber AS GRANDE, "
     "9223372036854775800 + l_linenumber AS MAYOR, CASE WHEN l_linenumber = 2 THEN CAST(-2147483648 AS INTEGER) ELSE l_linenumber END AS ENTERO "
     "FROM lineitem) WHERE CP = 3 OR CP = 7 OR CP = 2",
+    "section_run": f"""{_VIOL} SELECT * FROM viol WHERE CAPITULO = 10 AND SECCION = 'C'""",
+    "batch_label": "SELECT strftime(ts, '%d-%m-%Y%H') AS etiqueta, count(*) AS n FROM events GROUP BY 1",
     "freq_with_cross_check": f"""{_VIOL}, {_BIJECTION}
 SELECT "CODIGO ERROR", "DEFINICION DE INCONSISTENCIA", FRECUENCIA FROM (
   SELECT "CODIGO ERROR", "DEFINICION DE INCONSISTENCIA", count(*) AS FRECUENCIA FROM viol GROUP BY 1, 2 UNION ALL

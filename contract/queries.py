@@ -26,6 +26,8 @@ from surveyqa.operators.conditions import compile_condition
 from surveyqa.operators.corrections import clean_corrections, correction_conflicts, corrections_sql
 from surveyqa.operators.violations import Predicate, evaluate
 from surveyqa.plans import cleaning, productivity
+from surveyqa.functions.dates import date_label
+from surveyqa.plans.full_run import run_section
 from surveyqa.plans.validate import cross_module_check, filter_rule, open_text_check, validate
 from surveyqa.session import checkpoint_folder, tune
 from surveyqa.sinks import write_by
@@ -474,6 +476,17 @@ def codes_unreviewed(spark, sf_dir):
     return triage.unreviewed(emitted, reviewed, "codigo")
 
 
+@query("section_run")
+def section_run(spark, sf_dir):
+    """One analyst's rules for one section of a chapter."""
+    return run_section(survey_tables(spark, sf_dir), rule_sheet(spark), "Luis", 10, "C", START, END).violations
+
+
+@query("batch_label")
+def batch_label(spark, sf_dir):
+    return given(spark, sf_dir, "events").groupBy(date_label(F.col("ts")).alias("etiqueta")).agg(F.count("*").alias("n"))
+
+
 @query("distinct_sections")
 def distinct_sections(spark, sf_dir):
     pairs = triage.sections(part_rules(spark, sf_dir))

@@ -97,6 +97,7 @@ CROSS_DEFINITION = (
 # Batch names and group files.
 BATCH_PATTERN = r"^Inconsistencias_(\d{2}-\d{2}-\d{2}-\d{2})"
 BATCH_TIME_FORMAT = "dd-MM-HH-mm"
+LABEL_FORMAT = "dd-MM-yyyyHH"
 GROUP_FILE_PATTERN = r"GRUPO=?(\d+)"
 
 # A unit code holds its sector from the 8th character to the third from the end.

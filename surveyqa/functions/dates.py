@@ -14,5 +14,10 @@ def parse_survey_date(text: Column) -> Column:
     return F.when(F.year(parsed) >= 2069, F.add_months(parsed, -1200)).otherwise(parsed)
 
 
+def date_label(moment: Column) -> Column:
+    """A moment as in the names of reports: day, month, year and hour."""
+    return F.date_format(moment, fv.LABEL_FORMAT)
+
+
 def days_since(day: Column, as_of: Column) -> Column:
     return F.datediff(as_of, day)

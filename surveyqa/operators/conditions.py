@@ -173,7 +173,7 @@ class _Rewriter:
         terms = [sides[0].digits]
         for sign, side in zip(signs, sides[1:], strict=True):
             if sign == "*":
-                terms[-1] += side.digits + 1
+                terms[-1] += side.digits
             else:
                 terms.append(side.digits)
         digits = max(terms) + len(terms) - 1

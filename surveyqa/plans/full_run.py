@@ -18,7 +18,8 @@ from surveyqa.operators.reports import (
     merge_reports,
     violations_rollup,
 )
-from surveyqa.plans.validate import cross_module_check, open_text_check, validate
+from surveyqa.operators.triage import select_rules
+from surveyqa.plans.validate import ValidationResult, cross_module_check, open_text_check, validate
 from surveyqa.session import staged, tune
 from surveyqa.sinks import write_by, write_consolidated, write_sorted_report
 
@@ -88,3 +89,16 @@ def run(
 def write_by_section(violations: DataFrame, out: str) -> None:
     """Violations with one directory per chapter and section."""
     write_by(violations, out, ["CAPITULO", "SECCION"])
+
+
+def write_by_rule(violations: DataFrame, out: str) -> None:
+    """Violations with one directory per chapter, section and rule."""
+    write_by(violations, out, ["CAPITULO", "SECCION", fv.CODE])
+
+
+def run_section(
+    tables: SurveyTables, rules: DataFrame, analyst: str, chapter: int, section: str, start: str | None = None,
+    end: str | None = None,
+) -> ValidationResult:
+    """The rules of one analyst for one section of a chapter."""
+    return validate(tables, select_rules(rules, analyst, chapter, section), start, end)

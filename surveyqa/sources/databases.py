@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from decimal import Decimal
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+from surveyqa import fixed_values as fv
 from surveyqa.sources.snapshots import write_table
 
 
@@ -54,6 +56,21 @@ def read_jdbc_table(
     return spark.read.format("jdbc").options(**options).load()
 
 
+def bounds_query(table: str, column: str) -> str:
+    """One row: the least and largest value of a key, from an index where the database has one."""
+    return f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}"
+
+
+def found_partitioning(
+    spark: SparkSession, connection: Mapping[str, str], table: str, column: str, partitions: int
+) -> Partitioning | None:
+    """Ranges of a numeric key over the values it has; None for an empty table or another kind of key."""
+    row = read_jdbc_query(spark, connection, bounds_query(table, column)).first()
+    if row is None or not isinstance(row["low"], (int, float, Decimal)) or row["low"] == row["high"]:
+        return None
+    return Partitioning(column, str(row["low"]), str(row["high"]), partitions)
+
+
 def read_jdbc_query(
     spark: SparkSession, connection: Mapping[str, str], query: str,
     partitioning: Partitioning | None = None,
@@ -80,22 +97,37 @@ class Extracted:
     error: str | None
 
 
+def ranges_of(
+    spark: SparkSession, connection: Mapping[str, str], table: str, column: str, partitions: int
+) -> Partitioning | None:
+    """Ranges of a table's key; None where it has no such column."""
+    try:
+        return found_partitioning(spark, connection, table, f"`{column}`", partitions)
+    except (PySparkException, Py4JError):
+        return None
+
+
 def extract_database(
     spark: SparkSession, connection: Mapping[str, str], root: str, survey_round: str,
     tables: Iterable[str] | None = None, commission: int | None = None,
-    partitioning: Mapping[str, Partitioning] | None = None,
+    partitioning: Mapping[str, Partitioning] | None = None, keys: Mapping[str, str] | None = None,
+    partitions: int = 64,
 ) -> list[Extracted]:
     """Copy one round's database to the snapshot, all tables or those listed.
 
-    Large tables should be given a partitioning, else one task reads each. A table that fails is
-    reported and the others are still copied.
+    Tables are read in ranges of the household key, or of their key in ``keys``, between its least and
+    largest value; ``partitioning`` overrides that. One task reads a table without such a key. A table
+    that fails is reported and the others are still copied.
     """
-    partitioning = partitioning or {}
+    partitioning, keys = partitioning or {}, keys or {}
     names = list_tables(spark, connection) if tables is None else tables
     done = []
     for table in names:
         try:
-            df = read_jdbc_table(spark, connection, table, partitioning.get(table))
+            ranges = partitioning.get(table)
+            if ranges is None:
+                ranges = ranges_of(spark, connection, table, keys.get(table, fv.HOUSEHOLD_KEY.lower()), partitions)
+            df = read_jdbc_table(spark, connection, table, ranges)
             path = write_table(df, root, table, survey_round, commission)
             done.append(Extracted(table, path, None))
         except (PySparkException, Py4JError) as error:

@@ -161,3 +161,18 @@ def test_many_words_and_passes(spark):
 def test_no_rules(spark):
     frame = spark.range(3).selectExpr("id AS A")
     assert evaluate(frame, [], ["A"]).count() == 0
+
+
+def test_exact_whole_numbers(spark):
+    rows = spark.createDataFrame(
+        [(9223372036854775807, 9007199254740993, 9007199254740992, -2147483648), (9223372036854775806, 5, 5, 1)],
+        "A1 long, B1 long, C1 long, D1 int",
+    )
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    count = lambda text: rows.filter(compile_condition(text, types).sql).count()
+    assert count("A1 = 9223372036854775807") == 1 and count("B1 - C1 = 1") == 1
+    assert count("-D1 = 2147483648") == 1 and count("-D1 > 0") == 1
+    assert count("A1 * B1 > 83076749736557242056487941267521536") == 1
+    assert count("A1 * A1 * A1 > 0") == 2 and count("B1 / C1 = 1") == 2
+    with pytest.raises(ConditionError):
+        compile_condition("A1 = " + "9" * 39, types)

@@ -38,6 +38,20 @@ def test_jdbc_options():
         jdbc_options(connection, table="a", query="b")
 
 
+def test_ranges_of_a_key(spark, monkeypatch):
+    """No database may run here: the one query that asks for the bounds is answered by Spark."""
+    asked = []
+
+    def read(session, connection, query, partitioning=None):
+        asked.append(query)
+        return session.sql("SELECT 3L AS low, 900L AS high" if "personas" in query else "SELECT NULL AS low, NULL AS high")
+
+    monkeypatch.setattr(databases, "read_jdbc_query", read)
+    found = databases.found_partitioning(spark, {}, "personas", "`level-1-id`", 16)
+    assert found == Partitioning("`level-1-id`", "3", "900", 16) and asked == ["SELECT MIN(`level-1-id`) AS low, MAX(`level-1-id`) AS high FROM personas"]
+    assert databases.found_partitioning(spark, {}, "vacia", "id", 16) is None
+
+
 def test_extraction_goes_on_after_a_bad_table(spark, tmp_path, monkeypatch):
     """No database may run here, so the reader is replaced; the copying around it is real."""
     def read(session, connection, table, partitioning=None):
