@@ -33,7 +33,7 @@ from surveyqa.llm.storage import mounted, shared_folder, staged, write_file
 from surveyqa.llm.words import BASE, Words, blocks, mix
 
 #: Tokens counted, and looked up, at once.
-COUNTED = 1 << 21
+COUNTED = 1 << 20
 END, BEGIN = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
 LOW40 = np.uint64((1 << 40) - 1)
 LARGE = 255
