@@ -3,7 +3,9 @@
 Both kinds of vocabulary split a text before they merge, and never merge across the start of a word.
 So a text's ids are those of its words, one after another, and a worker remembers the words it has
 seen. ``words_of`` cuts so that every piece is encoded alone as it would be in its text; a text with
-white space that the fast cut can't handle is cut by the slow pattern.
+white space that the fast cut can't handle is cut by the slow pattern. A new word of common letters is cut
+into the vocabulary's pieces, each of which goes to the library's merges once; any other new word goes
+through the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -15,13 +17,31 @@ from collections.abc import Callable
 from tokenizers import Tokenizer
 
 #: Words remembered by a worker; then it forgets all of them and begins again.
-KEPT = 1_500_000
+KEPT = 1_000_000
 #: White space as the vocabularies' patterns know it, and a blank before more of it, where runs are
 #: cut differently.
 WHITE = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 ODD_BLANKS = re.compile(f" [{WHITE}]")
 PIECES = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 BLACK = re.compile(f"[^{WHITE}]+")
+#: Letters of ASCII and Latin-1, which are their own normal form; words of these and ASCII are common.
+LETTERS = "A-Za-z" + "".join(map(chr, [*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]))
+COMMON = re.compile(rf"[\t-\r -~{LETTERS}]*")
+#: How the vocabularies cut common words, after folding for the one that folds.
+SPACED_PIECES = re.compile(
+    rf"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[0-9]+| ?[^\t-\r {LETTERS}0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+)
+PLAIN_PIECES = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[0-9]|[^\t-\r {LETTERS}0-9]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: printable bytes for themselves, the others from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+BYTE_LETTERS = byte_letters()
 
 
 def spaced(text: str) -> list[str]:
@@ -44,17 +64,29 @@ class Encoder:
     def __init__(self, path: str, words_of: Callable[[str], list[str]]) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.words_of, self.known = words_of, {}
+        self.merges, self.words_of, self.folds = self.tokenizer.model, words_of, words_of is plain
+        self.pieces = PLAIN_PIECES if self.folds else SPACED_PIECES
+        self.known: dict[str, bytes] = {}
+        self.merged: dict[str, bytes] = {}
+
+    def piece(self, text: str) -> bytes:
+        if text not in self.merged:
+            letters = text.encode().decode("latin-1").translate(BYTE_LETTERS)
+            self.merged[text] = array("I", [t.id for t in self.merges.tokenize(letters)]).tobytes()
+        return self.merged[text]
+
+    def word(self, text: str) -> bytes:
+        if COMMON.fullmatch(text):
+            return b"".join(map(self.piece, self.pieces.findall(text.lower() if self.folds else text)))
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.words_of(t) for t in texts]
         new = set().union(*cut).difference(self.known) if cut else set()
-        if len(self.known) + len(new) > KEPT:
-            self.known = {}
-            new = set().union(*cut)
-        fresh = list(new)
-        for word, done in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            self.known[word] = array("I", done.ids).tobytes()
+        if len(self.known) + len(new) > KEPT or len(self.merged) > KEPT:
+            self.known, self.merged, new = {}, {}, set().union(*cut)
+        for text in new:
+            self.known[text] = self.word(text)
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 

@@ -30,9 +30,9 @@ def test_stages(spark, tmp_path):
     assert max(ids.values()) <= 2
     pieces = kept["packing"].collect()
     assert collections.Counter(r.doc_id for r in pieces if r.piece == 0) == ids
-    assert {(r.doc_id, r.piece, r.sequence_id, r.offset) for r in pieces} == {
-        (r.doc_id, r.piece, r.sequence_id, r.offset) for r in corpus_pipeline.run(spark, SF_DIR).collect()
-    }
+    again = corpus_pipeline.run(spark, SF_DIR).collect()  # which copy of a length goes where may differ
+    shape = lambda rows: collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
+    assert shape(again) == shape(pieces) and len({r.sequence_id for r in again}) == len({r.sequence_id for r in pieces})
 
 
 def test_empty_and_odd_tables(spark, odd, nothing):
