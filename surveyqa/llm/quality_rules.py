@@ -1,11 +1,13 @@
 """Quality rules whose thresholds adapt to language and source.
 
-Method. One pass measures every whole text. Its ratios (symbols, capitals, repeated lines, repeated
-words) go into quantile sketches per language and source: counts per logarithmic bin, which merge by
-addition, know every quantile to a relative error of ``ERROR`` and don't depend on the order of rows.
-A group with fewer than ``FEW`` texts borrows the merged sketch of its language, or of everything. A
-ratio over the group's upper fence (third quartile plus ``FENCE`` interquartile ranges, a range of
-at least the ratio's ``SLACK``) fails the text; the fences are joined back to the measures.
+Method. One pass measures every whole text. The ratios (symbols, capitals, repeated lines, repeated
+words) of the texts that pass the base rules go into sketches per language and source: counts per
+logarithmic bin, which merge by addition, know every value to a relative error of ``ERROR`` and don't
+depend on the order of rows. A sketch's level is the share of its non-zero part times that part's mean,
+so that a ratio most texts of a group don't have is low there, and no floor holds it up. A group's level counts with its number of texts, its language's with ``PRIOR`` more, and that of
+everything stands behind the language's in the same way. A text fails where the lower confidence bound
+(Wilson, ``SURE`` deviations) of its ratio is over ``FENCE`` times the level: one repeated line of ten
+says less than a hundred of a thousand. The fences are joined back to the measures.
 
 Results. One row per input row. A null or blank text has no words and fails the base rules. A null
 language or source is a group of its own. Equal lines and windows are counted within one text only;
@@ -18,21 +20,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyqa.llm.storage import shared_folder, staged
 from surveyqa.llm.words import BYTES, SPACE, Words, blocks, mix, span_hashes, windows
 
-ERROR, FEW, FENCE = 0.01, 200, 3.0
+ERROR, PRIOR, FENCE, SURE = 0.01, 200.0, 3.0, 3.0
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_capitals", "n_lines", "n_dup_lines", "n_repeat_words"]
 RATIOS = {
     "symbols": "n_symbols / greatest(1, word_chars)", "capitals": "n_capitals / greatest(1, word_chars)",
     "lines": "n_dup_lines / greatest(1, n_lines)", "repeats": "n_repeat_words / greatest(1, n_words)",
 }
-#: The least interquartile range taken for each ratio: most texts have none of these, and a range of
-#: zero would fail every text that has one.
-SLACK = {"symbols": 0.02, "capitals": 0.02, "lines": 0.2, "repeats": 0.1}
+#: What each ratio is counted from; a repeated word comes with the five of its window.
+UNITS = {"symbols": "word_chars", "capitals": "word_chars", "lines": "n_lines", "repeats": "n_words / 5"}
+BASE_FAILED = "n_words < 10 OR 100 * n_repeat_words > 20 * n_words"
 #: Bytes that begin a character, symbols and capitals.
 BEGINS = (np.arange(256) & 0xC0) != 0x80
 SYMBOL, CAPITAL = np.zeros(256, bool), np.zeros(256, bool)
@@ -92,33 +94,37 @@ def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch[c] for c in keys] + list(map(pa.array, columns)), names=keys + COUNTS)
 
 
+def surely(ratio: str) -> str:
+    """SQL of the least ratio that a text's count is evidence for (Wilson's lower bound)."""
+    x, n = f"({RATIOS[ratio]})", f"greatest(1D, {UNITS[ratio]})"
+    z = f"{SURE ** 2}D"
+    bound = f"({x} + {z} / (2 * {n}) - {SURE}D * sqrt(greatest(0D, {x} * (1 - {x})) / {n} + {z} / (4 * {n} * {n}))) / (1 + {z} / {n})"
+    return f"if({x} > 0, {bound}, 0D)"  # exactly 0 without any
+
+
 def fences(rows: DataFrame) -> DataFrame:
     """``lang``, ``source`` and an upper fence per ratio, from mergeable sketches."""
     growth = (1 + ERROR) / (1 - ERROR)
+    passing = F.expr(f"NOT ({BASE_FAILED})").cast("long")
     values = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), F.expr(v).cast("double").alias("x")) for k, v in RATIOS.items()]))
-    bins = rows.select("lang", "source", values.alias("m")).select(
-        "lang", "source", "m.ratio",
-        F.when(F.col("m.x") > 1e-6, F.ceil(F.log("m.x") / np.log(growth)).cast("int")).otherwise(-(1 << 30)).alias("bin"),
-    ).groupBy("lang", "source", "ratio", "bin").agg(F.count("*").alias("n"))
-
-    def quartiles(sketch: DataFrame, keys: list[str], tag: str) -> DataFrame:
-        sketch = sketch.groupBy(*keys, "ratio", "bin").agg(F.sum("n").alias("n"))
-        group = Window.partitionBy(*keys, "ratio")
-        sketch = sketch.withColumn("upto", F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))
-        sketch = sketch.withColumn("all", F.sum("n").over(group))
+    bins = rows.select("lang", "source", passing.alias("w"), values.alias("m")).select(
+        "lang", "source", "w", "m.ratio",
+        F.when(F.col("m.x") > 0, F.ceil(F.log("m.x") / np.log(growth)).cast("int")).otherwise(-(1 << 30)).alias("bin"),
+    ).groupBy("lang", "source", "ratio", "bin").agg(F.sum("w").alias("n"))
+
+    def levels(sketch: DataFrame, keys: list[str], tag: str) -> DataFrame:
         value = F.expr(f"if(bin < {-(1 << 29)}, 0D, 2D * power({growth}D, bin) / ({growth}D + 1))")
-        low, high = (F.min(F.when(F.col("upto") >= q * F.col("all"), value)) for q in (0.25, 0.75))
-        quarters = sketch.groupBy(*keys, "ratio").agg(low.alias("low"), high.alias("high"), F.max("all").alias(f"n_{tag}"))
-        slack = F.element_at(F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv]), F.col("ratio"))
-        fence = F.col("high") + FENCE * F.greatest(F.col("high") - F.col("low"), slack)
-        return quarters.select(*keys, "ratio", fence.alias(f"fence_{tag}"), f"n_{tag}")
-
-    own = quartiles(bins, ["lang", "source"], "own")
-    language = quartiles(bins, ["lang"], "lang").withColumnsRenamed({"lang": "l", "ratio": "r"})
-    every = quartiles(bins, [], "all").withColumnRenamed("ratio", "r2")
+        total = F.sum("n")
+        level = F.coalesce(F.sum(F.col("n") * value) / F.nullif(total, F.lit(0)), F.lit(0.0))
+        return sketch.groupBy(*keys, "ratio").agg(level.alias(f"level_{tag}"), total.alias(f"n_{tag}"))
+
+    own = levels(bins, ["lang", "source"], "own")
+    language = levels(bins, ["lang"], "lang").withColumnsRenamed({"lang": "l", "ratio": "r"})
+    every = levels(bins, [], "all").withColumnRenamed("ratio", "r2")
     merged = own.join(language, F.col("lang").eqNullSafe(F.col("l")) & (F.col("ratio") == F.col("r"))).join(every, F.col("ratio") == F.col("r2"))
-    chosen = F.when(F.col("n_own") >= FEW, F.col("fence_own")).when(F.col("n_lang") >= FEW, F.col("fence_lang")).otherwise(F.col("fence_all"))
-    return merged.withColumn("fence", chosen).groupBy("lang", "source").agg(
+    behind = F.expr(f"(n_lang * level_lang + {PRIOR}D * level_all) / (n_lang + {PRIOR}D)")
+    level = (F.col("n_own") * F.col("level_own") + PRIOR * behind) / (F.col("n_own") + PRIOR)
+    return merged.withColumn("fence", FENCE * level).groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("ratio") == k, F.col("fence"))).alias(f"max_{k}") for k in RATIOS]
     )
 
@@ -134,8 +140,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = staged(named.mapInArrow(measured, schema), folder, "measures")
     limits = staged(fences(rows), folder, "fences").withColumnsRenamed({"lang": "l", "source": "s"})
     joined = rows.join(limits, F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s")))
-    failed = F.expr("n_words < 10 OR 100 * n_repeat_words > 20 * n_words")
-    within = F.expr(" AND ".join(f"{v} <= max_{k}" for k, v in RATIOS.items()))
+    failed = F.expr(BASE_FAILED)
+    within = F.expr(" AND ".join(f"{surely(k)} <= max_{k}" for k in RATIOS))
     return joined.select(
         "doc_id", *COUNTS, failed.alias("base_failed"), (~failed & within).alias("kept"), *[f"max_{k}" for k in RATIOS]
     )

@@ -64,6 +64,29 @@ def test_thresholds_follow_their_group(spark):
     assert not found[5000] and all(v for k, v in found.items() if k != 5000)
 
 
+@pytest.mark.parametrize("ratio", ["symbols", "capitals", "lines", "repeats"])
+def test_every_ratio_rejects_what_the_base_rules_pass(spark, ratio):
+    usual = lambda k, n: "\n".join(" ".join(f"w{k}x{j}x{i}" for i in range(6)) for j in range(n))
+    again = " ".join(f"again{i}" for i in range(7))
+    odd_one = {
+        "symbols": usual(900, 40) + "".join(f" #{i}$" for i in range(100)), "capitals": usual(900, 40) + " ABCDEFGHIJ" * 3 + " QRSTUVWXYZ" * 3 + "A" * 60,
+        "lines": usual(900, 10) + "\nrow" * 3 + "\n" + usual(901, 10) + "\nrow" * 3, "repeats": f"{usual(900, 10)} {again}\n{usual(901, 5)} {again}",
+    }[ratio]
+    for size in (60, 400):  # a source that never has the ratio, and one language of it only
+        rows = [(k, usual(k, 20), "en", "never") for k in range(size)] + [(5000, odd_one, "en", "never")]
+        found = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+        assert not found[5000].base_failed and not found[5000].kept and all(r.kept for k, r in found.items() if k != 5000)
+
+
+def test_a_ratio_that_is_usual_in_its_source_stays(spark):
+    usual = lambda k: " ".join(f"w{k}x{i}" for i in range(80))
+    marked = lambda k: usual(k) + "".join(f" #{k}y{i}" for i in range(40))
+    rows = [(k, marked(k) if k < 300 else usual(k), "en", "marked" if k < 300 else "plain") for k in range(1300)]
+    rows += [(5000, marked(5000), "en", "plain")]
+    found = {r.doc_id: r.kept for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not found[5000] and all(v for k, v in found.items() if k != 5000)
+
+
 # -- mixing ------------------------------------------------------------------------------------
 
 
