@@ -3,8 +3,8 @@
 Method. Three base kinds are found by fixed patterns. Further candidates come from wider patterns
 (provider tokens, keyed values of other names, long mixed runs). The hash of every candidate's value
 is aggregated over the corpus to its numbers of distinct repositories and owners: a value that several
-owners have is a widely copied example, one that stays with ``OWNERS`` owners or fewer and looks random
-is live-looking. Live-looking wider candidates add their spans; base spans stay whatever their owners.
+owners have, or that lies in more than ``REPOSITORIES`` repositories an owner, is a widely copied example;
+one that stays with ``OWNERS`` owners or fewer, is in few of their repositories and looks random is live-looking. Live-looking wider candidates add their spans; base spans stay whatever their owners.
 
 Results. One row per input row. Positions count code points from 0, ends exclusive. A null or blank
 text has no spans. A null owner or repository counts as one owner or repository. Rows with the same
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from surveyqa.llm.storage import shared_folder, staged
 
-#: A wider value with at most so many owners, and so many different characters, is live-looking.
-OWNERS, DIFFERENT = 2, 10
+#: A value with at most so many owners, repositories an owner, and at least so many different characters, is live-looking.
+OWNERS, REPOSITORIES, DIFFERENT = 2, 10, 10
 #: Kinds in their order: pattern, group that holds the value, least characters of it. The least length
 #: of the first kind is tested after matching, as a short match still takes its text.
 BASE = {
@@ -78,7 +78,8 @@ def judged(hits: DataFrame) -> DataFrame:
     repositories = spans.groupBy("hash", "_repository").agg(F.count("*").alias("n")).groupBy("hash").agg(
         F.count("*").alias("repositories")
     )
-    live = (F.col("owners") <= OWNERS) & (F.col("different") >= DIFFERENT)
+    few = (F.col("owners") <= OWNERS) & (F.col("repositories") <= REPOSITORIES * F.col("owners"))
+    live = few & (F.col("different") >= DIFFERENT)
     return spans.join(owners.join(repositories, "hash"), "hash").select(
         "_row", "kind", (F.col("end") - F.col("size")).alias("start"), "end", "owners", "repositories", live.alias("live")
     )
@@ -88,7 +89,7 @@ def collected(spans: DataFrame) -> DataFrame:
     """Spans per row in order of start and kind: base ones, and live-looking wider ones apart from kinds before."""
     wider = F.col("kind") >= len(BASE)
     spans = spans.filter(~wider | F.col("live"))
-    rows = spans.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live", "owners"))).alias("all"))
+    rows = spans.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live", "owners", "repositories"))).alias("all"))
     base = F.expr(f"filter(all, x -> x.kind < {len(BASE)})")
     return rows.withColumn("base", base).withColumn(
         "all", F.expr(f"filter(all, x -> x.kind < {len(BASE)} OR NOT exists(all, b -> b.kind < x.kind AND x.start < b.end AND x.end > b.start))")
@@ -103,7 +104,7 @@ def joined(spans: str) -> Column:
 def secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str = "doc_id"
 ) -> DataFrame:
-    """Counts of base kinds, their digest and all spans of every row; see the module."""
+    """Counts of base kinds, their digest and all spans of every row, with owners and repositories of each span's value."""
     hits = staged(found(docs, id_col, text_col, owner_col, repository_col, []), shared_folder(docs.sparkSession), "hits")
     rows = hits.select("_row", "_id").join(collected(judged(hits)), "_row", "left")
     count = lambda k: F.expr(f"coalesce(size(filter(base, x -> x.kind = {k})), 0)").cast("long")
@@ -113,6 +114,7 @@ def secrets(
         F.sha2(F.coalesce(joined("base"), empty), 256).alias("base_sha256"), F.coalesce(joined("all"), empty).alias("spans"),
         F.expr("coalesce(size(filter(all, x -> x.live)), 0)").cast("long").alias("n_live"),
         F.expr("coalesce(size(filter(all, x -> NOT x.live)), 0)").cast("long").alias("n_example"),
+        F.coalesce(F.expr("array_join(transform(all, x -> concat_ws(':', x.owners, x.repositories)), ',')"), empty).alias("copies"),
     )
 
 

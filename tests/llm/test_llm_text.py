@@ -157,6 +157,17 @@ def test_ownership_separates_examples(spark):
     assert texts[0] == rows[0][1] and texts[9] == "[SECRET]' and [SECRET]"
 
 
+def test_copies_within_one_owner_are_examples(spark):
+    sample, live, shared = "k3yAbCdEfGh123456", "q9ZxYwVuTs654321", "sk-abcdefghij0123456789ABCD"
+    rows = [(k, f"token = '{sample}' {shared}", "hot") for k in range(40)] + [(k, f"token = '{live}'", "hot") for k in range(40, 45)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r for r in secrets(df).collect()}
+    assert found[0].n_live == 0 and found[0].n_example == 1 and found[0].copies == "1:40"
+    assert found[40].n_live == 1 and found[40].copies == "1:5"
+    texts = {r.doc_id: r.text for r in redacted(df).collect()}
+    assert texts[0] == rows[0][1] and texts[40] == "[SECRET]'"
+
+
 def test_redacted_odd(odd, nothing):
     assert redacted(odd).columns == odd.columns and redacted(odd).count() == odd.count() and redacted(nothing).count() == 0
 
