@@ -4,7 +4,8 @@ Method. Three base kinds are found by fixed patterns. Further candidates come fr
 (provider tokens, keyed values of other names, long mixed runs). The hash of every candidate's value
 is aggregated over the corpus to its numbers of distinct repositories and owners: a value that several
 owners have, or that lies in more than ``REPOSITORIES`` repositories an owner, is a widely copied example;
-one that stays with ``OWNERS`` owners or fewer, is in few of their repositories and looks random is live-looking. Live-looking wider candidates add their spans; base spans stay whatever their owners.
+one that stays with ``OWNERS`` owners or fewer and in few of their repositories is live-looking if it is of a
+base kind or looks random: as many different characters as random values of its alphabet and length have. Live-looking wider candidates add their spans; base spans stay whatever their owners.
 
 Results. One row per input row. Positions count code points from 0, ends exclusive. A null or blank
 text has no spans. A null owner or repository counts as one owner or repository. Rows with the same
@@ -19,8 +20,10 @@ from pyspark.sql import functions as F
 
 from surveyqa.llm.storage import shared_folder, staged
 
-#: A value with at most so many owners, repositories an owner, and at least so many different characters, is live-looking.
-OWNERS, REPOSITORIES, DIFFERENT = 2, 10, 10
+#: A value with at most so many owners, and repositories an owner, is not widely copied. A wider value looks
+#: random with at least as many different characters as a random one of its length and alphabet has, less
+#: so many standard deviations.
+OWNERS, REPOSITORIES, DEVIATIONS = 2, 10, 3.0
 #: Kinds in their order: pattern, group that holds the value, least characters of it. The least length
 #: of the first kind is tested after matching, as a short match still takes its text.
 BASE = {
@@ -38,6 +41,18 @@ WIDER = {
 KINDS = list(BASE | WIDER)
 
 
+def alphabet(value: str) -> str:
+    """SQL of the number of characters that a value's are drawn from: digits, hexadecimal ones, or the classes it has."""
+    classes = " + ".join(f"if({value} rlike '{c}', {n}, 0)" for c, n in (("[0-9]", 10), ("[a-z]", 26), ("[A-Z]", 26), ("[^0-9a-zA-Z]", 6)))
+    return f"CASE WHEN {value} rlike '^[0-9]+$' THEN 10 WHEN {value} rlike '^([0-9a-f]+|[0-9A-F]+)$' THEN 16 ELSE {classes} END"
+
+
+#: Mean and variance of the different characters of a random value: ``long`` characters out of ``alphabet``.
+MISSING, BOTH = "power(1 - 1D / alphabet, long)", "power(greatest(0D, 1 - 2D / alphabet), long)"
+EXPECTED = f"alphabet * (1 - {MISSING})"
+VARIANCE = f"greatest(0D, alphabet * (alphabet - 1) * {BOTH} + alphabet * {MISSING} - pow(alphabet * {MISSING}, 2))"
+
+
 def matches(kind: str, pattern: str, group: int) -> str:
     """SQL of a kind's matches: number, characters since the match before, own length, value's features."""
     quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
@@ -48,8 +63,8 @@ def matches(kind: str, pattern: str, group: int) -> str:
                            regexp_extract_all(text, '{quoted}', 0), regexp_extract_all(text, '{quoted}', {group})),
                 (x, k) -> named_struct(
                     'kind', {KINDS.index(kind)}, 'k', k, 'gap', length(x['0']), 'size', length(x['1']), 'long', length(x['2']),
-                    'hash', xxhash64(x['2']), 'different', size(array_distinct(split(x['2'], ''))))),
-            cast(array() AS array<struct<kind: int, k: int, gap: int, size: int, long: int, hash: bigint, different: int>>))
+                    'hash', xxhash64(x['2']), 'different', size(array_distinct(split(x['2'], ''))), 'alphabet', {alphabet("x['2']")})),
+            cast(array() AS array<struct<kind: int, k: int, gap: int, size: int, long: int, hash: bigint, different: int, alphabet: int>>))
     """
 
 
@@ -79,7 +94,8 @@ def judged(hits: DataFrame) -> DataFrame:
         F.count("*").alias("repositories")
     )
     few = (F.col("owners") <= OWNERS) & (F.col("repositories") <= REPOSITORIES * F.col("owners"))
-    live = few & (F.col("different") >= DIFFERENT)
+    random = F.expr(f"different >= {EXPECTED} - {DEVIATIONS}D * sqrt({VARIANCE})")
+    live = few & ((F.col("kind") < len(BASE)) | random)
     return spans.join(owners.join(repositories, "hash"), "hash").select(
         "_row", "kind", (F.col("end") - F.col("size")).alias("start"), "end", "owners", "repositories", live.alias("live")
     )

@@ -168,6 +168,19 @@ def test_copies_within_one_owner_are_examples(spark):
     assert texts[0] == rows[0][1] and texts[40] == "[SECRET]'"
 
 
+def test_randomness_follows_alphabet_and_length(spark):
+    base = ["token=0f0f1a1a2b2b", "token=112233445566", "key 1122334455667788", "key 00aa11bb22cc33dd"]
+    wider = ["auth=0F3A0F1A7A2B2B3C", "auth=AA11BB22CC33DD44", "auth=Q9ZxYwVuTs654321"]
+    plain = ["auth=zzzzzzzzzzzzzzzzzzzzzzzy", "auth=XYXYXYXYXYXYXYXYXYXY", "auth=this-this-this-this-this1"]
+    texts = base + wider + plain
+    df = spark.createDataFrame([(k, f"{t} ", f"s{k}") for k, t in enumerate(texts)], "doc_id long, text string, source string")
+    found = {r.doc_id: r.text for r in redacted(df).collect()}
+    masked = [k for k in found if "[SECRET]" in found[k]]
+    assert sorted(masked) == list(range(len(base + wider)))
+    few = spark.createDataFrame([(k, f"token={'0f1e2d3c4b5a'[k:]}{'7' * k} ", f"s{k}") for k in range(6)], df.schema)
+    assert secrets(few).agg(F.sum("n_live")).first()[0] == 6
+
+
 def test_redacted_odd(odd, nothing):
     assert redacted(odd).columns == odd.columns and redacted(odd).count() == odd.count() and redacted(nothing).count() == 0
 
