@@ -71,30 +71,31 @@ def corrections_sql(
     return cleaned.select("seq", statement.alias("sentencia"))
 
 
-def latest_cells(located: DataFrame, columns: Sequence[str], has_person: bool) -> DataFrame:
-    """One row per household: per column the last (seq, value), by person where the table has persons.
-
-    Persons' values are first reduced to the last one each, so that a household's map holds one entry
-    per person; person 0 stands for all of them.
-    """
-    person = F.col(fv.PERSON) if has_person else F.lit(0)
-    last = located.groupBy(F.col(f"`{fv.HOUSEHOLD_KEY}`"), person.cast("long").alias("_person"), "columna").agg(
-        F.max(F.struct("seq", F.col(fv.NEW_VALUE).alias("value"))).alias("_last")
-    )
-    entry = F.struct("_person", "_last")
-    return last.groupBy(F.col(f"`{fv.HOUSEHOLD_KEY}`")).agg(*[
-        F.map_from_entries(F.collect_list(F.when(F.col("columna") == c, entry))).alias(f"_new_{c}") for c in columns
+def latest_values(located: DataFrame, keys: Sequence[str], columns: Sequence[str], prefix: str) -> DataFrame:
+    """One row per key; per column the last (seq, value) given, NULL when none was."""
+    last = F.struct("seq", F.col(fv.NEW_VALUE).alias("value"))
+    return located.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*[
+        F.max(F.when(F.col("columna") == c, last)).alias(f"{prefix}{c}") for c in columns
     ])
 
 
-def newest_of(column: str, has_person: bool) -> Column:
-    """The last (seq, value) for a row: of its household's value and its own."""
-    given = F.col(f"_new_{column}")
-    whole = F.try_element_at(given, F.lit(0).cast("long"))
+def with_newest(table: DataFrame, located: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[str, Column]]:
+    """The table with the values given to its rows, and per column the last (seq, value) of a row.
+
+    Values of a person meet their row on household and person, those of person 0 all rows of the
+    household, so that no cell grows with a household.
+    """
+    has_person = fv.PERSON in table.columns
+    whole = located.filter(F.col(fv.PERSON) == 0) if has_person else located
+    joined = table.join(latest_values(whole, [fv.HOUSEHOLD_KEY], columns, "_new_"), fv.HOUSEHOLD_KEY, "left")
     if not has_person:
-        return whole
-    own = F.try_element_at(given, F.coalesce(F.col(fv.PERSON), F.lit(0)).cast("long"))
-    return F.greatest(whole, own)
+        return joined, {c: F.col(f"_new_{c}") for c in columns}
+    person = F.col(fv.PERSON).cast("long").alias("_person")
+    single = latest_values(
+        located.filter(F.col(fv.PERSON) != 0).withColumn("_person", person), [fv.HOUSEHOLD_KEY, "_person"], columns, "_own_"
+    )
+    joined = joined.withColumn("_person", person).join(single, [fv.HOUSEHOLD_KEY, "_person"], "left")
+    return joined, {c: F.greatest(F.col(f"_new_{c}"), F.col(f"_own_{c}")) for c in columns}
 
 
 def apply_corrections(
@@ -115,16 +116,13 @@ def apply_corrections(
         F.col(f"`{fv.HOUSEHOLD_KEY}`"), F.coalesce("cp", F.lit(0)).alias(fv.PERSON), "columna",
         F.col(f"`{fv.NEW_VALUE}`"), "seq",
     )
-    given = latest_cells(located, columns, fv.PERSON in table.columns)
-    joined = table.join(given, fv.HOUSEHOLD_KEY, "left")
-    newest = {c: newest_of(c, fv.PERSON in table.columns) for c in columns}
+    joined, newest = with_newest(table, located, columns)
     types = {f.name: f.dataType for f in table.schema.fields}
     new_values = {c: newest[c]["value"].try_cast(types[c]) for c in columns}
     corrected = joined.select(*[
         F.coalesce(new_values[c], F.col(f"`{c}`")).alias(c) if c in new_values else F.col(f"`{c}`")
         for c in table.columns
     ])
-    logged = table.join(given, fv.HOUSEHOLD_KEY)  # only households with a correction travel
     entries = F.array(*[
         F.when(newest[c].isNotNull(), F.struct(
             F.lit(c).alias("variable"),
@@ -136,7 +134,7 @@ def apply_corrections(
         for c in columns
     ])
     audit = (
-        logged.select(*[F.col(f"`{k}`") for k in record_keys], F.explode(entries).alias("_entry"))
+        joined.select(*[F.col(f"`{k}`") for k in record_keys], F.explode(entries).alias("_entry"))
         .filter(F.col("_entry").isNotNull())
         .select(F.lit(table_name).alias("tabla"), *[F.col(f"`{k}`") for k in record_keys], "_entry.*")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from surveyqa import SurveyTables, assemble, filter_rule, validate
 from surveyqa.operators.checks import set_mismatch
+from surveyqa.operators.corrections import apply_corrections
 from surveyqa.operators.groups import assign_groups
 from surveyqa.operators.reports import violations_rollup
 
@@ -125,3 +126,20 @@ def test_groups_need_no_broadcast(spark, stored, conf):
     assert {tuple(r) for r in shuffled.collect()} == small
     assert "SortMergeJoin" in plan_of(shuffled)
     assert (None, 1, 40_000) in small
+
+
+def test_corrections_of_a_hot_household_meet_their_rows_one_by_one(spark):
+    place = dict.fromkeys(("DEPTO", "MUPIO", "SECTOR", "ESTRUCTURA", "VIVIENDA", "HOGAR"), 1)
+    table = spark.range(1, 3001).selectExpr("1L AS `LEVEL-1-ID`", "cast(nullif(id, 3000) AS int) AS CP", "0 AS PPA03")
+    households = spark.range(1).select(F.lit(1).cast("long").alias("LEVEL-1-ID"), *[F.lit(v).alias(k) for k, v in place.items()])
+    given = spark.range(1, 2001).selectExpr("cast(id AS int) AS cp", "cast(id AS string) AS `valor nuevo`", "id AS seq").union(
+        spark.sql("SELECT cast(null AS int), '7', 1000L"))
+    sheet = given.select(
+        *[F.lit(1).alias(k.lower()) for k in place], "cp", F.lit("personas").alias("tabla"), F.lit("PPA03").alias("columna"), "valor nuevo", "seq")
+    new, audit = apply_corrections(table, households, sheet, "personas", ["PPA03"], ["LEVEL-1-ID", "CP"])
+    expected = [(k, k if 1000 < k <= 2000 else 7) for k in range(1, 3000)]
+    ties = lambda r: r[0] is not None and r[0] != 1000  # noqa: E731 - person 1000 has the household's seq as well
+    assert sorted(filter(ties, ((r.CP, r.PPA03) for r in new.collect()))) == [e for e in expected if ties(e)]
+    assert new.filter("CP IS NULL").first().PPA03 == 7 and new.count() == 3000 == audit.count()
+    for frame in (new, audit):
+        assert not re.search("collect_list|map_from_entries", plan_of(frame))
