@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from surveyqa import SurveyTables, schemas  # noqa: E402
+from surveyqa import SurveyTables  # noqa: E402
 from surveyqa.session import SETTINGS  # noqa: E402
 
 
@@ -30,14 +30,6 @@ def spark():
     session.stop()
 
 
-def rows(df, *columns):
-    """Rows as sorted tuples, NULL last."""
-    chosen = df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
-    return sorted(
-        (tuple(r) for r in chosen.collect()), key=lambda r: [(v is None, str(v)) for v in r]
-    )
-
-
 PLACE = "DEPTO long, MUPIO long, SECTOR long, ESTRUCTURA long, VIVIENDA long, HOGAR long"
 
 
@@ -103,11 +95,3 @@ def tables(spark):
         ("level-1", "SR"): level, ("cases", "SR"): cases, ("capxiii", "SR"): second_house,
         ("estado_de_boleta", "SR"): second_state, ("control_tiempo", "SR"): second_time,
     })
-
-
-def rule(condition, code="C1", analyst="Ana", chapter=1, section="A"):
-    return (condition, chapter, section, 1, f"definición {code}", code, analyst)
-
-
-def rule_sheet(spark, *rules):
-    return spark.createDataFrame(list(rules), schemas.RULES)

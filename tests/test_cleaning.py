@@ -1,7 +1,7 @@
 """Cleaning extracts, corrections and productivity."""
 
 import pytest
-from conftest import rows
+from survey_helpers import rows
 
 from surveyqa import ConditionError, cleaning_extract, cleaning_query, correct_table, correction_script
 from surveyqa import schemas

@@ -2,7 +2,7 @@
 
 import unicodedata
 
-from conftest import rows, rule, rule_sheet
+from survey_helpers import rows, rule, rule_sheet
 from pyspark.sql import functions as F
 
 from surveyqa import functions as fn

@@ -1,7 +1,7 @@
 """Sources, sinks and the full run."""
 
 import pytest
-from conftest import rows, rule, rule_sheet
+from survey_helpers import rows, rule, rule_sheet
 
 from surveyqa import run, schemas, validate
 from surveyqa.session import checkpoint_folder, staged, tune

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import rule, rule_sheet
+from survey_helpers import rule, rule_sheet
 from pyspark.sql import functions as F
 
 from surveyqa import SurveyTables, assemble, filter_rule, validate

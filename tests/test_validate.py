@@ -3,7 +3,7 @@
 from functools import reduce
 
 import pytest
-from conftest import rows, rule, rule_sheet
+from survey_helpers import rows, rule, rule_sheet
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
