@@ -95,4 +95,37 @@ ORACLE_SQL = {
                 * (quota // blocks + CASE WHEN (b * 2147483647 + shift) % blocks < quota % blocks THEN 1 ELSE 0 END))) AS BIGINT) END AS taken
         FROM full_rows
     """,
+    "op11_importance_resampling": r"""
+        WITH steps AS (
+            SELECT list_transform(range(256), lambda k: list_reduce(list_concat([k], [0, 0, 0, 0, 0, 0, 0, 0]),
+                lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+        ), texts AS (
+            SELECT doc_id, true AS own, text FROM documents UNION ALL SELECT item_id, false, text FROM benchmark
+        ), cut AS MATERIALIZED (
+            SELECT doc_id, own, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+        ), occurring AS MATERIALIZED (SELECT doc_id, own, unnest(w) AS w FROM cut),
+        hashed AS MATERIALIZED (
+            SELECT w, xor(list_reduce(list_concat([4294967295], list_transform(range(CAST(octet_length(encode(w)) AS BIGINT)),
+                lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i + 1, 2) AS BIGINT))),
+                lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+            FROM (SELECT DISTINCT w FROM occurring), steps
+        ), counts AS (
+            SELECT bucket, CAST(count(*) FILTER (own) AS DOUBLE) AS s, CAST(count(*) FILTER (NOT own) AS DOUBLE) AS t
+            FROM occurring JOIN hashed USING (w) GROUP BY bucket
+        ), gains AS MATERIALIZED (
+            SELECT bucket, CAST(floor(1000 * ln(((t + 1) * (sum(s) OVER () + 10000)) / ((s + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain
+            FROM counts
+        ), weights AS (
+            SELECT doc_id, CAST(sum(gain) AS BIGINT) AS weight FROM occurring JOIN hashed USING (w) JOIN gains USING (bucket) WHERE own GROUP BY doc_id
+        ), scored AS (
+            SELECT doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+                (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+            FROM cut LEFT JOIN weights USING (doc_id) WHERE own
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+                10 * count(*) FILTER (n_features >= 20) OVER () // 100 AS chosen FROM scored
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= chosen THEN place END AS rank FROM placed
+    """,
 }

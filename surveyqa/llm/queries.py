@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from surveyqa.llm import chat_format, quality_crf
 from surveyqa.llm.embedding_join import near_vectors
+from surveyqa.llm.importance import resampled
 from surveyqa.llm.mixing import mixed
 from surveyqa.llm.ngram_join import ngram_components
 from surveyqa.llm.ngram_model import language_scores
@@ -88,3 +89,9 @@ def op5_embedding_join(spark, sf_dir):
 def op4_language_model(spark, sf_dir):
     held_out = F.expr("coalesce(crc32(cast(doc_id AS string)) % 10, 0) = 0")
     return language_scores(table(spark, sf_dir, "documents"), ~held_out).withColumn("held_out", held_out)
+
+
+@query
+def op11_importance_resampling(spark, sf_dir):
+    drawn = resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")

@@ -16,8 +16,9 @@ from collections.abc import Callable
 
 from tokenizers import Tokenizer
 
-#: Words remembered by a worker; then it forgets all of them and begins again.
-KEPT = 1_000_000
+#: Bytes of words and pieces that a worker remembers at most, and of an entry besides its text and ids. Half is
+#: for those met lately; when it is full they replace the other half, whose words were not met since.
+KEPT_BYTES, ENTRY_BYTES = 96 << 20, 250
 #: White space as the vocabularies' patterns know it, and a blank before more of it, where runs are
 #: cut differently.
 WHITE = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -58,22 +59,45 @@ def plain(text: str) -> list[str]:
     return BLACK.findall(text)
 
 
+class Memory:
+    """What a worker remembers by text, bounded in bytes; what was met lately outlives the rest."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit, self.size = limit // 2, 0
+        self.late: dict[str, bytes] = {}
+        self.early: dict[str, bytes] = {}
+
+    def add(self, text: str, ids: bytes) -> None:
+        self.late[text] = ids
+        self.size += len(text) + len(ids) + ENTRY_BYTES
+
+    def turn(self) -> None:
+        """Forget the early half when the late one is full."""
+        if self.size > self.limit:
+            self.late, self.early, self.size = {}, self.late, 0
+
+
 class Encoder:
     """``encode`` gives a text's ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, words_of: Callable[[str], list[str]]) -> None:
+    def __init__(self, path: str, words_of: Callable[[str], list[str]], kept: int = KEPT_BYTES) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.merges, self.words_of, self.folds = self.tokenizer.model, words_of, words_of is plain
         self.pieces = PLAIN_PIECES if self.folds else SPACED_PIECES
-        self.known: dict[str, bytes] = {}
-        self.merged: dict[str, bytes] = {}
+        self.known, self.merged = Memory(kept * 3 // 4), Memory(kept // 4)
 
     def piece(self, text: str) -> bytes:
-        if text not in self.merged:
-            letters = text.encode().decode("latin-1").translate(BYTE_LETTERS)
-            self.merged[text] = array("I", [t.id for t in self.merges.tokenize(letters)]).tobytes()
-        return self.merged[text]
+        late = self.merged.late
+        if text not in late:
+            self.merged.turn()
+            ids = self.merged.early.get(text)
+            if ids is None:
+                letters = text.encode().decode("latin-1").translate(BYTE_LETTERS)
+                ids = array("I", [t.id for t in self.merges.tokenize(letters)]).tobytes()
+            self.merged.add(text, ids)
+            return ids
+        return late[text]
 
     def word(self, text: str) -> bytes:
         if COMMON.fullmatch(text):
@@ -81,13 +105,14 @@ class Encoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; a call's own words are held until it ends, however many."""
+        self.known.turn()
         cut = [self.words_of(t) for t in texts]
-        new = set().union(*cut).difference(self.known) if cut else set()
-        if len(self.known) + len(new) > KEPT or len(self.merged) > KEPT:
-            self.known, self.merged, new = {}, {}, set().union(*cut)
-        for text in new:
-            self.known[text] = self.word(text)
-        get = self.known.__getitem__
+        known, early = self.known.late, self.known.early
+        for text in set().union(*cut).difference(known) if cut else ():
+            ids = early.get(text)
+            self.known.add(text, self.word(text) if ids is None else ids)
+        get = known.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 
 
