@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyqa.llm import chat_format, quality_crf
+from surveyqa.llm.alignment import alignments
 from surveyqa.llm.embedding_join import near_vectors
 from surveyqa.llm.importance import resampled
 from surveyqa.llm.mixing import mixed
@@ -95,3 +96,9 @@ def op4_language_model(spark, sf_dir):
 def op11_importance_resampling(spark, sf_dir):
     drawn = resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    left, right = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignments(table(spark, sf_dir, "documents"), left, right)
