@@ -16,6 +16,7 @@ from surveyqa.llm.mixing import mixed
 from surveyqa.llm.ngram_join import ngram_components
 from surveyqa.llm.ngram_model import language_scores
 from surveyqa.llm.packing import packed
+from surveyqa.llm.personal_data import personal_data
 from surveyqa.llm.quality_rules import quality_rules
 from surveyqa.llm.secret_scan import secrets
 from surveyqa.llm.token_files import token_round_trip
@@ -102,3 +103,8 @@ def op11_importance_resampling(spark, sf_dir):
 def op12_token_alignment(spark, sf_dir):
     left, right = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return alignments(table(spark, sf_dir, "documents"), left, right)
+
+
+@query
+def op13_personal_data(spark, sf_dir):
+    return personal_data(table(spark, sf_dir, "documents"))

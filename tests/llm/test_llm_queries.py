@@ -19,7 +19,7 @@ def cell(value):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query(spark, name):
     sql = duckdb.connect()
-    for table in ("documents", "embeddings", "conversations"):
+    for table in ("documents", "embeddings", "conversations", "benchmark"):
         sql.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     found = QUERIES[name](spark, SF_DIR)
     columns = sorted(found.columns)
@@ -27,5 +27,5 @@ def test_query(spark, name):
     assert sorted(tuple(map(cell, r)) for r in found.select(*columns).collect()) == sorted(tuple(map(cell, r)) for r in expected)
 
 
-def test_ten_operators():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
