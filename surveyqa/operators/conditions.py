@@ -25,10 +25,14 @@ class ConditionError(ValueError):
 
 @dataclass(frozen=True)
 class Condition:
+    """A condition as one predicate, and as its comparisons with the text that connects their numbers."""
+
     sql: str
     variables: tuple[str, ...]
     comparisons: int
     warnings: tuple[str, ...]
+    atoms: tuple[str, ...] = ()
+    template: tuple[str | int, ...] = ()
 
 
 _RESERVED = r"\b(?!(?:y|o|no|es|esta|en|vacio|and|or|not|in)\b)"
@@ -295,16 +299,17 @@ def compile_condition(text: str, types: Mapping[str, T.DataType]) -> Condition:
         words.append(match.group(1))
         position = match.end()
     two_valued = any(_CONNECTIVES.get(word.lower()) == "NOT" for word in words)
-    sql = []
-    for word in words:
-        if word.startswith("\x04"):
-            atom = rewriter.atoms[int(word[1:-1])]
-            sql.append(f"coalesce({atom}, false)" if two_valued else atom)
-        else:
-            sql.append(_CONNECTIVES[word.lower()])
+    template = [int(w[1:-1]) if w.startswith("\x04") else _CONNECTIVES[w.lower()] for w in words]
+
+    def shown(word: str | int) -> str:
+        if isinstance(word, str):
+            return word
+        return f"coalesce({rewriter.atoms[word]}, false)" if two_valued else rewriter.atoms[word]
+
     if not rewriter.atoms:
         raise ConditionError("no comparison found")
     return Condition(
-        " ".join(sql), tuple(rewriter.variables), len(rewriter.atoms), tuple(rewriter.warnings)
+        " ".join(map(shown, template)), tuple(rewriter.variables), len(rewriter.atoms), tuple(rewriter.warnings),
+        tuple(rewriter.atoms), tuple(template),
     )
 

@@ -1,114 +1,132 @@
-"""Many rules over one base in one pass."""
+"""Many rules over one base in one scan: each distinct comparison once, rules as programs over its bit."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 
-# Rules held by one 64-bit word of flags; the sign bit stays unused.
+from surveyqa.operators.conditions import Condition
+
+# Flags held by one 64-bit word; the sign bit stays unused.
 WORD = 60
-# Comparisons evaluated by one plan step. The JIT compiler skips generated methods over 8 KB, and
-# a step much larger than this outgrows that and runs many times slower.
+# Comparisons evaluated by one plan step, and tests of bits. The JIT compiler skips generated methods over
+# 8 KB, and a step much larger than this outgrows that and runs many times slower.
 STEP_COMPARISONS = 24
-# Rules and columns of one pass over the base; more rules take another pass.
-PASS_RULES = 240
-PASS_COLUMNS = 48
+STEP_TESTS = 120
 
 
 @dataclass(frozen=True)
 class Predicate:
-    """A rule ready to run: its id, its SQL text and its cost."""
+    """A rule ready to run: its id, its SQL text, and the same as comparisons and what connects them.
+
+    ``template`` holds connectives and, for each comparison, its place in ``atoms``. A rule without them is
+    a single comparison.
+    """
 
     rule_id: int
     sql: str
     comparisons: int = 1
     variables: tuple[str, ...] = ()
+    atoms: tuple[str, ...] = ()
+    template: tuple[str | int, ...] = ()
+
+    @classmethod
+    def of(cls, rule_id: int, compiled: Condition) -> Predicate:
+        return cls(rule_id, compiled.sql, compiled.comparisons, compiled.variables, compiled.atoms, compiled.template)
 
+    def program(self) -> tuple[tuple[str, ...], tuple[str | int, ...]]:
+        return (self.atoms, self.template) if self.atoms else ((self.sql,), (0,))
 
-def _steps(predicates: Sequence[Predicate]) -> list[list[Predicate]]:
-    steps: list[list[Predicate]] = [[]]
-    size = 0
+
+def distinct_comparisons(predicates: Iterable[Predicate]) -> dict[str, int]:
+    """Each comparison of all rules once, numbered; those on the same columns stand together."""
+    found: dict[str, tuple[str, ...]] = {}
     for predicate in predicates:
-        if steps[-1] and size + predicate.comparisons > STEP_COMPARISONS:
-            steps.append([])
-            size = 0
-        steps[-1].append(predicate)
-        size += predicate.comparisons
-    return steps
-
-
-def passes(predicates: Sequence[Predicate]) -> list[list[Predicate]]:
-    """Split rules into passes, those using the same columns next to each other."""
-    ordered = sorted(predicates, key=lambda p: (sorted(p.variables), p.rule_id))
-    out: list[list[Predicate]] = [[]]
-    columns: set[str] = set()
-    for predicate in ordered:
-        grown = columns | set(predicate.variables)
-        if out[-1] and (len(out[-1]) >= PASS_RULES or len(grown) > PASS_COLUMNS):
-            out.append([])
-            grown = set(predicate.variables)
-        out[-1].append(predicate)
-        columns = grown
-    return out
+        for atom in predicate.program()[0]:
+            found.setdefault(atom, predicate.variables)
+    return {atom: k for k, atom in enumerate(sorted(found, key=lambda a: (found[a], a)))}
 
 
 def _quoted(names: Sequence[str]) -> list[str]:
     return [f"`{name}`" for name in names]
 
 
-def flag_words(base: DataFrame, predicates: Sequence[Predicate]) -> tuple[DataFrame, list[str]]:
-    """The base with one flag per rule, packed in words.
+def bit_words(
+    df: DataFrame, carried: Sequence[str], tests: Sequence[tuple[str, int]], prefix: str, step_cost: int
+) -> tuple[DataFrame, list[str]]:
+    """The carried columns and one bit per test, packed in words; a test comes with its cost.
 
-    Each step adds its flags through a one-element ``explode``. That changes no row, but keeps the
-    step an operator of its own: plain column additions would be merged into one projection, too
-    large for the JIT compiler once there are dozens of rules.
+    Each step adds its flags through a one-element ``explode``. That changes no row, but keeps the step an
+    operator of its own: plain column additions would be merged into one projection, too large for the JIT
+    compiler once there are dozens of tests.
     """
-    df = base
-    columns = _quoted(base.columns)
-    words: list[str] = []
-    for start in range(0, len(predicates), WORD):
-        word = f"_w{len(words)}"
-        bit = 0
-        for step in _steps(predicates[start:start + WORD]):
-            flags = [word] if bit else []
-            for predicate in step:
-                flags.append(f"if({predicate.sql}, {1 << bit}L, 0L)")
-                bit += 1
-            df = df.selectExpr(*columns, *words, f"explode(array({' | '.join(flags)})) AS {word}")
+    columns, words = _quoted(carried), []
+    for start in range(0, len(tests), WORD):
+        word, flags, cost, begun = f"{prefix}{len(words)}", [], 0, False
+        own = tests[start:start + WORD]
+        for bit, (sql, weight) in enumerate(own):
+            flags.append(f"if({sql}, {1 << bit}L, 0L)")
+            cost += weight
+            if cost >= step_cost or bit == len(own) - 1:
+                value = " | ".join(([word] if begun else []) + flags)
+                df = df.selectExpr(*columns, *words, f"explode(array({value})) AS {word}")
+                flags, cost, begun = [], 0, True
         words.append(word)
     return df, words
 
 
+def rule_words(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The kept columns and one flag per rule, packed in words, over a single scan of the base.
+
+    First every distinct comparison sets its bit, then rules test bits: a sheet of thousands of rules has
+    far fewer different comparisons, and a test of a bit costs a fraction of a comparison. A comparison with
+    NULL sets no bit, which is what connectives without a truth value of their own make of it.
+    """
+    numbers = distinct_comparisons(predicates)
+    df, bits = bit_words(base, base.columns, [(atom, 1) for atom in numbers], "_c", STEP_COMPARISONS)
+    df = df.selectExpr(*_quoted(keep), *bits)
+
+    def tested(predicate: Predicate) -> tuple[str, int]:
+        atoms, template = predicate.program()
+
+        def test(part: str | int) -> str:
+            if isinstance(part, str):
+                return part
+            word, bit = divmod(numbers[atoms[part]], WORD)
+            return f"(_c{word} & {1 << bit}L) <> 0L"
+
+        return " ".join(map(test, template)), len(atoms)
+
+    return bit_words(df, [*keep, *bits], [tested(p) for p in predicates], "_w", STEP_TESTS)
+
+
 #: A row's flags: the number of the word and its bits.
 FLAG_COLUMNS = ("_word", "_flags")
 
 
-def flagged_rows(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
+def flagged_rows(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str], first: int = 0) -> DataFrame:
     """Rows that break some rule, a row for each word with a bit set: the kept columns and flags.
 
-    Each pass reads the columns its rules use; the passes' rows are united, so that whatever is
-    joined to them is joined once, whatever the number of rules.
+    Words are numbered from ``first``, so that rows of several bases can share a list of rules.
     """
-    parts, first = [], 0
-    for some in passes(predicates):
-        flagged, words = flag_words(base, some)
-        broken = flagged.filter(" OR ".join(f"{word} <> 0L" for word in words))
-        rows = broken.selectExpr(*_quoted(keep), f"posexplode(array({', '.join(words)})) AS (_word, _flags)")
-        parts.append(rows.filter("_flags <> 0L").selectExpr(*_quoted(keep), f"_word + {first} AS _word", "_flags"))
-        first += len(words)
-    return reduce(DataFrame.unionAll, parts)
+    used = dict.fromkeys(keep) | dict.fromkeys(v for p in predicates for v in p.variables)
+    narrow = base.selectExpr(*_quoted([c for c in base.columns if c in used])) if all(p.variables for p in predicates) else base
+    flagged, words = rule_words(narrow, predicates, keep)
+    broken = flagged.filter(" OR ".join(f"{word} <> 0L" for word in words))
+    rows = broken.selectExpr(*_quoted(keep), f"posexplode(array({', '.join(words)})) AS (_word, _flags)")
+    return rows.filter("_flags <> 0L").selectExpr(*_quoted(keep), f"_word + {first} AS _word", "_flags")
+
+
+def padded_ids(predicates: Sequence[Predicate]) -> list[int]:
+    """Rule ids by word and bit, -1 where a last word has no rule."""
+    return [p.rule_id for p in predicates] + [-1] * (-len(predicates) % WORD)
 
 
-def expand_flags(flagged: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
+def expand_flags(flagged: DataFrame, ids: Sequence[int], keep: Sequence[str]) -> DataFrame:
     """One row per flagged row and rule that holds for it: the kept columns and ``rule_id``."""
     kept = _quoted(keep)
-    ids: list[int] = []
-    for some in passes(predicates):
-        own = [p.rule_id for p in some]
-        ids += own + [-1] * (-len(own) % WORD)
     return (
         flagged.selectExpr(*kept, *FLAG_COLUMNS, f"explode(sequence(0, {WORD - 1})) AS _bit")
         .filter("shiftright(_flags, _bit) & 1L = 1L")
@@ -123,4 +141,4 @@ def evaluate(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[st
     """
     if not predicates:
         return base.selectExpr(*_quoted(keep), "0 AS rule_id").limit(0)
-    return expand_flags(flagged_rows(base, predicates, keep), predicates, keep)
+    return expand_flags(flagged_rows(base, predicates, keep), padded_ids(predicates), keep)

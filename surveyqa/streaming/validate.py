@@ -23,7 +23,7 @@ def validate_stream(answers: DataFrame, rules: DataFrame) -> tuple[DataFrame, li
     for rule_id, row in enumerate(rule_rows(rules)):
         try:
             compiled = compile_condition(row[fv.RULE_CONDITION], types)
-            predicate = Predicate(rule_id, compiled.sql, compiled.comparisons, compiled.variables)
+            predicate = Predicate.of(rule_id, compiled)
             check_rule(answers, predicate)
         except ConditionError as error:
             failed.append((row[fv.RULE_CODE], str(error)))

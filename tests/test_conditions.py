@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveyqa.operators.conditions import ConditionError, compile_condition, condition_names
-from surveyqa.operators.violations import PASS_RULES, WORD, Predicate, evaluate, passes
+from surveyqa.operators.violations import WORD, Predicate, distinct_comparisons, evaluate
 from surveyqa.plans.validate import check_rule
 
 TYPES = {
@@ -141,23 +141,36 @@ def test_one_pass_equals_filters(spark, conditions):
     predicates = []
     for n, text in enumerate(conditions):
         compiled = compile_condition(text, types)
-        predicates.append(Predicate(n, compiled.sql, compiled.comparisons, compiled.variables))
+        predicates.append(Predicate.of(n, compiled))
     found = sorted(tuple(r) for r in evaluate(frame, predicates, ["n"]).collect())
     data = frame.selectExpr("n", *[f"if({p.sql}, 1, 0) AS r{p.rule_id}" for p in predicates]).collect()
     expected = sorted((r.n, p.rule_id) for r in data for p in predicates if r[f"r{p.rule_id}"])
     assert found == expected
 
 
-def test_many_words_and_passes(spark):
-    count = PASS_RULES + 7
+def test_many_words(spark):
+    count = 4 * WORD + 7
     frame = spark.range(200).selectExpr("id AS A", "id % 7 AS CP")
     predicates = [Predicate(n, f"A = {n % 200}", 1, ("A",)) for n in range(count)]
-    assert count > 2 * WORD and len(passes(predicates)) == 2
     found = evaluate(frame, predicates, ["A"])
     assert found.count() == count
     assert found.filter("A <> rule_id % 200").count() == 0
 
 
+def test_a_thousand_rules_share_comparisons_and_one_scan(spark, tmp_path):
+    spark.range(300).selectExpr("id AS A", "nullif(id % 9, 4) AS B", "id % 7 AS CP").write.parquet(str(tmp_path / "t"))
+    frame = spark.read.parquet(str(tmp_path / "t"))
+    types = {f.name: f.dataType for f in frame.schema.fields}
+    texts = [f"A > {n % 50 * 6} y B = {n % 9} o ~(B <> {n % 8}) y CP = {n % 7}" for n in range(1000)]
+    predicates = [Predicate.of(n, compile_condition(text, types)) for n, text in enumerate(texts)]
+    assert len(distinct_comparisons(predicates)) == 50 + 9 + 8 + 7
+    hits = evaluate(frame, predicates, ["A"])
+    counted = {r.rule_id: r.n for r in hits.groupBy("rule_id").agg(F.count("*").alias("n")).collect()}
+    whole = frame.agg(*[F.count_if(F.expr(p.sql)).alias(f"r{p.rule_id}") for p in predicates[::37]]).first()
+    assert all(counted.get(n, 0) == whole[f"r{n}"] for n in range(0, 1000, 37))
+    assert hits._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def test_no_rules(spark):
     frame = spark.range(3).selectExpr("id AS A")
     assert evaluate(frame, [], ["A"]).count() == 0
