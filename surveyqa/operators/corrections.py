@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyqa import fixed_values as fv
+from surveyqa.operators.keys import FILTER_WORDS, marked
 
 _PLACE = tuple(c.lower() for c in fv.CARTOGRAPHY)
 _NUMBER = r"^[+-]?\d+(\.\d+)?$"
@@ -80,7 +81,7 @@ def latest_values(located: DataFrame, keys: Sequence[str], columns: Sequence[str
 
 
 def with_newest(table: DataFrame, located: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[str, Column]]:
-    """The table with the values given to its rows, and per column the last (seq, value) of a row.
+    """Rows with the values given to them, and per column the last (seq, value) of a row.
 
     Values of a person meet their row on household and person, those of person 0 all rows of the
     household, so that no cell grows with a household.
@@ -98,32 +99,41 @@ def with_newest(table: DataFrame, located: DataFrame, columns: Sequence[str]) ->
     return joined, {c: F.greatest(F.col(f"_new_{c}"), F.col(f"_own_{c}")) for c in columns}
 
 
+def located_corrections(cleaned: DataFrame, households: DataFrame, table_name: str, columns: Sequence[str]) -> DataFrame:
+    """A table's corrections with the key of their household; person 0 stands for all of its rows."""
+    own = cleaned.filter((F.lower("tabla") == table_name.lower()) & F.col("columna").isin(*columns))
+    place = households.select(
+        F.col(f"`{fv.HOUSEHOLD_KEY}`"), *[F.col(c).alias(c.lower()) for c in fv.CARTOGRAPHY]
+    )
+    return own.join(place, list(_PLACE)).select(
+        F.col(f"`{fv.HOUSEHOLD_KEY}`"), F.coalesce("cp", F.lit(0)).alias(fv.PERSON), "columna",
+        F.col(f"`{fv.NEW_VALUE}`"), "seq",
+    )
+
+
 def apply_corrections(
     table: DataFrame, households: DataFrame, cleaned: DataFrame, table_name: str,
     columns: Sequence[str], record_keys: Sequence[str], logged_at: Column | None = None,
+    filter_words: int = FILTER_WORDS,
 ) -> tuple[DataFrame, DataFrame]:
     """The corrected table and the log of what changed, stamped ``logged_at`` if given.
 
     ``columns`` are the columns that may be corrected, ``households`` maps the cartographic key to
     the household key. A correction without a person number holds for all rows of the household; of
-    several values for a cell the one with the highest ``seq`` wins.
+    several values for a cell the one with the highest ``seq`` wins. Only rows of households that may
+    have a correction are shuffled; the others pass through, and the log never reads them.
     """
-    own = cleaned.filter(F.lower("tabla") == table_name.lower())
-    place = households.select(
-        F.col(f"`{fv.HOUSEHOLD_KEY}`"), *[F.col(c).alias(c.lower()) for c in fv.CARTOGRAPHY]
-    )
-    located = own.join(place, list(_PLACE)).select(
-        F.col(f"`{fv.HOUSEHOLD_KEY}`"), F.coalesce("cp", F.lit(0)).alias(fv.PERSON), "columna",
-        F.col(f"`{fv.NEW_VALUE}`"), "seq",
-    )
-    joined, newest = with_newest(table, located, columns)
+    located = located_corrections(cleaned, households, table_name, columns)
+    rows = marked(table, located, fv.HOUSEHOLD_KEY, filter_words)
+    names = [F.col(f"`{c}`") for c in table.columns]
+    joined, newest = with_newest(rows.filter("_may").select(*names), located, columns)
     types = {f.name: f.dataType for f in table.schema.fields}
     new_values = {c: newest[c]["value"].try_cast(types[c]) for c in columns}
     corrected = joined.select(*[
         F.coalesce(new_values[c], F.col(f"`{c}`")).alias(c) if c in new_values else F.col(f"`{c}`")
         for c in table.columns
-    ])
-    entries = F.array(*[
+    ]).unionAll(rows.filter("NOT _may").select(*names))
+    entries = F.array_compact(F.array(*[
         F.when(newest[c].isNotNull(), F.struct(
             F.lit(c).alias("variable"),
             F.col(f"`{c}`").cast("string").alias("valor_anterior"),
@@ -132,11 +142,9 @@ def apply_corrections(
             new_values[c].isNotNull().alias("aplicado"),
         ))
         for c in columns
-    ])
-    audit = (
-        joined.select(*[F.col(f"`{k}`") for k in record_keys], F.explode(entries).alias("_entry"))
-        .filter(F.col("_entry").isNotNull())
-        .select(F.lit(table_name).alias("tabla"), *[F.col(f"`{k}`") for k in record_keys], "_entry.*")
+    ]))
+    audit = joined.select(*[F.col(f"`{k}`") for k in record_keys], F.explode(entries).alias("_entry")).select(
+        F.lit(table_name).alias("tabla"), *[F.col(f"`{k}`") for k in record_keys], "_entry.*"
     )
     if logged_at is not None:
         audit = audit.withColumn("fecha_creacion", logged_at)

@@ -34,3 +34,31 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever storage the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def is_whole(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end: Spark's mark of success is there."""
+    return has_files(spark, f"{path}/_SUCCESS")
+
+
+def file_states(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
+    """Path, length and time of change of files."""
+    found = []
+    for path in sorted(paths):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        status = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place)
+        found.append((path, status.getLen(), status.getModificationTime()))
+    return found
+
+
+def staged_once(df: DataFrame, path: str) -> DataFrame:
+    """``staged``, but a table that is already there whole is read: a repeated run goes on after it."""
+    if is_whole(df.sparkSession, path):
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    return staged(df, path)
