@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from surveyqa import fixed_values as fv
 from surveyqa.functions.dates import parse_survey_date
 from surveyqa.operators.conditions import ConditionError
-from surveyqa.operators.violations import FLAG_COLUMNS, Predicate, flagged_rows
 
 TableKey = tuple[str, str]
 
@@ -22,10 +21,13 @@ class SurveyTables:
     """The survey tables by (name, round), all column names in upper case.
 
     ``precedence`` names tables, first choice first, for variables that several tables hold.
+    ``co_located`` tables lie in the same buckets by household: each joins without a shuffle, so that
+    uniting their rows before the join would only cost one.
     """
 
     tables: Mapping[TableKey, DataFrame]
     precedence: Sequence[str] = ()
+    co_located: bool = False
     _columns: dict[TableKey, dict[str, T.DataType]] = field(default_factory=dict, repr=False)
     _spellings: dict[str, str] = field(default_factory=dict, repr=False)
 
@@ -172,12 +174,121 @@ def check_columns(
     return provider
 
 
+def control_part(tables: SurveyTables, key: TableKey, columns: Sequence[str], start: str | None, end: str | None) -> DataFrame:
+    """A control table's household key and columns, its start date read and inside the window."""
+    date = fv.START_DATE[key[1]]
+    df = tables.tables[key].selectExpr(*[f"`{c}`" for c in dict.fromkeys([fv.HOUSEHOLD_KEY, *columns])])
+    if date not in columns:
+        return df
+    df = df.withColumn(date, parse_survey_date(F.col(date)))
+    return df if start is None and end is None else df.filter(within(F.col(date), start, end))
+
+
+def live_households(tables: SurveyTables, level: DataFrame, survey_round: str) -> DataFrame:
+    """Households whose case is not deleted, by the cases or by the mark a bucketed snapshot puts on them."""
+    if fv.DELETED in tables.columns((fv.HOUSEHOLD_TABLE, survey_round)):
+        return level.filter(f"{fv.DELETED} = 0").drop(fv.DELETED)
+    return live_cases(level, tables.tables[(fv.CASES_TABLE, survey_round)])
+
+
+def household_columns(tables: SurveyTables, rounds: Sequence[str]) -> dict[str, TableKey]:
+    """Which of the tables with one row per household each column is read from."""
+    found: dict[str, TableKey] = {}
+    for key in [(fv.HOUSEHOLD_TABLE, rounds[0]), *control_keys(rounds)]:
+        for column in tables.columns(key):
+            found.setdefault(column, key)
+    return found
+
+
+#: In a household base: whether the questionnaire's own status says that it is finished.
+FINISHED = "_finished"
+
+
+def household_base(tables: SurveyTables, rounds: Sequence[str], start: str | None = None, end: str | None = None) -> DataFrame:
+    """Live households begun in the window: key, FECHA, interviewer, cartographic key and ``FINISHED``.
+
+    Everything that is checked about an interview's household is here, so that answers of all tables meet
+    their households in one join, whatever the number of rules.
+    """
+    provider = household_columns(tables, rounds)
+    base_key, control = (fv.HOUSEHOLD_TABLE, rounds[0]), control_keys(rounds)
+    state = fv.STATE[rounds[-1]]
+    dates = [fv.START_DATE[r] for r in rounds]
+    wanted = [fv.INTERVIEWER, *fv.CARTOGRAPHY, *dates, state]
+    own = {key: [c for c in wanted if provider[c] == key] for key in (base_key, *control)}
+    marks = [fv.DELETED] if fv.DELETED in tables.columns(base_key) else [fv.CASE_KEY]
+    level = tables.tables[base_key].selectExpr(*[f"`{c}`" for c in dict.fromkeys([fv.HOUSEHOLD_KEY, *marks, *own[base_key]])])
+    for key in control:
+        level = level.join(control_part(tables, key, own[key], start, end), fv.HOUSEHOLD_KEY)
+    return live_households(tables, level, rounds[0]).selectExpr(
+        f"`{fv.HOUSEHOLD_KEY}`", f"{dates[-1]} AS {fv.DATE}", fv.INTERVIEWER, *fv.CARTOGRAPHY,
+        f"coalesce({state} = 1, false) AS {FINISHED}",
+    )
+
+
 @dataclass(frozen=True)
-class EarlyFlags:
-    """Rules whose variables all come from one table, to be evaluated on it before any join."""
+class Answers:
+    """Answers before any household is joined: ``rows`` are finished as far as a person's own status decides.
+
+    With ``by_household`` the household's status decides.
+    """
+
+    rows: DataFrame
+    rounds: tuple[str, ...]
+    by_household: bool
+
+
+#: What becomes of answers before they are joined to anything: a function of them and the columns to keep.
+Reduce = Callable[[DataFrame, list[str]], DataFrame]
 
-    table: TableKey
-    predicates: Sequence[Predicate]
+
+def answers(
+    tables: SurveyTables, needed: Iterable[TableKey], variables: Iterable[str], exported: Iterable[str] = (),
+    reduced: Reduce | None = None, home: TableKey | None = None,
+) -> Answers | None:
+    """The question tables of a base, joined: household key, CP, the exported variables and what ``reduced`` adds.
+
+    ``reduced`` reads ``variables``. It is applied to the table ``home`` before others join it, or to all of
+    them joined where there is no such table. None where a variable or part of the identity is read from a
+    table that the household base is made of, or the other way round; then ``assemble`` is needed.
+    """
+    needed = set(needed)
+    rounds = needed_rounds(needed)
+    questions = [k for k in join_order(tables, needed)[1:] if k not in control_keys(rounds)]
+    provider, households = providers(tables, needed), household_columns(tables, rounds)
+    given = (fv.PERSON, fv.HOUSEHOLD_KEY)
+    exported = [v for v in dict.fromkeys(exported) if v not in given]
+    used = [v for v in dict.fromkeys([*variables, *exported]) if v not in given]
+    status = provider.get(fv.PERSON_STATUS)
+    by_person = status is not None and fv.STATE["PR"] in provider
+    identity = (fv.INTERVIEWER, *fv.CARTOGRAPHY)
+    outside = [v for v in used if provider.get(v) not in questions]
+    inside = [c for c in (*identity, *fv.STATE.values()) if provider.get(c) in questions]
+    lacking = [c for c in (*identity, fv.STATE[rounds[-1]], *(fv.START_DATE[r] for r in rounds)) if c not in households]
+    if not questions or outside or inside or lacking or fv.PERSON in households or (by_person and status not in questions):
+        return None
+    persons = [k for k in questions if fv.PERSON in tables.columns(k)]
+    rows: DataFrame | None = None
+    for key in [*persons, *[k for k in questions if k not in persons]]:
+        own = [c for c, owner in provider.items() if owner == key and (c in used or c == fv.PERSON)]
+        part = tables.tables[key]
+        if by_person and status == key:
+            part = part.filter(F.col(fv.PERSON_STATUS) == 1)
+        part = part.selectExpr(*[f"`{c}`" for c in (fv.HOUSEHOLD_KEY, *own)])
+        if reduced is not None and key == home:
+            part = reduced(part, [fv.HOUSEHOLD_KEY, *[c for c in own if c in exported or c == fv.PERSON]])
+        rows = part if rows is None else rows.join(part, fv.HOUSEHOLD_KEY)
+    if not persons:
+        rows = rows.withColumn(fv.PERSON, F.lit(0))
+    if reduced is not None and home is None:
+        rows = reduced(rows, [fv.HOUSEHOLD_KEY, fv.PERSON, *exported])
+    return Answers(rows, tuple(rounds), not by_person or len(rounds) > 1)
+
+
+def meet_households(found: DataFrame, base: DataFrame, by_household: str) -> DataFrame:
+    """Answers with their households, joined once; ``by_household`` names a column as of ``Answers``."""
+    joined = found.join(base, fv.HOUSEHOLD_KEY)
+    return joined.filter(f"{FINISHED} OR NOT {by_household}").drop(FINISHED, by_household)
 
 
 def assemble(
@@ -187,7 +298,6 @@ def assemble(
     start: str | None = None,
     end: str | None = None,
     person_keys: Sequence[str] = (fv.HOUSEHOLD_KEY,),
-    early: EarlyFlags | None = None,
 ) -> DataFrame:
     """The base for rules that need the given tables, filtered and pruned to what they use.
 
@@ -196,9 +306,7 @@ def assemble(
     The narrow one-row-per-household tables are joined and filtered first, the case join last among
     them. Person tables come next, so that a hot household sits in a join whose two sides are both
     fresh shuffles, which adaptive execution can split. ``person_keys`` may add CP when two person
-    tables describe the same persons; on the household alone each pairs with each. With ``early``
-    only the rows of its table that break a rule are joined, all passes over it together, and the
-    flag columns are kept.
+    tables describe the same persons; on the household alone each pairs with each.
     """
     needed = set(needed)
     rounds = needed_rounds(needed)
@@ -210,27 +318,18 @@ def assemble(
     wanted = dict.fromkeys([*fv.CARTOGRAPHY, fv.INTERVIEWER, *variables])
     status = [c for c in (fv.PERSON_STATUS, *fv.STATE.values()) if c in provider]
     dates = [fv.START_DATE[r] for r in rounds]
-    words: list[str] = []
+    marked = fv.DELETED in tables.columns(base_key)
 
     def part(key: TableKey) -> DataFrame:
         own = [c for c, owner in provider.items() if owner == key]
-        keys = [fv.HOUSEHOLD_KEY] + ([fv.CASE_KEY] if key == base_key else [])
+        keys = [fv.HOUSEHOLD_KEY] + ([fv.DELETED if marked else fv.CASE_KEY] if key == base_key else [])
         if len(person_keys) > 1 and fv.PERSON in tables.columns(key):
             keys.append(fv.PERSON)
         used = [c for c in own if c in wanted or c in status or c in dates or c == fv.PERSON]
         used = list(dict.fromkeys([*keys, *used]))
-        df = tables.tables[key]
-        if early is not None and key == early.table:
-            df = flagged_rows(df, early.predicates, used)
-            words.extend(FLAG_COLUMNS)
-        else:
-            df = df.selectExpr(*[f"`{c}`" for c in used])
-        if key in control and fv.START_DATE[key[1]] in used:
-            date = fv.START_DATE[key[1]]
-            df = df.withColumn(date, parse_survey_date(F.col(date)))
-            if start is not None or end is not None:
-                df = df.filter(within(F.col(date), start, end))
-        return df
+        if key in control:
+            return control_part(tables, key, used, start, end)
+        return tables.tables[key].selectExpr(*[f"`{c}`" for c in used])
 
     households = part(base_key)
     for key in control:
@@ -238,7 +337,7 @@ def assemble(
     finished = finished_filter(provider)
     if finished is not None and all(provider[c] in (base_key, *control) for c in status):
         households, finished = households.filter(finished), None
-    base = live_cases(households, tables.tables[(fv.CASES_TABLE, rounds[0])])
+    base = live_households(tables, households, rounds[0])
     persons = [k for k in questions if fv.PERSON in tables.columns(k)]
     others = [k for k in questions if k not in persons]
     for n, key in enumerate([*persons, *others]):
@@ -250,7 +349,7 @@ def assemble(
     return base.selectExpr(
         f"`{fv.HOUSEHOLD_KEY}`", f"{dates[-1]} AS {fv.DATE}", fv.INTERVIEWER, *fv.CARTOGRAPHY,
         fv.PERSON if fv.PERSON in provider else f"0 AS {fv.PERSON}",
-        *[f"`{c}`" for c in dict.fromkeys(variables) if c not in fixed], *words,
+        *[f"`{c}`" for c in dict.fromkeys(variables) if c not in fixed],
     )
 
 

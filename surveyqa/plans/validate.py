@@ -14,19 +14,30 @@ from pyspark.sql import types as T
 from surveyqa import fixed_values as fv
 from surveyqa import schemas
 from surveyqa.operators.assemble import (
-    EarlyFlags,
+    Answers,
     SurveyTables,
     TableKey,
+    answers,
     assemble,
     check_columns,
     control_keys,
+    household_base,
     live_cases,
     locate,
+    meet_households,
     providers,
 )
 from surveyqa.operators.checks import TextCheck, poor_answers, recently_visited, set_mismatch
 from surveyqa.operators.conditions import ConditionError, compile_condition, condition_names
-from surveyqa.operators.violations import FLAG_COLUMNS, Predicate, evaluate, expand_flags
+from surveyqa.operators.violations import (
+    FLAG_COLUMNS,
+    WORD,
+    Predicate,
+    evaluate,
+    expand_flags,
+    flagged_rows,
+    padded_ids,
+)
 from surveyqa.session import staged
 
 IDENTITY = (fv.DATE, fv.INTERVIEWER, *fv.CARTOGRAPHY, fv.PERSON)
@@ -78,8 +89,7 @@ def route_rule(
     compiled = compile_condition(condition, types)
     return RoutedRule(
         rule_id, row, needed,
-        Predicate(rule_id, compiled.sql, compiled.comparisons, compiled.variables),
-        compiled.warnings,
+        Predicate.of(rule_id, compiled), compiled.warnings,
     )
 
 
@@ -135,17 +145,76 @@ def home_table(tables: SurveyTables, rule: RoutedRule) -> TableKey | None:
     return home if home in rule.needed - others else None
 
 
+class RuleHits(NamedTuple):
+    """Rows that break rules, those rules, and the column of each variable that a rule exports."""
+
+    rows: DataFrame
+    rules: list[RoutedRule]
+    column: dict[tuple[int, str], str]
+
+
+@dataclass(frozen=True)
+class Flagged:
+    """Flagged answers of some rules, before they meet their households."""
+
+    answers: Answers
+    rules: list[RoutedRule]
+    exported: list[str]
+
+
+def flagged_answers(
+    tables: SurveyTables, needed: frozenset[TableKey], home: TableKey | None, rules: list[RoutedRule],
+    exported: list[str], failed: list[tuple[Row, str]],
+) -> Flagged | None:
+    """The rules that Spark accepts, evaluated before any household is joined; None where that can't be."""
+    variables = list(dict.fromkeys(v for rule in rules for v in rule.predicate.variables))
+    plain = answers(tables, needed, variables, exported)
+    if plain is None:
+        return None
+    accepted = accepted_rules(plain.rows if home is None else tables.tables[home], rules, failed)
+    predicates = [rule.predicate for rule in accepted]
+    if not accepted:
+        return Flagged(plain, [], exported)
+    found = answers(tables, needed, variables, exported, lambda df, keep: flagged_rows(df, predicates, keep), home)
+    return Flagged(found, accepted, exported)
+
+
+def united_hits(parts: Sequence[Flagged], base: DataFrame, keep: Sequence[str], apart: bool = False) -> RuleHits:
+    """Flagged answers of all parts in one join with their households, or each in its own, then a row per rule."""
+    ids: list[int] = []
+    column = {
+        (rule.rule_id, v): f"_x{n}_{k}" for n, part in enumerate(parts) for k, v in enumerate(part.exported) for rule in part.rules
+    }
+    rows = None
+    for n, part in enumerate(parts):
+        first = len(ids) // WORD
+        own = part.answers.rows.selectExpr(
+            f"`{fv.HOUSEHOLD_KEY}`", f"`{fv.PERSON}`", f"_word + {first} AS _word", "_flags",
+            f"{str(part.answers.by_household).lower()} AS _by_household",
+            *[f"`{v}` AS _x{n}_{k}" for k, v in enumerate(part.exported)],
+        )
+        ids += padded_ids([rule.predicate for rule in part.rules])
+        own = meet_households(own, base, "_by_household") if apart else own
+        rows = own if rows is None else rows.unionByName(own, allowMissingColumns=True)
+    met = rows if apart else meet_households(rows, base, "_by_household")
+    kept = [*keep, *[f"_x{n}_{k}" for n, part in enumerate(parts) for k in range(len(part.exported))]]
+    flagged = met.select(*[F.col(f"`{c}`") for c in (*kept, *FLAG_COLUMNS)])
+    return RuleHits(expand_flags(flagged, ids, kept), [rule for part in parts for rule in part.rules], column)
+
+
 def rule_hits(
     tables: SurveyTables, by_tables: dict[frozenset[TableKey], list[RoutedRule]],
     keep: Sequence[str], start: str | None, end: str | None, failed: list[tuple[Row, str]],
     exports: Callable[[RoutedRule], Sequence[str]] = lambda rule: (), work_dir: str | None = None,
-) -> Iterator[tuple[DataFrame, list[RoutedRule]]]:
-    """Hits and their rules, by the tables the rules need: ``keep``, the exports and ``rule_id``.
+) -> Iterator[RuleHits]:
+    """Hits with ``keep``, the exports and ``rule_id``.
 
-    A rule on the columns of one table is evaluated on that table, and only rows that break a rule
-    are shuffled to meet their household, all of them in one join. Other rules are evaluated on the
-    joined base, which is written to ``work_dir`` once where that is given.
+    Rules on answers are evaluated on their tables, and only rows that break a rule are shuffled to meet
+    their household: flagged rows of all tables of a round are united and joined once to one household base.
+    Rules that read the household's own columns are evaluated on the joined base, which is written to
+    ``work_dir`` once where that is given.
     """
+    by_round: dict[tuple, list[Flagged]] = {}
     for needed, rules in by_tables.items():
         try:
             check_columns(tables, needed)
@@ -156,26 +225,28 @@ def rule_hits(
         for rule in rules:
             homes.setdefault(home_table(tables, rule), []).append(rule)
         for home, group in homes.items():
+            extra = list(dict.fromkeys(v for rule in group for v in exports(rule) if v not in keep))
+            part = flagged_answers(tables, needed, home, group, extra, failed)
+            if part is not None:
+                if part.rules:
+                    person = part.answers.rows.schema[fv.PERSON].dataType.simpleString()
+                    by_round.setdefault((part.answers.rounds, person), []).append(part)
+                continue
             variables = dict.fromkeys(v for rule in group for v in rule.predicate.variables)
-            extra = list(dict.fromkeys(v for rule in group for v in exports(rule)))
-            columns = [*keep, *[v for v in extra if v not in keep]]
-            if home is None:
-                base = assemble(tables, needed, [*variables, *extra], start, end)
-            else:
-                base = tables.tables[home]
+            base = assemble(tables, needed, [*variables, *extra], start, end)
             accepted = accepted_rules(base, group, failed)
             if not accepted:
                 continue
-            predicates = [rule.predicate for rule in accepted]
-            if home is None:
-                if work_dir is not None:
-                    name = "-".join(sorted(f"{table}_{r}" for table, r in needed)) or "level"
-                    base = staged(base, f"{work_dir}/{name}")
-                yield evaluate(base, predicates, columns), accepted
-                continue
-            early = EarlyFlags(home, predicates)
-            flagged = assemble(tables, needed, extra, start, end, early=early)
-            yield expand_flags(flagged.select(*[F.col(f"`{c}`") for c in (*columns, *FLAG_COLUMNS)]), predicates, columns), accepted
+            if work_dir is not None:
+                name = "-".join(sorted(f"{table}_{r}" for table, r in needed)) or "level"
+                base = staged(base, f"{work_dir}/{name}")
+            rows = evaluate(base, [rule.predicate for rule in accepted], [*keep, *extra])
+            yield RuleHits(rows, accepted, {(rule.rule_id, v): v for rule in accepted for v in extra})
+    bases: dict[tuple[str, ...], DataFrame] = {}
+    for (rounds, _), parts in by_round.items():
+        if rounds not in bases:
+            bases[rounds] = household_base(tables, rounds, start, end)
+        yield united_hits(parts, bases[rounds], keep, tables.co_located)
 
 
 def _rule_details(spark: SparkSession, rules: Sequence[RoutedRule]) -> DataFrame:
@@ -200,20 +271,22 @@ def with_rule_details(hits: DataFrame, rules: Sequence[RoutedRule]) -> DataFrame
     return as_violations(hits.join(details, "rule_id"))
 
 
-def as_violations(df: DataFrame) -> DataFrame:
-    """Columns in report order; the comment is left for the analyst.
-
-    Whole numbers become ``bigint``. A place or interviewer code that is text stays text.
-    """
-    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+def whole_numbers(df: DataFrame) -> DataFrame:
+    """Columns of violations with the types of the report; a place or interviewer code that is text stays text."""
+    types = {f.name: f.dataType.simpleString() for f in schemas.VIOLATIONS}
 
     def column(f: T.StructField) -> str:
-        if f.name == "COMENTARIOS":
-            return "CAST(NULL AS STRING) AS COMENTARIOS"
-        kept = f.name in texts
-        return f"`{f.name}`" if kept else f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+        kept = isinstance(f.dataType, T.StringType) or f.name not in types
+        return f"`{f.name}`" if kept else f"CAST(`{f.name}` AS {types[f.name]}) AS `{f.name}`"
+
+    return df.selectExpr(*[column(f) for f in df.schema.fields])
+
 
-    return df.selectExpr(*[column(f) for f in schemas.VIOLATIONS])
+def as_violations(df: DataFrame) -> DataFrame:
+    """Columns in report order and with its types; the comment is left for the analyst."""
+    return whole_numbers(df.withColumn("COMENTARIOS", F.lit(None).cast("string"))).selectExpr(
+        *[f"`{f.name}`" for f in schemas.VIOLATIONS]
+    )
 
 
 def validate(
@@ -229,14 +302,13 @@ def validate(
     spark = rules.sparkSession
     rows = rule_rows(rules)
     by_tables, failed = route_all(tables, rows, lambda row: row[fv.RULE_CONDITION])
-    violations = None
-    warnings: list[tuple[str, str]] = []
-    for hits, accepted in rule_hits(
-        tables, by_tables, IDENTITY, start, end, failed, work_dir=work_dir
-    ):
-        part = with_rule_details(hits, accepted)
-        violations = part if violations is None else violations.unionByName(part)
-        warnings += [(r.row[fv.RULE_CODE], w) for r in accepted for w in r.warnings]
+    hits, accepted = None, []
+    for found in rule_hits(tables, by_tables, IDENTITY, start, end, failed, work_dir=work_dir):
+        part = whole_numbers(found.rows)
+        hits = part if hits is None else hits.unionByName(part)
+        accepted += found.rules
+    warnings = [(r.row[fv.RULE_CODE], w) for r in accepted for w in r.warnings]
+    violations = None if hits is None else with_rule_details(hits, accepted)
     if violations is None:
         violations = spark.createDataFrame([], schemas.VIOLATIONS)
     rejected = spark.createDataFrame(
@@ -260,16 +332,38 @@ def filter_rule(
     return base.filter(rule.predicate.sql).selectExpr(*[f"`{c}`" for c in columns])
 
 
+def condition_answers(tables: SurveyTables, condition: str, person: str) -> Answers | None:
+    """Household and ``person`` of the answers a condition holds for, before any household is joined."""
+    rule = route_rule(tables, 0, Row(), condition, [] if person == fv.PERSON else [person])
+
+    def holding(df: DataFrame, keep: list[str]) -> DataFrame:
+        check_rule(df, rule.predicate)
+        return df.filter(rule.predicate.sql).selectExpr(f"`{fv.HOUSEHOLD_KEY}`", f"`{person}`")
+
+    return answers(tables, rule.needed, rule.predicate.variables, [person], holding)
+
+
 def cross_module_check(
     tables: SurveyTables, start: str | None = None, end: str | None = None,
     left_condition: str = fv.CROSS_LEFT_CONDITION, right_condition: str = fv.CROSS_RIGHT_CONDITION,
     right_person: str = fv.CROSS_RIGHT_PERSON,
 ) -> DataFrame:
-    """Persons that one chapter takes for farm workers and the other does not, one row each."""
+    """Persons that one chapter takes for farm workers and the other does not, one row each.
+
+    The chapters' persons are compared first; what differs meets its household in one join. Where a
+    condition reads the household's own columns, both sides are assembled instead.
+    """
     carry = [c for c in IDENTITY if c != fv.PERSON]
-    left = filter_rule(tables, left_condition, [fv.HOUSEHOLD_KEY, fv.PERSON, *carry], start, end)
-    right = filter_rule(tables, right_condition, [fv.HOUSEHOLD_KEY, right_person], start, end)
-    persons = set_mismatch(left, right, fv.HOUSEHOLD_KEY, fv.PERSON, right_person, carry)
+    sides = [condition_answers(tables, left_condition, fv.PERSON), condition_answers(tables, right_condition, right_person)]
+    if all(sides) and len({side.rounds for side in sides}) == 1:
+        base = household_base(tables, sides[0].rounds, start, end)
+        differing = set_mismatch(sides[0].rows, sides[1].rows, fv.HOUSEHOLD_KEY, fv.PERSON, right_person, [])
+        by_household = any(side.by_household for side in sides)
+        persons = meet_households(differing.withColumn("_by_household", F.lit(by_household)), base, "_by_household")
+    else:
+        left = filter_rule(tables, left_condition, [fv.HOUSEHOLD_KEY, fv.PERSON, *carry], start, end)
+        right = filter_rule(tables, right_condition, [fv.HOUSEHOLD_KEY, right_person], start, end)
+        persons = set_mismatch(left, right, fv.HOUSEHOLD_KEY, fv.PERSON, right_person, carry)
     labelled = persons.withColumnRenamed("member", fv.PERSON).withColumns({
         "CAPITULO": F.lit(fv.CROSS_CHAPTER), "SECCION": F.lit(fv.CROSS_SECTION),
         "PREGUNTA": F.lit(fv.CROSS_QUESTION), fv.DEFINITION: F.lit(fv.CROSS_DEFINITION),

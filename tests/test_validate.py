@@ -127,14 +127,14 @@ def test_single_table_rules_are_filtered_before_the_shuffle(spark, tables):
     assert plan.rindex("_w0") > plan.index("Join Inner, (LEVEL-1-ID")
 
 
-def test_several_passes_share_a_staged_base(spark, tables, tmp_path):
-    many = [rule(f"P01H09 = 1 y PPA03 <> {n}", f"M{n}") for n in range(250)]
+def test_rules_on_household_columns_share_a_staged_base(spark, tables, tmp_path):
+    many = [rule(f"DEPTO = 1 y PPA03 <> {n}", f"M{n}") for n in range(250)]
     sheet = rule_sheet(spark, *many)
     staged = validate(tables, sheet, *WINDOW, work_dir=str(tmp_path)).violations
     plain = validate(tables, sheet, *WINDOW).violations
-    assert (tmp_path / "personas_PR-vivienda_PR").exists()
+    assert (tmp_path / "personas_PR").exists()
     assert rows(staged, "CODIGO ERROR", "CP") == rows(plain, "CODIGO ERROR", "CP")
-    assert staged.count() == 3 * 250 - 2
+    assert staged.count() == 5 * 250 - 4
 
 
 def test_rules_of_one_analyst(spark, tables, tmp_path):
