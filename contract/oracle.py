@@ -139,6 +139,25 @@ clean AS (
 placed AS (SELECT clean.*, o_custkey % 28 AS sector FROM clean JOIN orders ON household = o_orderkey)"""
 
 
+# Person tables of both rounds, and corrections that say their round.
+_PEOPLE = """people AS (
+  SELECT *, CASE WHEN CAST(l_quantity AS INTEGER) <> 50 THEN CAST(l_quantity AS INTEGER) END AS ppa03,
+         CASE WHEN l_returnflag = 'N' THEN NULL WHEN l_linenumber = 2 THEN '' ELSE l_returnflag END AS p10a01
+  FROM (SELECT 'PR' AS ronda, * FROM lineitem UNION ALL SELECT 'SR', lineitem.* FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        WHERE o_orderstatus <> 'P' AND l_linenumber <> 3)
+)"""
+_SAID = "CASE WHEN seq % 10 = 0 THEN NULL WHEN seq % 10 = 1 THEN 'XX' WHEN seq % 3 = 0 THEN 'SR' ELSE 'PR' END"
+_ROUND_CELLS = f"""{_CORRECTIONS}, {_PEOPLE},
+cell AS (
+  SELECT l.ronda, l.l_orderkey, l.l_linenumber, columna, nuevo, seq,
+         row_number() OVER (PARTITION BY l.ronda, l.l_orderkey, l.l_linenumber, columna ORDER BY seq DESC, nuevo DESC) AS k
+  FROM (SELECT DISTINCT ronda, l_orderkey, l_linenumber FROM people) l
+  JOIN (SELECT *, {_SAID} AS said FROM placed) p
+    ON l.l_orderkey = p.household AND said = l.ronda AND (p.cp IS NULL OR p.cp = l.l_linenumber)
+  WHERE tabla = 'personas'
+)"""
+
+
 def _many_rules() -> str:
     """A hundred rules as a hundred counts."""
     flags = ", ".join(
@@ -379,4 +398,63 @@ SELECT seq, variable, nuevo AS "valor nuevo", motivo FROM (
     WHEN variable = 'personas.p99x01' THEN 'variable desconocida' WHEN away THEN 'hogar desconocido'
     WHEN variable <> 'personas.p10a01' AND NOT regexp_full_match(nuevo, '[0-9]+') THEN 'valor no convertible' END AS motivo FROM sheet
 ) WHERE motivo IS NOT NULL""",
+    "group_files_whole": f"""{_GROUPED} SELECT * REPLACE ("DEFINICION DE INCONSISTENCIA" || chr(10) || '"línea" ' || CP || chr(10) || chr(10) || ', fin'
+    AS "DEFINICION DE INCONSISTENCIA") FROM grouped""",
+    "outer_join_four": """
+WITH a AS (SELECT CASE WHEN o_orderkey <> 7 THEN o_orderkey END AS k, o_custkey AS P16A01 FROM orders),
+b AS (SELECT CASE WHEN l_orderkey + 3 <> 10 THEN l_orderkey + 3 END AS k, l_linenumber AS P17A06B FROM lineitem),
+c AS (SELECT CASE WHEN c_custkey * 4 <> 8 THEN c_custkey * 4 END AS k, c_nationkey AS P01A01 FROM customer),
+d AS (SELECT CASE WHEN user_id * 2 <> 6 THEN user_id * 2 END AS k, count(*) AS P02A01 FROM events GROUP BY user_id)
+SELECT coalesce(a.k, b.k, c.k, d.k) AS "LEVEL-1-ID", P16A01, P17A06B, P01A01, P02A01 FROM a FULL JOIN b ON a.k = b.k
+FULL JOIN c ON coalesce(a.k, b.k) = c.k FULL JOIN d ON coalesce(a.k, b.k, c.k) = d.k""",
+    "frame_in_list": "SELECT 'misma' AS tabla, TRUE AS igual UNION ALL "
+    "SELECT 'otra', count(*) = 0 FROM lineitem WHERE l_linenumber = 7 AND l_tax <> 0.09 UNION ALL "
+    "SELECT 'repetida', count(*) = 0 FROM lineitem WHERE l_linenumber = 7 UNION ALL SELECT 'columnas', FALSE",
+    "corrections_apply_rounds": f"""{_ROUND_CELLS},
+age AS (SELECT * FROM cell WHERE k = 1 AND columna = 'PPA03'),
+answer AS (SELECT * FROM cell WHERE k = 1 AND columna = 'P10A01')
+SELECT t.ronda, t.l_orderkey AS "LEVEL-1-ID", t.l_linenumber AS CP, coalesce(CAST(age.nuevo AS INTEGER), t.ppa03) AS PPA03,
+       coalesce(answer.nuevo, t.p10a01) AS P10A01, l_suppkey % 9 AS P10C21
+FROM people t
+LEFT JOIN age ON t.ronda = age.ronda AND t.l_orderkey = age.l_orderkey AND t.l_linenumber = age.l_linenumber
+LEFT JOIN answer ON t.ronda = answer.ronda AND t.l_orderkey = answer.l_orderkey AND t.l_linenumber = answer.l_linenumber""",
+    "corrections_audit_rounds": f"""{_ROUND_CELLS}
+SELECT 'personas' AS tabla, t.l_orderkey AS "LEVEL-1-ID", t.l_linenumber AS CP, columna AS variable,
+       CASE WHEN columna = 'PPA03' THEN CAST(t.ppa03 AS VARCHAR) ELSE t.p10a01 END AS valor_anterior,
+       nuevo AS valor_nuevo, seq, TRUE AS aplicado, t.ronda
+FROM people t JOIN cell ON t.ronda = cell.ronda AND t.l_orderkey = cell.l_orderkey AND t.l_linenumber = cell.l_linenumber
+WHERE k = 1""",
+    "corrections_unused_all": f"""{_CORRECTIONS}, {_PEOPLE},
+sheet AS (
+  SELECT household, variable, nuevo, seq, CASE WHEN seq % 17 = 0 THEN 99 ELSE cp END AS cp, {_SAID} AS said, o_orderstatus
+  FROM raw JOIN orders ON household = o_orderkey
+),
+usable AS (
+  SELECT *, split_part(variable, '.', 1) AS tabla, split_part(variable, '.', 2) AS columna,
+         CASE WHEN variable LIKE 'personas.%' THEN CASE WHEN said IN ('PR', 'SR') THEN said END
+              WHEN coalesce(said, 'PR') = 'PR' THEN 'PR' END AS round,
+         CASE WHEN variable LIKE 'personas.%' THEN coalesce(cp, 0) ELSE 0 END AS c
+  FROM sheet WHERE variable IS NOT NULL AND nuevo IS NOT NULL
+),
+ranked AS (
+  SELECT *, max({{'s': seq, 'v': nuevo}}) OVER (PARTITION BY round, household, c, tabla, columna) AS latest FROM usable
+)
+SELECT seq, variable, nuevo AS "valor nuevo", motivo FROM (
+  SELECT *, CASE WHEN round IS NULL THEN 'ronda ambigua' WHEN round = 'SR' AND o_orderstatus = 'P' THEN 'hogar desconocido'
+    WHEN tabla = 'personas' AND (round, household, c) NOT IN (
+      SELECT (ronda, l_orderkey, l_linenumber) FROM people UNION SELECT (ronda, l_orderkey, 0) FROM people) THEN 'persona desconocida'
+    WHEN {{'s': seq, 'v': nuevo}} < latest THEN 'reemplazada' END AS motivo
+  FROM ranked
+  UNION ALL SELECT *, NULL, NULL, NULL, NULL, NULL, 'sin variable o valor' FROM sheet WHERE variable IS NULL OR nuevo IS NULL
+) WHERE motivo IS NOT NULL""",
+    "bucketed_violations": f"{_VIOL} SELECT * FROM viol",
+    "rules_from_parts": _NULLABLE.replace("SELECT * FROM n WHERE ", "") + """,
+rules AS (SELECT DISTINCT p_size AS a, p_partkey % 9 AS b, p_partkey % 7 + 1 AS c FROM part)
+SELECT CAST(a * 1000 + b * 10 + c AS INTEGER) AS rule_id, count(*) AS n FROM rules JOIN n
+ON (CANTIDAD > a AND PROVEEDOR = b) OR (MARCA = 'R' AND CP = c) GROUP BY 1""",
+    "productivity_ledger": "SELECT 'A' || user_id AS analista, CAST(count(*) AS BIGINT) AS conteo FROM events GROUP BY user_id",
+    "stream_cross_check": f"""{_WITH}, {_BIJECTION}
+SELECT {_FECHA}, encuestador AS ENCUESTADOR, {_PLACE}, CAST(cp AS BIGINT) AS CP, 'ACECO14' AS "CODIGO ERROR"
+FROM d JOIN inwin USING (id) WHERE {_BOTH}""",
 }
+ORACLE_SQL["corrections_snapshot"] = ORACLE_SQL["corrections_apply"]

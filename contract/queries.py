@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contract.tables import NAMES, RULES, given, survey_tables
+from contract.tables import NAMES, RULES, given, personas, survey_tables
 from surveyqa import fixed_values as fv
 from surveyqa import schemas
 from surveyqa.functions import (
@@ -21,18 +21,20 @@ from surveyqa.functions import (
     upper_columns,
 )
 from surveyqa.operators import checks, compare, groups, reports, triage
-from surveyqa.operators.assemble import assemble
+from surveyqa.operators.assemble import FINISHED, SurveyTables, assemble, household_base
 from surveyqa.operators.conditions import compile_condition
 from surveyqa.operators.corrections import clean_corrections, correction_conflicts, corrections_sql
 from surveyqa.operators.violations import Predicate, evaluate
 from surveyqa.plans import cleaning, productivity
 from surveyqa.functions.dates import date_label
 from surveyqa.plans.full_run import run_section
-from surveyqa.plans.validate import cross_module_check, filter_rule, open_text_check, validate
+from surveyqa.plans.validate import IDENTITY, cross_module_check, filter_rule, open_text_check, validate
 from surveyqa.session import checkpoint_folder, tune
 from surveyqa.sinks import write_by
+from surveyqa.sources.bucketed import load_bucketed, write_bucketed
 from surveyqa.sources.files import count_lines, read_group_files
-from surveyqa.streaming import validate_stream
+from surveyqa.sources.snapshots import read_table, write_table
+from surveyqa.streaming import stream_mismatch, validate_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -243,7 +245,7 @@ def many_rules(spark, sf_dir):
     for n in range(100):
         text = f"CANTIDAD > {n % 50} y PROVEEDOR = {n % 9} o DESCUENTO <> 0.0{n % 10} y CP = {n % 7}"
         compiled = compile_condition(text, {f.name: f.dataType for f in lines.schema.fields})
-        predicates.append(Predicate(n, compiled.sql, compiled.comparisons, compiled.variables))
+        predicates.append(Predicate.of(n, compiled))
     hits = evaluate(lines, predicates, ["CP"])
     return hits.groupBy("rule_id").agg(F.count("*").alias("n"))
 
@@ -416,6 +418,42 @@ def group_files_roundtrip(spark, sf_dir):
     return read_group_files(spark, f"{root}/*/*.csv", schema)
 
 
+@query("group_files_whole")
+def group_files_whole(spark, sf_dir):
+    """All columns of grouped violations by way of files, definitions with line breaks and quotes among them."""
+    root = f"{shared_root(spark)}/groups-{uuid.uuid4().hex}"
+    rows = grouped(spark, sf_dir).withColumn(
+        fv.DEFINITION, F.concat(F.col(f"`{fv.DEFINITION}`"), F.lit('\n"línea" '), F.col("CP"), F.lit("\n\n, fin"))
+    )
+    write_by(rows, root, ["GRUPO"])
+    schema = T.StructType([f for f in rows.schema.fields if f.name != "GRUPO"])
+    return read_group_files(spark, f"{root}/*/*.csv", schema)
+
+
+@query("outer_join_four")
+def outer_join_four(spark, sf_dir):
+    """Four tables, keys missing and NULL in each."""
+    orders, lines = given(spark, sf_dir, "orders"), given(spark, sf_dir, "lineitem")
+    return compare.outer_join([
+        orders.selectExpr("nullif(o_orderkey, 7) AS `LEVEL-1-ID`", "o_custkey AS P16A01"),
+        lines.selectExpr("nullif(l_orderkey + 3, 10) AS `LEVEL-1-ID`", "l_linenumber AS P17A06B"),
+        given(spark, sf_dir, "customer").selectExpr("nullif(c_custkey * 4, 8) AS `LEVEL-1-ID`", "c_nationkey AS P01A01"),
+        given(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("P02A01")).selectExpr("nullif(user_id * 2, 6) AS `LEVEL-1-ID`", "P02A01"),
+    ], fv.HOUSEHOLD_KEY)
+
+
+@query("frame_in_list")
+def frame_in_list(spark, sf_dir):
+    """Which candidates equal a table, by fingerprints first."""
+    lines = given(spark, sf_dir, "lineitem")
+    return compare.equal_frames(lines, {
+        "misma": lines.orderBy("l_partkey"),
+        "otra": lines.withColumn("l_tax", F.when(F.col("l_linenumber") == 7, 0.09).otherwise(F.col("l_tax"))),
+        "repetida": lines.unionAll(lines.filter("l_linenumber = 7")),
+        "columnas": lines.drop("l_tax"),
+    })
+
+
 @query("outer_join")
 def outer_join(spark, sf_dir):
     orders, lines = given(spark, sf_dir, "orders"), given(spark, sf_dir, "lineitem")
@@ -569,13 +607,14 @@ def corrections_conflicts(spark, sf_dir):
 
 @query("corrections_unused")
 def corrections_unused(spark, sf_dir):
-    """Corrections that change nothing, among them some of unknown variables and households."""
+    """Corrections whose variable, round, household or value is at fault."""
     sheet = placed_corrections(spark, sf_dir).withColumns({
         "variable": F.expr("CASE WHEN seq % 7 = 0 THEN 'personas.p99x01' WHEN seq % 11 = 0 THEN 'sin punto' ELSE variable END"),
         "sector": F.expr("if(seq % 5 = 0, 99, sector)"),
         fv.NEW_VALUE: F.expr("if(seq % 13 = 0, 'x', `valor nuevo`)"),
     })
-    return cleaning.unused_corrections(survey_tables(spark, sf_dir), sheet)
+    found = cleaning.unused_corrections(survey_tables(spark, sf_dir), sheet)
+    return found.filter(F.col("motivo").isin(*cleaning.UNUSED_REASONS[:5]))
 
 
 @query("corrections_apply")
@@ -595,6 +634,84 @@ def corrections_audit(spark, sf_dir):
     return audit
 
 
+def two_rounds(spark, sf_dir):
+    """The survey with its person table in both rounds."""
+    tables = survey_tables(spark, sf_dir)
+    second = given(spark, sf_dir, "lineitem").filter("l_linenumber <> 3").join(
+        given(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'").selectExpr("o_orderkey AS l_orderkey"), "l_orderkey", "left_semi"
+    )
+    return SurveyTables(dict(tables.tables) | {("personas", "SR"): personas(second)})
+
+
+def round_corrections(spark, sf_dir):
+    """Corrections that say their round; some say none, or one that does not hold the column."""
+    return placed_corrections(spark, sf_dir).withColumn(
+        "round", F.expr("CASE seq % 10 WHEN 0 THEN NULL WHEN 1 THEN 'XX' ELSE if(seq % 3 = 0, 'SR', 'PR') END")
+    )
+
+
+@query("corrections_apply_rounds")
+def corrections_apply_rounds(spark, sf_dir):
+    """Each correction in the person table of its round."""
+    tables, sheet = two_rounds(spark, sf_dir), round_corrections(spark, sf_dir)
+    parts = [
+        cleaning.correct_table(tables, ("personas", r), sheet, ["PPA03", "P10A01"])[0].select(
+            F.lit(r).alias("ronda"), fv.HOUSEHOLD_KEY, "CP", "PPA03", "P10A01", "P10C21"
+        )
+        for r in fv.ROUNDS
+    ]
+    return parts[0].unionAll(parts[1])
+
+
+@query("corrections_audit_rounds")
+def corrections_audit_rounds(spark, sf_dir):
+    """The log of both rounds' person tables."""
+    tables, sheet = two_rounds(spark, sf_dir), round_corrections(spark, sf_dir)
+    parts = [
+        cleaning.correct_table(tables, ("personas", r), sheet, ["PPA03", "P10A01"])[1].withColumn("ronda", F.lit(r)) for r in fv.ROUNDS
+    ]
+    return parts[0].unionAll(parts[1])
+
+
+@query("corrections_unused_all")
+def corrections_unused_all(spark, sf_dir):
+    """Unknown persons, superseded values and ambiguous rounds as well."""
+    sheet = round_corrections(spark, sf_dir).withColumn("cp", F.expr("if(seq % 17 = 0, 99, cp)"))
+    return cleaning.unused_corrections(two_rounds(spark, sf_dir), sheet)
+
+
+@query("corrections_snapshot")
+def corrections_snapshot(spark, sf_dir):
+    """A stored person table of which only the parts with corrections are written again."""
+    root = f"{shared_root(spark)}/stored-{uuid.uuid4().hex}"
+    tables = survey_tables(spark, sf_dir)
+    write_table(tables.tables[("personas", "PR")], root, "personas", "PR", parts=16)
+    cleaning.correct_snapshot(tables, root, ("personas", "PR"), placed_corrections(spark, sf_dir), ["PPA03", "P10A01"], f"{root}/work")
+    return read_table(spark, root, "personas", "PR").select(fv.HOUSEHOLD_KEY, "CP", "PPA03", "P10A01", "P10C21")
+
+
+@query("bucketed_violations")
+def bucketed_violations(spark, sf_dir):
+    """The rules over a snapshot in buckets by household."""
+    root = f"{shared_root(spark)}/buckets-{uuid.uuid4().hex}"
+    keys = write_bucketed(survey_tables(spark, sf_dir), root, 8)
+    halves = load_bucketed(spark, root, keys, 8)
+    found = [validate(tables, rule_sheet(spark), START, END).violations for tables in halves]
+    return found[0].unionByName(found[1])
+
+
+@query("rules_from_parts")
+def rules_from_parts(spark, sf_dir):
+    """A sheet with a rule for every kind of part over the line items, in one scan; lines per rule."""
+    sheet = given(spark, sf_dir, "part").selectExpr("p_size AS a", "p_partkey % 9 AS b", "p_partkey % 7 + 1 AS c").distinct().selectExpr(
+        "a * 1000 + b * 10 + c AS id", "'CANTIDAD > ' || a || ' y PROVEEDOR = ' || b || ' o ~(MARCA <> \"R\") y CP = ' || c AS texto"
+    )
+    lines = nullable_lines(spark, sf_dir)
+    types = {f.name: f.dataType for f in lines.schema.fields}
+    predicates = [Predicate.of(r["id"], compile_condition(r["texto"], types)) for r in sheet.toLocalIterator()]
+    return evaluate(lines, predicates, ["CP"]).groupBy("rule_id").agg(F.count("*").alias("n"))
+
+
 # -- productivity, batches, text ---------------------------------------------------------------
 
 
@@ -610,6 +727,18 @@ def productivity_totals(spark, sf_dir):
     return productivity.add_counts(totals, new)
 
 
+@query("productivity_ledger")
+def productivity_ledger(spark, sf_dir):
+    """The same batch of files counted twice adds up once."""
+    path = f"{shared_root(spark)}/ledger-{uuid.uuid4().hex}"
+    files = given(spark, sf_dir, "events").groupBy(
+        F.concat(F.lit("A"), "user_id").alias("analista"), F.concat("event_type", F.lit(".txt")).alias("archivo")
+    ).agg(F.count("*").alias("conteo"), F.sum(F.xxhash64("event_id").cast("decimal(38,0)")).cast("string").alias("huella"))
+    productivity.add_batch(spark, path, files.filter("archivo < 'd'"))
+    productivity.add_batch(spark, path, files)
+    return productivity.add_batch(spark, path, files)
+
+
 @query("analyst_list")
 def analyst_list(spark, sf_dir):
     totals = given(spark, sf_dir, "events").select(
@@ -677,3 +806,43 @@ def stream_rules(spark, sf_dir):
     )
     started.awaitTermination()
     return spark.read.schema(found.schema).parquet(f"{root}/rows")
+
+
+@query("stream_cross_check")
+def stream_cross_check(spark, sf_dir):
+    """The chapter comparison as a stream that is read to its end; a last row closes all households."""
+    root = f"{shared_root(spark)}/cross-{uuid.uuid4().hex}"
+    tables = survey_tables(spark, sf_dir)
+    base = household_base(tables, ("PR",), START, END)
+    begun, carry = "COMIENZO", [c for c in IDENTITY if c not in (fv.PERSON, fv.DATE)]
+    schema = given(spark, sf_dir, "lineitem").schema
+    lines = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem.parque[t]")
+    farm_table = lines.selectExpr(
+        "l_orderkey AS `LEVEL-1-ID`", "nullif(l_linenumber, 7) AS P14A04",
+        "CASE l_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE l_returnflag END AS P14A03A",
+    )
+
+    def side(answers, condition, member, state):
+        met = where(answers, condition).join(base, fv.HOUSEHOLD_KEY).filter(state)
+        return met.select(F.col(f"`{fv.HOUSEHOLD_KEY}`"), member, F.col(fv.DATE).cast("timestamp").alias(begun), *carry)
+
+    left = side(personas(lines), fv.CROSS_LEFT_CONDITION, fv.PERSON, "PPA10 = 1")
+    right = side(farm_table, fv.CROSS_RIGHT_CONDITION, fv.CROSS_RIGHT_PERSON, FINISHED)
+    empty = spark.createDataFrame([()], T.StructType()).select(*[
+        (F.to_timestamp(F.lit("9999-01-01")) if f.name == begun else F.lit(0)).cast(f.dataType).alias(f.name) for f in left.schema.fields
+    ])
+    empty.write.parquet(f"{root}/close/last")
+    closing = spark.readStream.schema(left.schema).parquet(f"{root}/close/*")
+    found = stream_mismatch(
+        left.unionByName(closing), right, fv.HOUSEHOLD_KEY, fv.PERSON, fv.CROSS_RIGHT_PERSON, begun, "30 days", carry
+    )
+    started = (
+        found.writeStream.format("parquet").option("path", f"{root}/rows").option("checkpointLocation", f"{root}/state")
+        .trigger(availableNow=True).start()
+    )
+    started.awaitTermination()
+    rows = spark.read.schema(found.schema).parquet(f"{root}/rows")
+    return rows.select(
+        F.col(begun).cast("date").alias(fv.DATE), *carry, F.col("member").cast("long").alias(fv.PERSON),
+        F.lit(fv.CROSS_CODE).alias(fv.CODE),
+    )

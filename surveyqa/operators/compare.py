@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def frame_difference(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -44,10 +45,49 @@ def equality_report(target: DataFrame, others: Mapping[str, DataFrame]) -> DataF
     return reduce(DataFrame.unionAll, rows)
 
 
+#: Seeds of the two hashes of a row.
+SEEDS = (0x51ED270B, 0x2545F491)
+
+
+def fingerprint(df: DataFrame) -> DataFrame:
+    """One row, the same for the same rows in any order: their number and two sums of seeded hashes.
+
+    Every repeated row counts. NULL is told apart from every value, and 0.0 is -0.0, as in a comparison.
+    """
+    columns = []
+    for f in df.schema.fields:
+        column = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            column = F.when(column == 0, F.lit(0.0).cast(f.dataType)).otherwise(column)
+        columns += [column, column.isNull()]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)")).alias(f"suma_{n}") for n, seed in enumerate(SEEDS)]
+    return df.agg(F.count("*").alias("filas"), *sums)
+
+
+def equal_frames(target: DataFrame, others: Mapping[str, DataFrame]) -> DataFrame:
+    """``tabla`` and ``igual`` per candidate; rows are compared only where fingerprints agree.
+
+    The fingerprints are one job without a shuffle of any row; the driver gets a row per frame.
+    """
+    spark = target.sparkSession
+    alike = {name: df for name, df in others.items() if same_schema(target, df)}
+    rows = [fingerprint(df).withColumn("tabla", F.lit(name)) for name, df in alike.items()]
+    agreeing: list[str] = []
+    if rows:
+        own = fingerprint(target).withColumn("tabla", F.lit(None).cast("string"))
+        found = {r["tabla"]: (r["filas"], r["suma_0"], r["suma_1"]) for r in reduce(DataFrame.unionAll, [own, *rows]).collect()}
+        agreeing = [name for name in alike if found[name] == found[None]]
+    settled = spark.createDataFrame([(name, False) for name in others if name not in agreeing], "tabla string, igual boolean")
+    parts = [
+        frame_difference(target, others[name]).agg((F.count("*") == 0).alias("igual")).select(F.lit(name).alias("tabla"), "igual")
+        for name in agreeing
+    ]
+    return reduce(DataFrame.unionAll, [settled, *parts])
+
+
 def equals_any(target: DataFrame, others: Mapping[str, DataFrame]) -> bool:
-    return bool(others) and bool(
-        equality_report(target, others).agg(F.bool_or("igual").alias("igual")).first()["igual"]
-    )
+    """Whether the list holds the frame."""
+    return bool(equal_frames(target, others).agg(F.coalesce(F.bool_or("igual"), F.lit(False)).alias("igual")).first()["igual"])
 
 
 def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -64,10 +104,29 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
 def outer_join(tables: list[DataFrame], key: str) -> DataFrame:
     """Full outer join of all tables on one key; columns other than the key must differ.
 
-    Spark splits a hot key of left and anti joins, but not of a full outer join.
+    One table of keys says which tables have each. Every table gets a row of NULLs for the keys it lacks,
+    and the joins are inner ones: Spark splits a hot key of those, but not of a full outer join, and the plan
+    grows by one join a table. A NULL key matches nothing, so NULL keys are told apart by their table.
     """
-    def both(a: DataFrame, b: DataFrame) -> DataFrame:
-        unmatched = b.join(a.select(F.col(f"`{key}`")).distinct(), key, "left_anti")
-        return a.join(b, key, "left").unionByName(unmatched, allowMissingColumns=True)
-
-    return reduce(both, tables)
+    if len(tables) > 62:
+        raise ValueError("at most 62 tables: each has a bit of a word")
+    tag, mask = "_table", "_tables"
+    names = [key, tag]
+
+    def tagged(n: int) -> DataFrame:
+        return tables[n].withColumn(tag, F.when(F.col(f"`{key}`").isNull(), n + 1).otherwise(0))
+
+    keys = reduce(DataFrame.unionAll, [
+        tagged(n).select(F.col(f"`{key}`"), tag, F.lit(1 << n).cast("long").alias(mask)) for n in range(len(tables))
+    ]).groupBy(F.col(f"`{key}`"), tag).agg(F.bit_or(mask).alias(mask))
+    joined = None
+    for n in range(len(tables)):
+        lacking = keys.filter(F.col(mask).bitwiseAND(F.lit(1 << n)) == 0).select(F.col(f"`{key}`"), tag)
+        whole = tagged(n).unionByName(lacking, allowMissingColumns=True)
+        if joined is None:
+            joined = whole
+            continue
+        other = whole.withColumnsRenamed({name: f"_other_{name}" for name in names})
+        same = F.col(f"`{key}`").eqNullSafe(F.col(f"`_other_{key}`")) & (F.col(tag) == F.col(f"_other_{tag}"))
+        joined = joined.join(other, same).drop(*[f"_other_{name}" for name in names])
+    return joined.select(F.col(f"`{key}`"), *[F.col(f"`{c}`") for df in tables for c in df.columns if c != key])

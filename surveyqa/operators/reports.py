@@ -15,8 +15,11 @@ def households_once(violations: DataFrame, *keys: str, codes: Sequence[str] = (f
     """Rows to count: of the codes that compare chapters one per household, of others all.
 
     Such a code's rows are the differing persons of a household, which is one violation. ``keys`` are
-    further columns in which the same household counts anew.
+    further columns in which the same household counts anew. A frame without codes or places has none of
+    those codes.
     """
+    if not {fv.CODE, *fv.CARTOGRAPHY} <= set(violations.columns):
+        return violations
     own = F.coalesce(F.col(f"`{fv.CODE}`").isin(*codes), F.lit(False))
     once = violations.filter(own).dropDuplicates([*dict.fromkeys([fv.CODE, *fv.CARTOGRAPHY, *keys])])
     return violations.filter(~own).unionByName(once)

@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from surveyqa.operators.reports import report_order
 
 
+#: Texts are written as they are: quotes doubled, blanks and line breaks at their ends kept.
+CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_consolidated(df: DataFrame, path: str) -> None:
     """One CSV table with a header, for BI tools and reports."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(**CSV).csv(path)
 
 
 def write_by(df: DataFrame, path: str, columns: Sequence[str], file_format: str = "csv") -> None:
@@ -23,16 +27,14 @@ def write_by(df: DataFrame, path: str, columns: Sequence[str], file_format: str
     """
     writer = df.hint("rebalance", *[F.col(f"`{c}`") for c in columns]).write.mode("overwrite")
     if file_format == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        writer = writer.options(**CSV)
     writer.partitionBy(*columns).format(file_format).save(path)
 
 
 def write_sorted_report(df: DataFrame, path: str, group: str = "GRUPO") -> None:
     """One directory per group, rows in report order: files in name order, then lines."""
     ordered = report_order(df, group)
-    ordered.write.mode("overwrite").option("header", True).option("escape", '"').partitionBy(
-        group
-    ).csv(path)
+    ordered.write.mode("overwrite").options(**CSV).partitionBy(group).csv(path)
 
 
 def write_statements(statements: DataFrame, path: str, append: bool = True) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveyqa.functions.text import group_number
+from surveyqa.sources.records import read_delimited
 
 
 def read_sheet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -17,22 +18,26 @@ def read_sheet(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     )
 
 
+def header_columns(spark: SparkSession, path: str, sep: str) -> T.StructType:
+    """The columns that the first line of the files names, as text."""
+    names = spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').csv(path).columns
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
 def read_violation_file(spark: SparkSession, path: str) -> DataFrame:
-    """A violation export: ``;`` between fields, quotes doubled inside quoted text."""
-    return (
-        spark.read.option("sep", ";").option("header", True).option("quote", '"')
-        .option("escape", '"').csv(path)
-    )
+    """A violation export: ``;`` between fields, quotes doubled inside quoted text, which may hold line breaks."""
+    return read_delimited(spark, path, header_columns(spark, path, ";"), ";")
 
 
 def read_group_files(
     spark: SparkSession, pattern: str, schema: T.StructType, sep: str = ","
 ) -> DataFrame:
-    """All report files a pattern names, with the group number cut from the name of file or folder."""
-    files = spark.read.schema(schema).option("header", True).option("sep", sep).option(
-        "escape", '"'
-    ).csv(pattern)
-    return files.withColumn("GRUPO", group_number(F.upper(F.col("_metadata.file_path"))))
+    """All report files a pattern names, with the group number cut from the name of file or folder.
+
+    Quoted text may hold line breaks; a large file is read by several tasks all the same.
+    """
+    rows = read_delimited(spark, pattern, schema, sep, F.col("file"))
+    return rows.withColumn("GRUPO", group_number(F.upper(F.col("_file")))).drop("_file")
 
 
 def count_lines(spark: SparkSession, pattern: str) -> DataFrame:
