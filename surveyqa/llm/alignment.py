@@ -18,26 +18,35 @@ Ties among a right token's pairs are all highest. An empty table gives no rows;
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from surveyqa.llm.storage import shared_folder, staged
-from surveyqa.llm.tokens import BYTE_LETTERS, encoder, spaced
+from surveyqa.llm.tokens import BYTE_LETTERS, COMMON, KEPT_BYTES, ODD_BLANKS, WHITE, Encoder, Memory, spaced
 
 #: Bytes of text in a block, and in what is encoded at once.
 BLOCK, CHUNK = 4 << 20, 1 << 19
 #: A pair is its left id in the high bits and its right id in these low ones.
 RIGHT_BITS = 32
+#: How byte-level vocabularies cut a text before they merge.
+BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: A blank after other white space, or at the end, and where a text may be cut.
+AFTER_WHITE = re.compile(f"[{WHITE}] | \\Z")
+CUT = re.compile(f"(?<=[^{WHITE}])(?= [^{WHITE}])")
 
 
 @lru_cache(maxsize=4)
@@ -51,6 +60,23 @@ def left_bytes(path: str) -> list[bytes]:
     return found
 
 
+@lru_cache(maxsize=4)
+def ranked_encoding(path: str) -> tiktoken.Encoding | None:
+    """The left vocabulary for a library that merges by rank alone: the same ids, several times faster.
+
+    None unless every merge makes the next id after the single bytes; only texts of common letters go
+    through it, which both libraries' patterns cut alike.
+    """
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    entries, singles = left_bytes(path), len(BYTE_LETTERS)
+    if any(model["vocab"].get(a + b) != singles + k for k, (a, b) in enumerate(merges)) or any(len(e) != 1 for e in entries[:singles]):
+        return None
+    ranks = {entry: k for k, entry in enumerate(entries[: singles + len(merges)])}
+    return tiktoken.Encoding(path, pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 @lru_cache(maxsize=4)
 def right_model(path: str) -> tuple[sentencepiece.SentencePieceProcessor, list[bytes]]:
     """A model of pieces and the bytes of each id: blanks for its marks, one byte for a byte's piece."""
@@ -62,50 +88,109 @@ def right_model(path: str) -> tuple[sentencepiece.SentencePieceProcessor, list[b
     return model, pieces
 
 
-def slices(left_ends: list[int], right_ends: list[int]) -> list[tuple[int, int]]:
-    """Where the groups of two id lists stop, from the cumulative ends of their tokens."""
+def slices(left_ends: list[int], right_ends: list[int]) -> tuple[list[int], list[int]]:
+    """Where the groups stop in each of two id lists, from the cumulative ends of their tokens."""
     left, right = dict(zip(left_ends, range(1, len(left_ends) + 1))), dict(zip(right_ends, range(1, len(right_ends) + 1)))
-    return [(left[end], right[end]) for end in sorted(left.keys() & right.keys())]
+    common = sorted(left.keys() & right.keys())
+    return [left[end] for end in common], [right[end] for end in common]
 
 
-def shown(left: list[str], right: list[str], stops: list[tuple[int, int]]) -> str:
-    """The groups as text: ids joined by commas, sides by a bar, groups by semicolons."""
+def shown(left: list[int], right: list[int], stops: tuple[list[int], list[int]]) -> list[str]:
+    """Each group as text: ids joined by commas, the sides by a bar."""
     parts, i, j = [], 0, 0
-    for i_stop, j_stop in stops:
-        parts.append(f"{','.join(left[i:i_stop])}|{','.join(right[j:j_stop])}")
+    for i_stop, j_stop in zip(*stops):
+        if i_stop - i == j_stop - j == 1:
+            parts.append(f"{left[i]}|{right[j]}")
+        else:
+            parts.append(f"{','.join(map(str, left[i:i_stop]))}|{','.join(map(str, right[j:j_stop]))}")
         i, j = i_stop, j_stop
-    return ";".join(parts)
+    return parts
+
+
+#: Of a stretch of text: tokens on each side, groups as text, and the pairs of all links as 64-bit integers.
+Stretch = tuple[int, int, str, bytes]
 
 
 class Aligner:
-    """Aligned ids of texts by two vocabularies."""
+    """Aligned ids of texts by two vocabularies.
 
-    def __init__(self, left: str, right: str) -> None:
-        self.encoder, self.left = encoder(left, spaced), left_bytes(left)
-        self.model, self.right = right_model(right)
-        self.names = list(map(str, range(max(len(self.left), len(self.right)))))
+    No token of either vocabulary goes on behind a character that a single blank and a further character
+    follow: the left one's pattern cuts there, and the right one has no piece with a mark after another
+    character. So a text is aligned stretch by stretch, and a worker remembers the stretches of late. A text
+    in which some stretch does not come back from its tokens is looked at as a whole.
+    """
 
-    def ends(self, ids: list[int], entries: list[bytes], text: bytes) -> list[int] | None:
-        """Cumulative ends of the tokens; None where they don't give the text back."""
-        tokens = [entries[k] for k in ids]
-        return list(accumulate(map(len, tokens))) if b"".join(tokens) == text else None
+    def __init__(self, left: str, right: str, kept: int = KEPT_BYTES) -> None:
+        self.encoder, self.left, self.ranks = Encoder(left, spaced, kept // 8), left_bytes(left), ranked_encoding(left)
+        self.model, self.right = right_model(right)
+        if any("\u2581" in piece.lstrip("\u2581") for piece in map(self.model.id_to_piece, range(self.model.get_piece_size()))):
+            raise ValueError(f"{right}: a piece goes on behind a blank")
+        self.known = Memory(kept)
+
+    def left_ids(self, texts: list[str]) -> list[int]:
+        """Ids of some texts that follow one another."""
+        if self.ranks is not None and all(map(COMMON.fullmatch, texts)):
+            return self.ranks.encode_ordinary("".join(texts))
+        return array("I", b"".join(self.encoder.encode(texts))).tolist()
+
+    def stretches(self, texts: list[str]) -> list[Stretch | None]:
+        """Each of some texts that begin with a blank; None where it does not come back from its tokens.
+
+        All of them are aligned at once, as one text: each ends with a token on both sides.
+        """
+        whole = [t.encode() for t in texts]
+        left, right = self.left_ids(texts), list(chain.from_iterable(self.model.encode([t[1:] for t in texts], num_threads=1)))
+        left_tokens, right_tokens = [self.left[k] for k in left], [self.right[k] for k in right]
+        if not b"".join(left_tokens) == b"".join(right_tokens) == b"".join(whole):
+            return [None] if len(texts) == 1 else [found for t in texts for found in self.stretches([t])]
+        left_ends, right_ends = list(accumulate(map(len, left_tokens))), list(accumulate(map(len, right_tokens)))
+        stops = slices(left_ends, right_ends)
+        groups = shown(left, right, stops)
+        pairs = array("q", [left[i - 1] << RIGHT_BITS | right[j - 1] for i, j in zip(*stops)]).tobytes()
+        number = {left_ends[i - 1]: k for k, i in enumerate(stops[0], 1)}
+        found, g, i, j = [], 0, 0, 0
+        for end in accumulate(map(len, whole)):
+            stop = number[end]
+            i_stop, j_stop = stops[0][stop - 1], stops[1][stop - 1]
+            found.append((i_stop - i, j_stop - j, ";".join(groups[g:stop]), pairs[8 * g : 8 * stop]))
+            g, i, j = stop, i_stop, j_stop
+        return found
 
     def aligned(self, texts: list[str]) -> Iterator[tuple[int, int, str, np.ndarray]]:
         """Per text: tokens on each side, the groups' digest, and the pair of every link."""
-        spaced_texts = [" " + t for t in texts]
-        encoded = zip(spaced_texts, self.encoder.encode(spaced_texts), self.model.encode(texts, num_threads=1))
-        for text, data, right in encoded:
-            left, whole = array("I", data).tolist(), text.encode()
-            left_ends = self.ends(left, self.left, whole)
-            right_ends = self.ends(right, self.right, whole) if left_ends is not None else None
-            if len(text) == 1 or right_ends is None:
+        self.known.turn()
+        cut = [stretches_of(" " + t) if t else [] for t in texts]
+        known, early = self.known.late, self.known.early
+        new = []
+        for text in set().union(*cut).difference(known) if cut else ():
+            if text in early:
+                found = early[text]
+                self.known.add(text, found, 0 if found is None else 150 + len(found[2]) + len(found[3]))
+            else:
+                new.append(text)
+        # Common ones apart, so that a rare letter doesn't send all of them the slow way.
+        new.sort(key=lambda t: COMMON.fullmatch(t) is None)
+        common = bisect_left(new, True, key=lambda t: COMMON.fullmatch(t) is None)
+        for some in filter(None, (new[:common], new[common:])):
+            for text, found in zip(some, self.stretches(some)):
+                self.known.add(text, found, 0 if found is None else 150 + len(found[2]) + len(found[3]))
+        for text, parts in zip(texts, cut):
+            own = [known[p] for p in parts]
+            if None in own:
+                own = self.stretches([" " + text])
+            if not own or own == [None]:
                 yield 0, 0, "", np.zeros(0, np.int64)
                 continue
-            stops, names = slices(left_ends, right_ends), self.names
-            digest = hashlib.sha256(shown([names[k] for k in left], [names[k] for k in right], stops).encode()).hexdigest()
-            last = np.array(stops, np.int64) - 1
-            pairs = np.array(left, np.int64)[last[:, 0]] << RIGHT_BITS | np.array(right, np.int64)[last[:, 1]]
-            yield len(left), len(right), digest, pairs
+            left, right, groups, pairs = zip(*own)
+            digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+            yield sum(left), sum(right), digest, np.frombuffer(b"".join(pairs), np.int64)
+
+
+def stretches_of(text: str) -> list[str]:
+    """Stretches of a text that begins with a blank, cut before each blank between two other characters."""
+    if ODD_BLANKS.search(text) or AFTER_WHITE.search(text):
+        return CUT.split(text)
+    return [" " + word for word in text[1:].split(" ")]
 
 
 DOCUMENT = "n_a long, n_b long, groups_sha256 string, links binary"

@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Callable
+from typing import Any
 
 from tokenizers import Tokenizer
 
@@ -64,12 +65,12 @@ class Memory:
 
     def __init__(self, limit: int) -> None:
         self.limit, self.size = limit // 2, 0
-        self.late: dict[str, bytes] = {}
-        self.early: dict[str, bytes] = {}
+        self.late: dict[str, Any] = {}
+        self.early: dict[str, Any] = {}
 
-    def add(self, text: str, ids: bytes) -> None:
-        self.late[text] = ids
-        self.size += len(text) + len(ids) + ENTRY_BYTES
+    def add(self, text: str, found: Any, size: int) -> None:
+        self.late[text] = found
+        self.size += len(text) + size + ENTRY_BYTES
 
     def turn(self) -> None:
         """Forget the early half when the late one is full."""
@@ -95,7 +96,7 @@ class Encoder:
             if ids is None:
                 letters = text.encode().decode("latin-1").translate(BYTE_LETTERS)
                 ids = array("I", [t.id for t in self.merges.tokenize(letters)]).tobytes()
-            self.merged.add(text, ids)
+            self.merged.add(text, ids, len(ids))
             return ids
         return late[text]
 
@@ -111,7 +112,8 @@ class Encoder:
         known, early = self.known.late, self.known.early
         for text in set().union(*cut).difference(known) if cut else ():
             ids = early.get(text)
-            self.known.add(text, self.word(text) if ids is None else ids)
+            ids = self.word(text) if ids is None else ids
+            self.known.add(text, ids, len(ids))
         get = known.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 

@@ -170,8 +170,36 @@ def test_alignment_over_blocks(spark, odd, nothing, monkeypatch):
     assert alignments(nothing, LEFT, RIGHT).count() == 0
 
 
+ODD_TEXTS = ["two  blanks", " led", "end ", "line\n next", "line \nnext", "tab\t tab", "\u00a0 nbsp\u00a0x", "a\u2581b c", "x\u2003 y \u2003z", "a" * 3000 + " b", "é 🙂 ñ's it's",
+             "<s> </s> <|endoftext|> x", "\x00 \x1c \x85 \u200b x", "ﬁ ½ Å Å", "   ", "\n", "日本語 テスト"]
+
+
+def test_stretches_are_encoded_as_in_their_texts():
+    left, right = Tokenizer.from_file(LEFT), sentencepiece.SentencePieceProcessor(model_file=RIGHT)
+    left.encode_special_tokens = True
+    texts = ODD_TEXTS + [" ".join(ODD_TEXTS), "  ".join(ODD_TEXTS)]
+    if os.path.isdir(SF_DIR):
+        texts += [t for (t,) in __import__("duckdb").sql(f"SELECT text FROM '{SF_DIR}/documents.parquet' WHERE text IS NOT NULL").fetchall()]
+    aligner = Aligner(LEFT, RIGHT)
+    for text, (n_a, n_b, _, _) in zip(texts, aligner.aligned(texts)):
+        (whole,) = aligner.stretches([" " + text])
+        if n_a:
+            parts = aligner.stretches(alignment_module().stretches_of(" " + text))
+            a = left.encode(" " + text, add_special_tokens=False).ids
+            assert sum(p[0] for p in parts) == n_a == len(a) and n_b == len(right.encode(text))
+            assert ";".join(p[2] for p in parts) == whole[2] and b"".join(p[3] for p in parts) == whole[3]
+            assert aligner.encoder.encode([" " + text]) == [np.array(a, np.uint32).tobytes()]
+        else:
+            assert whole is None
+
+
+def alignment_module():
+    from surveyqa.llm import alignment
+    return alignment
+
+
 def test_slices_and_texts_without_tokens():
-    assert slices([2, 5, 6, 9], [1, 5, 9]) == [(2, 2), (4, 3)] and slices([], []) == []
+    assert slices([2, 5, 6, 9], [1, 5, 9]) == ([2, 4], [2, 3]) and slices([], []) == ([], [])
     found = list(Aligner(LEFT, RIGHT).aligned(["", "a▁b", "ab"]))
     assert [f[:3] for f in found[:2]] == [(0, 0, "")] * 2 and found[2][0] > 0 and len(found[2][3])
 
@@ -182,7 +210,7 @@ def test_worker_memory_is_bounded():
     assert [small.encode([t]) for t in texts] == [large.encode([t]) for t in texts]
     assert small.known.size <= small.known.limit + 2000 and len(small.known.late) + len(small.known.early) < 200
     memory = Memory(1000)
-    memory.add("kept", b"1")
+    memory.add("kept", b"1", 1)
     memory.size = 501
     memory.turn()
     assert memory.early == {"kept": b"1"} and not memory.late and memory.size == 0
