@@ -29,7 +29,7 @@ from surveyqa.plans import cleaning, productivity
 from surveyqa.functions.dates import date_label
 from surveyqa.plans.full_run import run_section
 from surveyqa.plans.validate import IDENTITY, cross_module_check, filter_rule, open_text_check, validate
-from surveyqa.session import checkpoint_folder, tune
+from surveyqa.session import shared_place, tune
 from surveyqa.sinks import write_by
 from surveyqa.sources.bucketed import load_bucketed, write_bucketed
 from surveyqa.sources.files import count_lines, read_group_files
@@ -60,11 +60,6 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
-def shared_root(spark: SparkSession) -> str:
-    """A folder that all hosts see: the one the cluster names, else the warehouse."""
-    return checkpoint_folder(spark) or f"{spark.conf.get('spark.sql.warehouse.dir')}/staged"
-
-
 def rule_sheet(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RULES, schemas.RULES)
 
@@ -399,7 +394,7 @@ def merge_reports_left(spark, sf_dir):
 @query("line_counts")
 def line_counts(spark, sf_dir):
     """Lines per file of text that Spark wrote."""
-    root = f"{shared_root(spark)}/lines-{uuid.uuid4().hex}"
+    root = f"{shared_place(spark)}/lines-{uuid.uuid4().hex}"
     given(spark, sf_dir, "orders").selectExpr("o_orderstatus AS estado", "CAST(o_orderkey AS STRING) AS linea").repartition(
         "estado"
     ).write.partitionBy("estado").text(root)
@@ -411,7 +406,7 @@ def line_counts(spark, sf_dir):
 @query("group_files_roundtrip")
 def group_files_roundtrip(spark, sf_dir):
     """Grouped violations written by group and read back, the group from the folder's name."""
-    root = f"{shared_root(spark)}/groups-{uuid.uuid4().hex}"
+    root = f"{shared_place(spark)}/groups-{uuid.uuid4().hex}"
     rows = grouped(spark, sf_dir).select("GRUPO", "SECTOR", "DEPTO", "HOGAR", "CP", fv.CODE)
     write_by(rows, root, ["GRUPO"])
     schema = T.StructType([f for f in rows.schema.fields if f.name != "GRUPO"])
@@ -421,7 +416,7 @@ def group_files_roundtrip(spark, sf_dir):
 @query("group_files_whole")
 def group_files_whole(spark, sf_dir):
     """All columns of grouped violations by way of files, definitions with line breaks and quotes among them."""
-    root = f"{shared_root(spark)}/groups-{uuid.uuid4().hex}"
+    root = f"{shared_place(spark)}/groups-{uuid.uuid4().hex}"
     rows = grouped(spark, sf_dir).withColumn(
         fv.DEFINITION, F.concat(F.col(f"`{fv.DEFINITION}`"), F.lit('\n"línea" '), F.col("CP"), F.lit("\n\n, fin"))
     )
@@ -683,7 +678,7 @@ def corrections_unused_all(spark, sf_dir):
 @query("corrections_snapshot")
 def corrections_snapshot(spark, sf_dir):
     """A stored person table of which only the parts with corrections are written again."""
-    root = f"{shared_root(spark)}/stored-{uuid.uuid4().hex}"
+    root = f"{shared_place(spark)}/stored-{uuid.uuid4().hex}"
     tables = survey_tables(spark, sf_dir)
     write_table(tables.tables[("personas", "PR")], root, "personas", "PR", parts=16)
     cleaning.correct_snapshot(tables, root, ("personas", "PR"), placed_corrections(spark, sf_dir), ["PPA03", "P10A01"], f"{root}/work")
@@ -693,7 +688,7 @@ def corrections_snapshot(spark, sf_dir):
 @query("bucketed_violations")
 def bucketed_violations(spark, sf_dir):
     """The rules over a snapshot in buckets by household."""
-    root = f"{shared_root(spark)}/buckets-{uuid.uuid4().hex}"
+    root = f"{shared_place(spark)}/buckets-{uuid.uuid4().hex}"
     keys = write_bucketed(survey_tables(spark, sf_dir), root, 8)
     halves = load_bucketed(spark, root, keys, 8)
     found = [validate(tables, rule_sheet(spark), START, END).violations for tables in halves]
@@ -730,7 +725,7 @@ def productivity_totals(spark, sf_dir):
 @query("productivity_ledger")
 def productivity_ledger(spark, sf_dir):
     """The same batch of files counted twice adds up once."""
-    path = f"{shared_root(spark)}/ledger-{uuid.uuid4().hex}"
+    path = f"{shared_place(spark)}/ledger-{uuid.uuid4().hex}"
     files = given(spark, sf_dir, "events").groupBy(
         F.concat(F.lit("A"), "user_id").alias("analista"), F.concat("event_type", F.lit(".txt")).alias("archivo")
     ).agg(F.count("*").alias("conteo"), F.sum(F.xxhash64("event_id").cast("decimal(38,0)")).cast("string").alias("huella"))
@@ -785,7 +780,7 @@ def fill_cast_int_query(spark, sf_dir):
 @query("stream_rules")
 def stream_rules(spark, sf_dir):
     """Rules over the line items as a stream, written to files and read back when it has caught up."""
-    root = f"{shared_root(spark)}/stream-{uuid.uuid4().hex}"
+    root = f"{shared_place(spark)}/stream-{uuid.uuid4().hex}"
     schema = given(spark, sf_dir, "lineitem").schema
     # A stream's path must be a folder or a pattern; this pattern names one path only.
     stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem.parque[t]")
@@ -811,7 +806,7 @@ def stream_rules(spark, sf_dir):
 @query("stream_cross_check")
 def stream_cross_check(spark, sf_dir):
     """The chapter comparison as a stream that is read to its end; a last row closes all households."""
-    root = f"{shared_root(spark)}/cross-{uuid.uuid4().hex}"
+    root = f"{shared_place(spark)}/cross-{uuid.uuid4().hex}"
     tables = survey_tables(spark, sf_dir)
     base = household_base(tables, ("PR",), START, END)
     begun, carry = "COMIENZO", [c for c in IDENTITY if c not in (fv.PERSON, fv.DATE)]

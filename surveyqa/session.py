@@ -27,6 +27,20 @@ def checkpoint_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
+def shared_place(spark: SparkSession) -> str:
+    """A folder that all hosts see: the one the cluster names, else one below the warehouse.
+
+    A warehouse on a machine's own disk will do for a local session only.
+    """
+    named = checkpoint_folder(spark)
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"spark.checkpoint.dir names no shared folder, and {warehouse} is on one machine")
+    return f"{warehouse}/staged"
+
+
 def staged(df: DataFrame, path: str) -> DataFrame:
     """Write a table and read it back: a result used by several jobs is computed once.
 

@@ -41,7 +41,7 @@ def read_group_files(
 
 
 def count_lines(spark: SparkSession, pattern: str) -> DataFrame:
-    """Lines per text file, each file by its path; an empty file has 0."""
+    """Lines per text file, each file by its path; Spark's readers leave out empty files."""
     files = spark.read.format("binaryFile").load(pattern).select(
         F.col("_metadata.file_path").alias("ruta"), F.col("_metadata.file_name").alias("archivo")
     )

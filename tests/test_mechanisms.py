@@ -349,6 +349,22 @@ def test_a_run_goes_on_after_its_last_whole_stage(spark, tables, tmp_path, monke
     assert len(list((tmp_path / "run" / "tables").iterdir())) == 2  # other rules, other results
 
 
+def test_a_folder_of_one_machine_is_refused_on_a_cluster():
+    from types import SimpleNamespace
+
+    from surveyqa.session import shared_place
+
+    def session(master, **settings):
+        conf = SimpleNamespace(get=lambda key, default=None: settings.get(key.replace(".", "_"), default))
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert shared_place(session("yarn", spark_checkpoint_dir="s3://b/c")) == "s3://b/c"
+    assert shared_place(session("local[2]", spark_sql_warehouse_dir="file:/w")) == "file:/w/staged"
+    assert shared_place(session("yarn", spark_sql_warehouse_dir="hdfs://w")) == "hdfs://w/staged"
+    with pytest.raises(ValueError):
+        shared_place(session("spark://h:1", spark_sql_warehouse_dir="file:/w"))
+
+
 def test_a_stage_that_is_not_whole_is_made_anew(spark, tmp_path):
     path = str(tmp_path / "s")
     spark.range(3).write.parquet(path)
