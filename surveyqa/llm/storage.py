@@ -13,7 +13,7 @@ from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surveyqa.session import checkpoint_folder
+from surveyqa.session import checkpoint_folder, shared_place
 from surveyqa.session import staged as staged_at
 
 
@@ -35,7 +35,7 @@ def ship(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``; under the warehouse where that is unset."""
     ship(spark)
-    root = checkpoint_folder(spark) or f"{spark.conf.get('spark.sql.warehouse.dir')}/staged"
+    root = checkpoint_folder(spark) or shared_place(spark)
     return f"{root.rstrip('/')}/run-{uuid.uuid4().hex}"
 
 
