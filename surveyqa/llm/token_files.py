@@ -30,6 +30,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from surveyqa.llm.storage import mounted, shared_folder, staged, write_file
 from surveyqa.llm.tokens import encoder, plain
@@ -48,6 +49,15 @@ def widened(data: bytes, width: int) -> bytes:
     return data if width == 4 else np.frombuffer(data, "<u2").astype("<u4").tobytes()
 
 
+def width_of(vocabulary: str, end: int, wanted: int | None = None) -> int:
+    """Bytes per id that hold all ids of a vocabulary and the end id."""
+    largest = max(end, *Tokenizer.from_file(vocabulary).get_vocab(with_added_tokens=True).values())
+    least = 2 if largest < 1 << 16 else 4
+    if wanted is not None and (wanted not in (2, 4) or wanted < least):
+        raise ValueError(f"ids up to {largest} don't fit {wanted} bytes")
+    return wanted or least
+
+
 def dictionary_of(samples: list[bytes]) -> bytes:
     """A trained dictionary; of too few samples, their content itself."""
     try:
@@ -150,16 +160,23 @@ def reader(folder: str):
 
 
 def write_tokens(
-    docs: DataFrame, folder: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end: int = 2, width: int = 2
+    docs: DataFrame, folder: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end: int = 2, width: int | None = None,
+    samples: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES,
 ) -> DataFrame:
-    """Write the shards and the dictionary below ``folder``; gives the shards' numbers and sizes."""
+    """Write the shards and the dictionary below ``folder``; gives the shards' numbers and sizes.
+
+    Ids take two bytes where the vocabulary's and ``end`` fit, else four; a ``width`` that they don't fit is
+    refused. The dictionary is trained on ``samples`` documents, ``sample_bytes`` of each; of too few to train on, it is
+    their content itself.
+    """
     spark, place = docs.sparkSession, mounted(folder)
+    width = width_of(vocabulary, end, width)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    chosen = texts.select("doc_id").filter("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    chosen = texts.select("doc_id").filter("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(samples)
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = [narrowed(x, width)[:SAMPLE_BYTES] for x in encode_texts(vocabulary, batch["text"].to_pylist(), end)]
+            data = [narrowed(x, width)[:sample_bytes] for x in encode_texts(vocabulary, batch["text"].to_pylist(), end)]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(data, pa.binary())], names=["doc_id", "ids"])
 
     sample = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(sampled, "doc_id long, ids binary").groupBy("doc_id").agg(F.min("ids").alias("ids"))
