@@ -2,10 +2,11 @@
 
 Method. One pass measures every whole text. The ratios (symbols, capitals, repeated lines, repeated
 words) of the texts that pass the base rules go into sketches per language and source: counts per
-logarithmic bin, which merge by addition, know every value to a relative error of ``ERROR`` and don't
-depend on the order of rows. A sketch's level is the share of its non-zero part times that part's mean,
-so that a ratio most texts of a group don't have is low there, and no floor holds it up. A group's level counts with its number of texts, its language's with ``PRIOR`` more, and that of
-everything stands behind the language's in the same way. A text fails where the lower confidence bound
+logarithmic bin, which merge by addition, know every quantile to a relative error of ``ERROR`` and don't
+depend on the order of rows. A sketch's level is the ``UPPER`` quantile of its non-zero part times the share
+of that part, so that a ratio most texts of a group don't have is low there, and no floor holds it up. A
+group's level counts with its number of texts, its language's with ``PRIOR`` more, and that of everything
+stands behind the language's in the same way: no number of texts switches anything. A text fails where the lower confidence bound
 (Wilson, ``SURE`` deviations) of its ratio is over ``FENCE`` times the level: one repeated line of ten
 says less than a hundred of a thousand. The fences are joined back to the measures.
 
@@ -20,13 +21,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyqa.llm.storage import shared_folder, staged
 from surveyqa.llm.words import BYTES, SPACE, Words, blocks, mix, span_hashes, windows
 
-ERROR, PRIOR, FENCE, SURE = 0.01, 200.0, 3.0, 3.0
+ERROR, UPPER, PRIOR, FENCE, SURE = 0.01, 0.9, 200.0, 2.0, 3.0
+#: Bin of the value 0.
+ZERO = -(1 << 30)
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_capitals", "n_lines", "n_dup_lines", "n_repeat_words"]
 RATIOS = {
     "symbols": "n_symbols / greatest(1, word_chars)", "capitals": "n_capitals / greatest(1, word_chars)",
@@ -109,14 +112,23 @@ def fences(rows: DataFrame) -> DataFrame:
     values = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), F.expr(v).cast("double").alias("x")) for k, v in RATIOS.items()]))
     bins = rows.select("lang", "source", passing.alias("w"), values.alias("m")).select(
         "lang", "source", "w", "m.ratio",
-        F.when(F.col("m.x") > 0, F.ceil(F.log("m.x") / np.log(growth)).cast("int")).otherwise(-(1 << 30)).alias("bin"),
+        F.when(F.col("m.x") > 0, F.ceil(F.log("m.x") / np.log(growth)).cast("int")).otherwise(ZERO).alias("bin"),
     ).groupBy("lang", "source", "ratio", "bin").agg(F.sum("w").alias("n"))
 
     def levels(sketch: DataFrame, keys: list[str], tag: str) -> DataFrame:
-        value = F.expr(f"if(bin < {-(1 << 29)}, 0D, 2D * power({growth}D, bin) / ({growth}D + 1))")
-        total = F.sum("n")
-        level = F.coalesce(F.sum(F.col("n") * value) / F.nullif(total, F.lit(0)), F.lit(0.0))
-        return sketch.groupBy(*keys, "ratio").agg(level.alias(f"level_{tag}"), total.alias(f"n_{tag}"))
+        """Level and number of texts by key and ratio; a sketch has some hundreds of bins, however many texts."""
+        merged = sketch.groupBy(*keys, "ratio", "bin").agg(F.sum("n").alias("n"))
+        whole = Window.partitionBy(*keys, "ratio")
+        some = F.when(F.col("bin") != ZERO, F.col("n")).otherwise(0)
+        placed = merged.select(
+            "*", F.sum(some).over(whole).alias("some"),
+            F.sum(some).over(whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+        )
+        at = F.when((F.col("bin") != ZERO) & (F.col("some") > 0) & (F.col("upto") >= UPPER * F.col("some")), F.col("bin"))
+        found = placed.groupBy(*keys, "ratio").agg(F.min(at).alias("bin"), F.max("some").alias("some"), F.sum("n").alias(f"n_{tag}"))
+        value = F.expr(f"2D * power({growth}D, bin) / ({growth}D + 1)")
+        share = F.col("some") / F.nullif(F.col(f"n_{tag}"), F.lit(0))
+        return found.select(*keys, "ratio", F.coalesce(value * share, F.lit(0.0)).alias(f"level_{tag}"), f"n_{tag}")
 
     own = levels(bins, ["lang", "source"], "own")
     language = levels(bins, ["lang"], "lang").withColumnsRenamed({"lang": "l", "ratio": "r"})
