@@ -5,8 +5,9 @@ the lines before and after it. A two-state chain (bad, good) is trained on label
 label every line takes. Forward-backward marginals, weighted by line length, give a document's share
 of good text, and a logistic curve fitted on the same documents turns that share into a probability.
 
-The model is fitted on the driver from at most ``DOCS`` labelled documents, those that come first in
-a hash order, and at most ``LINES`` lines of each; it is a few dozen numbers. Scoring covers every line.
+The model is fitted on the driver from at most ``most_docs`` labelled documents, those that come first in
+a hash order, as far as they have ``most_lines`` lines together; each is taken whole, and one of more than a
+quarter of these lines is not learned from. The model is a few dozen numbers. Scoring covers every line.
 
 Results. One row per input row: score and prediction. A null or blank text has no line and gets the
 curve's value for an even share. Repeated rows get equal scores. Labels that are null or without a
@@ -22,13 +23,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveyqa.llm.storage import ship
+from surveyqa.llm.storage import shared_folder, ship, staged
 from surveyqa.llm.words import BYTES, SPACE, Words, blocks, mix, span_hashes
 
-DOCS, LINES, STEPS, RIDGE = 2000, 128, 80, 1e-3
+DOCS, LINES, STEPS, RIDGE = 2000, 200_000, 80, 1e-3
 LETTERS = [*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]
 #: Kinds of bytes: capitals, digits, exclamation marks, bars, other ASCII signs, sentence ends.
 KINDS = np.zeros((6, 256), bool)
@@ -189,24 +190,34 @@ def fitted(documents: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -
 
 
 def sample_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task function: sizes and features of the first lines of labelled documents."""
+    """Task function: number, sizes and features of all lines of labelled documents."""
     for batch in batches:
         row, size, own = batch_lines(batch["text"])
         at = np.searchsorted(row, np.arange(batch.num_rows + 1))
-        spans = [(a, min(b, a + LINES)) for a, b in zip(at[:-1], at[1:])]
-        columns = [batch["doc_id"], batch["quality"]] + [pa.array([x[a:b].astype(np.float64).tobytes() for a, b in spans], pa.binary()) for x in (size, own)]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "quality", "size", "own"])
+        spans = list(zip(at[:-1], at[1:]))
+        columns = [batch["doc_id"], batch["quality"], pa.array(np.diff(at), pa.int64())]
+        columns += [pa.array([x[a:b].astype(np.float64).tobytes() for a, b in spans], pa.binary()) for x in (size, own)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "quality", "lines", "size", "own"])
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", learn: Column | None = None) -> Model:
-    """The model from labelled documents; ``learn`` says which ids may be learned from."""
+def train(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", learn: Column | None = None,
+    most_docs: int = DOCS, most_lines: int = LINES,
+) -> Model:
+    """The model from labelled documents; ``learn`` says which ids may be learned from.
+
+    ``most_docs`` and ``most_lines`` bound what the driver receives and fits.
+    """
     ship(docs.sparkSession)
     usable = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL")
     usable = (usable.filter(learn) if learn is not None else usable).groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
-    usable = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(DOCS)
+    usable = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    lines = texts.join(F.broadcast(usable), "doc_id").mapInArrow(sample_lines, "doc_id long, quality int, size binary, own binary")
-    rows = sorted(lines.dropDuplicates(["doc_id"]).collect(), key=lambda r: r.doc_id)
+    lines = texts.join(F.broadcast(usable), "doc_id").mapInArrow(sample_lines, "doc_id long, quality int, lines long, size binary, own binary")
+    short = staged(lines.filter(F.col("lines") <= max(1, most_lines // 4)).dropDuplicates(["doc_id"]), shared_folder(docs.sparkSession), "lines")
+    upto = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    chosen = short.select("doc_id", F.sum("lines").over(upto).alias("upto")).filter(F.col("upto") <= most_lines)  # most_docs rows
+    rows = sorted(short.join(F.broadcast(chosen), "doc_id").collect(), key=lambda r: r.doc_id)
     documents = [(np.frombuffer(r.size), np.frombuffer(r.own).reshape(-1, WIDTH)) for r in rows]
     return fitted(documents, np.array([r.quality > 0 for r in rows], int))
 
