@@ -13,8 +13,8 @@ before w in the same way and falls back to the uniform 1 / (V + 1). D are the th
 g(c) what the discounts leave over. After an unseen c it is P(w).
 
 Results. One row per input row. A null or blank text has one token, the end. Words are 64-bit hashes; a pair is
-known by 40 bits of either word, and found by 48 bits of its hash beside the shard number, so that a
-pair may be taken for another about once in a million unseen pairs. A null id is held out. With no training
+known by 40 bits of either word, and found by all 64 bits of its hash, so that an unseen pair is taken for
+a seen one about once in 2^64 / (pairs of a shard) lookups. A null id is held out. With no training
 text the probabilities are uniform. Repeated rows count as often as they come. An empty table gives no rows; extra columns
 are not read. Shards need a shared folder that is mounted on all hosts.
 """
@@ -193,7 +193,7 @@ def map_arrays(path: str, types: list[str]) -> list[np.ndarray]:
     return arrays
 
 
-PAIR_ARRAYS = ["<u4", "u1", "u1", "<u8", "<u8", "<u8", "<u8", "<u4", "<u4", "<u4"]
+PAIR_ARRAYS = ["<u8", "u1", "<u8", "<u8", "<u8", "<u8", "<u4", "<u4", "<u4"]
 WORD_ARRAYS = ["<u8", "<u8", "<u8"]
 FACTS = ["kind", "shard", "types", "total", "c1", "c2", "c3", "c4", "data"]
 
@@ -212,7 +212,7 @@ def pair_shards(folder: str, shards: int):
             hashes, own = hashes[order], counts[order]
             small, large, values = with_large(own)
             write_arrays(f"{folder}/pairs/{shard:06d}", [
-                (hashes >> np.uint64(32)).astype("<u4"), (hashes >> np.uint64(24)).astype(np.uint8), small, large, values,
+                hashes, small, large, values,
                 contexts, total.astype("<u8"), *[s.astype("<u4") for s in seen],
             ])
             rows = [(1, shard, len(counts), int(counts.sum()), *of_counts(counts), None)]
@@ -305,25 +305,20 @@ class Model:
             found = self.arrays("pairs", shard, PAIR_ARRAYS)
             if not found:
                 continue
-            high, check, small, large, values, contexts, total, *seen = found
+            known, small, large, values, contexts, total, *seen = found
             hashes = pair_hash(before[own], now[own])
             order = np.argsort(hashes)
-            wanted = (hashes[order] >> np.uint64(32)).astype("<u4")
-            low = (hashes[order] >> np.uint64(24)).astype(np.uint8)
-            at = np.searchsorted(high, wanted)
-            count = np.zeros(len(own))
-            for step in range(4):  # pairs with the same 32 bits are neighbours
-                place = np.minimum(at + step, len(high) - 1)
-                hit = (high[place] == wanted) & (check[place] == low) & (count == 0)
-                count[hit] = small[place[hit]]
-                big = np.flatnonzero(hit & (count == LARGE))
-                if len(big):
-                    count[big] = values[np.searchsorted(large, place[big])]
+            place = np.minimum(np.searchsorted(known, hashes[order]), len(known) - 1)
+            hit = known[place] == hashes[order]
+            count = small[place] * hit.astype(float)
+            big = np.flatnonzero(count == LARGE)
+            if len(big):
+                count[big] = values[np.searchsorted(large, place[big])]
             counts[own[order]] = count
             at = np.minimum(np.searchsorted(contexts, before[own]), len(contexts) - 1)
-            known = contexts[at] == before[own]
-            totals[own] = total[at] * known
-            rest[own] = sum(d * s[at] for d, s in zip(self.of_pair[1:], seen)) * known
+            met = contexts[at] == before[own]
+            totals[own] = total[at] * met
+            rest[own] = sum(d * s[at] for d, s in zip(self.of_pair[1:], seen)) * met
         return counts, totals, rest
 
     def scored(self, before: np.ndarray, now: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
