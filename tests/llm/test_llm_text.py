@@ -333,3 +333,91 @@ def test_language_model(spark, odd, nothing):
     assert ngram_model.language_scores(nothing, learn).count() == 0
     untrained = ngram_model.language_scores(df.limit(3), F.lit(False)).collect()
     assert all(math.isclose(r.score, 0, abs_tol=1e-9) and r.n_known == 0 for r in untrained)
+
+
+def test_ids_wider_than_two_bytes(spark, tmp_path):
+    """A vocabulary of more than 65,536 ids: they come back whole, and two bytes are refused."""
+    import json
+    import zlib
+    from array import array
+
+
+    from surveyqa.llm.token_files import width_of
+
+    source = public_tokenizers.path("word_bpe_49k.json")
+    model = json.load(open(source, encoding="utf-8"))
+    moved = {entry: number + 30_000 if number >= 1000 else number for entry, number in model["model"]["vocab"].items()}
+    model["model"]["vocab"] = moved
+    model["added_tokens"] = [t | {"id": t["id"] + 30_000} for t in model["added_tokens"]]
+    path = str(tmp_path / "wide.json")
+    json.dump(model, open(path, "w", encoding="utf-8"))
+    assert width_of(path, 2) == 4 and width_of(source, 2) == 2 and width_of(source, 70_000) == 4
+    docs = spark.createDataFrame([(k, f"certain words of number{k} unrelated extraordinarily") for k in range(30)], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        write_tokens(docs, f"{tmp_path}/no", path, width=2)
+    found = {r.doc_id: r for r in read_tokens(write_tokens(docs, f"{tmp_path}/files", path), f"{tmp_path}/files").collect()}
+    encode = Tokenizer.from_file(path)
+    for r in docs.collect():
+        ids = encode.encode(r.text, add_special_tokens=False).ids + [2]
+        assert (found[r.doc_id].n_tokens, found[r.doc_id].ids_crc32) == (len(ids), zlib.crc32(array("I", ids).tobytes()))
+    assert max(encode.encode(docs.first().text, add_special_tokens=False).ids) > 65_535
+
+
+def test_fences_are_quantiles_of_the_sketches(spark):
+    """Against exact quantiles of each group, its language and everything, within the sketch's error."""
+    from surveyqa.llm import quality_rules as rules
+
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(1500):
+        lang, source = ("en", "de", None)[k % 3], ("a", "b")[k % 2] if k % 5 else None
+        n = int(rng.integers(20, 400))
+        some = lambda p: int(rng.binomial(n, p)) if rng.random() < p * 5 else 0
+        rows.append((k, lang, source, n, 5 * n, some(0.1), some(0.2), int(rng.integers(1, 30)), int(rng.integers(0, 2)), some(0.05)))
+    schema = "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in rules.COUNTS)
+    table = spark.createDataFrame(rows, schema)
+    found = {(r.lang, r.source): r for r in rules.fences(table).collect()}
+    values = {"symbols": lambda r: r[5] / r[4], "capitals": lambda r: r[6] / r[4], "lines": lambda r: r[8] / r[7], "repeats": lambda r: r[9] / r[3]}
+    passing = [r for r in rows if not (r[3] < 10 or 100 * r[9] > 20 * r[3])]
+
+    def level(own, value):
+        some = sorted(v for v in map(value, own) if v > 0)
+        return (some[math.ceil(rules.UPPER * len(some) - 1e-9) - 1] * len(some) / len(own), len(own)) if some else (0.0, len(own))
+
+    for (lang, source), fence in found.items():
+        for ratio, value in values.items():
+            own, of_lang, every = (level([r for r in passing if keep(r)], value) for keep in (
+                lambda r: r[1] == lang and r[2] == source, lambda r: r[1] == lang, lambda r: True))  # noqa: B023
+            behind = (of_lang[1] * of_lang[0] + rules.PRIOR * every[0]) / (of_lang[1] + rules.PRIOR)
+            exact = rules.FENCE * (own[1] * own[0] + rules.PRIOR * behind) / (own[1] + rules.PRIOR)
+            assert math.isclose(fence[f"max_{ratio}"], exact, rel_tol=1.1 * rules.ERROR), (lang, source, ratio)
+    assert len(found) == 9
+
+
+def test_labelled_texts_are_learned_from_whole(spark):
+    """What tells texts apart lies behind a thousand lines; one text is too long to learn from and is scored."""
+    plain = [f"a sentence of words follows line {j} here" for j in range(1000)]
+    good, bad = "\n".join([*plain, *["and it ends well with words again"] * 400]), "\n".join([*plain, *["X!! $$$ *** | | $$$"] * 400])
+    docs = spark.createDataFrame([(k, good if k % 2 else bad) for k in range(24)] + [(99, "\n".join([bad] * 9))], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(16)] + [(99, 1)], "doc_id long, quality int")
+    model = quality_crf.train(docs, labels, most_lines=48_000)
+    found = {r.doc_id: r.quality_score for r in quality_crf.scored(docs, model).collect()}
+    assert all((found[k] > 0.5) == (k % 2 == 1) for k in range(24)) and 0 <= found[99] <= 1
+    few = quality_crf.train(docs, labels, most_lines=6000)  # four whole texts at most
+    assert few.prior is not None or len(few.weights)
+
+
+def test_pairs_that_share_their_high_bits_are_told_apart(tmp_path, monkeypatch):
+    """Nine pairs with the same high 32 bits of their hash; unseen ones beside them stay unseen."""
+    kept = ngram_model.pair_hash
+    monkeypatch.setattr(ngram_model, "pair_hash", lambda b, n: kept(b, n) & np.uint64(0xFFFFFFFF) | np.uint64(7 << 32))
+    before = np.full(9, 5, np.uint64)
+    now, counts = np.arange(9, dtype=np.uint64) + np.uint64(100), np.arange(9) * 40 + 1
+    columns = [c.astype(np.uint64) for c in (before, now, counts)]
+    batch = ngram_model.packed_batch([(1, 0, 9, ngram_model.pack(list(zip(columns, ngram_model.SIZES[1]))))])
+    facts = list(ngram_model.pair_shards(str(tmp_path), 1)(iter([batch])))
+    assert facts[0]["types"][0].as_py() == 9
+    model = ngram_model.Model(str(tmp_path), 1, {})
+    wanted = np.concatenate([now, np.arange(20, dtype=np.uint64) + np.uint64(500)])
+    found, totals, _ = model.pairs(np.full(len(wanted), 5, np.uint64), wanted)
+    assert found.tolist() == [*counts.tolist(), *[0] * 20] and (totals == counts.sum()).all()
