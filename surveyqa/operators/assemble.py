@@ -15,6 +15,9 @@ from surveyqa.operators.conditions import ConditionError
 
 TableKey = tuple[str, str]
 
+#: Column of a bucketed snapshot's household tables: what their case says of its deletion.
+CASE_MARK = "_CASE_DELETED"
+
 
 @dataclass(frozen=True)
 class SurveyTables:
@@ -186,8 +189,8 @@ def control_part(tables: SurveyTables, key: TableKey, columns: Sequence[str], st
 
 def live_households(tables: SurveyTables, level: DataFrame, survey_round: str) -> DataFrame:
     """Households whose case is not deleted, by the cases or by the mark a bucketed snapshot puts on them."""
-    if fv.DELETED in tables.columns((fv.HOUSEHOLD_TABLE, survey_round)):
-        return level.filter(f"{fv.DELETED} = 0").drop(fv.DELETED)
+    if CASE_MARK in tables.columns((fv.HOUSEHOLD_TABLE, survey_round)):
+        return level.filter(f"{CASE_MARK} = 0").drop(CASE_MARK)
     return live_cases(level, tables.tables[(fv.CASES_TABLE, survey_round)])
 
 
@@ -216,7 +219,7 @@ def household_base(tables: SurveyTables, rounds: Sequence[str], start: str | Non
     dates = [fv.START_DATE[r] for r in rounds]
     wanted = [fv.INTERVIEWER, *fv.CARTOGRAPHY, *dates, state]
     own = {key: [c for c in wanted if provider[c] == key] for key in (base_key, *control)}
-    marks = [fv.DELETED] if fv.DELETED in tables.columns(base_key) else [fv.CASE_KEY]
+    marks = [CASE_MARK] if CASE_MARK in tables.columns(base_key) else [fv.CASE_KEY]
     level = tables.tables[base_key].selectExpr(*[f"`{c}`" for c in dict.fromkeys([fv.HOUSEHOLD_KEY, *marks, *own[base_key]])])
     for key in control:
         level = level.join(control_part(tables, key, own[key], start, end), fv.HOUSEHOLD_KEY)
@@ -318,11 +321,11 @@ def assemble(
     wanted = dict.fromkeys([*fv.CARTOGRAPHY, fv.INTERVIEWER, *variables])
     status = [c for c in (fv.PERSON_STATUS, *fv.STATE.values()) if c in provider]
     dates = [fv.START_DATE[r] for r in rounds]
-    marked = fv.DELETED in tables.columns(base_key)
+    marked = CASE_MARK in tables.columns(base_key)
 
     def part(key: TableKey) -> DataFrame:
         own = [c for c, owner in provider.items() if owner == key]
-        keys = [fv.HOUSEHOLD_KEY] + ([fv.DELETED if marked else fv.CASE_KEY] if key == base_key else [])
+        keys = [fv.HOUSEHOLD_KEY] + ([CASE_MARK if marked else fv.CASE_KEY] if key == base_key else [])
         if len(person_keys) > 1 and fv.PERSON in tables.columns(key):
             keys.append(fv.PERSON)
         used = [c for c in own if c in wanted or c in status or c in dates or c == fv.PERSON]

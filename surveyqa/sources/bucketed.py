@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from surveyqa import fixed_values as fv
 from surveyqa.functions.columns import upper_columns
-from surveyqa.operators.assemble import SurveyTables, TableKey
+from surveyqa.operators.assemble import CASE_MARK, SurveyTables, TableKey
 from surveyqa.session import staged
 from surveyqa.sources.snapshots import table_path
 
@@ -35,10 +35,10 @@ class Halves(NamedTuple):
 def with_marks(tables: SurveyTables, key: TableKey) -> DataFrame:
     """A table as it is stored; households with the mark of their case, NULL where they have none."""
     df = tables.tables[key]
-    if key[0] != fv.HOUSEHOLD_TABLE or fv.DELETED in df.columns:
+    if key[0] != fv.HOUSEHOLD_TABLE or CASE_MARK in df.columns:
         return df
-    cases = tables.tables[(fv.CASES_TABLE, key[1])].selectExpr(f"{fv.CASE_TABLE_KEY} AS `{fv.CASE_KEY}`", fv.DELETED)
-    return df.join(cases, fv.CASE_KEY, "left").select(*[F.col(f"`{c}`") for c in df.columns], fv.DELETED)
+    cases = tables.tables[(fv.CASES_TABLE, key[1])].selectExpr(f"{fv.CASE_TABLE_KEY} AS `{fv.CASE_KEY}`", f"{fv.DELETED} AS {CASE_MARK}")
+    return df.join(cases, fv.CASE_KEY, "left").select(*[F.col(f"`{c}`") for c in df.columns], CASE_MARK)
 
 
 def large_households(tables: SurveyTables, buckets: int) -> DataFrame:
