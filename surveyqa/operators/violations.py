@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from surveyqa.operators.conditions import Condition
 
@@ -15,6 +16,11 @@ WORD = 60
 # 8 KB, and a step much larger than this outgrows that and runs many times slower.
 STEP_COMPARISONS = 24
 STEP_TESTS = 120
+# Sheets of more rules are tested once for each pattern of comparisons that rows have, and not once a row.
+MANY = 480
+# Rules alike but for their comparisons are rows of a table then: the shapes of at least ALIKE rules and at most
+# SHAPE_ATOMS comparisons, SHAPES of them. The others are tested in plan steps.
+ALIKE, SHAPE_ATOMS, SHAPES = 16, 16, 32
 
 
 @dataclass(frozen=True)
@@ -77,16 +83,21 @@ def bit_words(
     return df, words
 
 
-def rule_words(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """The kept columns and one flag per rule, packed in words, over a single scan of the base.
+def comparison_words(base: DataFrame, numbers: dict[str, int], keep: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The kept columns and one bit per distinct comparison, over a single scan of the base."""
+    df, bits = bit_words(base, base.columns, [(atom, 1) for atom in numbers], "_c", STEP_COMPARISONS)
+    return df.selectExpr(*_quoted(keep), *bits), bits
+
 
-    First every distinct comparison sets its bit, then rules test bits: a sheet of thousands of rules has
-    far fewer different comparisons, and a test of a bit costs a fraction of a comparison. A comparison with
-    NULL sets no bit, which is what connectives without a truth value of their own make of it.
+def rule_words(
+    df: DataFrame, predicates: Sequence[Predicate], numbers: dict[str, int], bits: Sequence[str], keep: Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """The kept columns and one flag per rule, packed in words, from the bits of the comparisons.
+
+    A sheet of thousands of rules has far fewer different comparisons, and a test of a bit costs a fraction of a
+    comparison. A comparison with NULL sets no bit, which is what connectives without a truth value of their own
+    make of it.
     """
-    numbers = distinct_comparisons(predicates)
-    df, bits = bit_words(base, base.columns, [(atom, 1) for atom in numbers], "_c", STEP_COMPARISONS)
-    df = df.selectExpr(*_quoted(keep), *bits)
 
     def tested(predicate: Predicate) -> tuple[str, int]:
         atoms, template = predicate.program()
@@ -99,24 +110,35 @@ def rule_words(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[
 
         return " ".join(map(test, template)), len(atoms)
 
-    return bit_words(df, [*keep, *bits], [tested(p) for p in predicates], "_w", STEP_TESTS)
+    carried = list(dict.fromkeys([*keep, *bits]))
+    return bit_words(df, carried, [tested(p) for p in predicates], "_w", STEP_TESTS)
 
 
 #: A row's flags: the number of the word and its bits.
 FLAG_COLUMNS = ("_word", "_flags")
 
 
+def narrowed(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
+    """The columns that the rules or the result need."""
+    used = dict.fromkeys(keep) | dict.fromkeys(v for p in predicates for v in p.variables)
+    return base.selectExpr(*_quoted([c for c in base.columns if c in used])) if all(p.variables for p in predicates) else base
+
+
+def words_of_rows(flagged: DataFrame, words: Sequence[str], keep: Sequence[str], first: int = 0) -> DataFrame:
+    """A row for each word with a bit set: the kept columns and flags."""
+    broken = flagged.filter(" OR ".join(f"{word} <> 0L" for word in words))
+    rows = broken.selectExpr(*_quoted(keep), f"posexplode(array({', '.join(words)})) AS (_word, _flags)")
+    return rows.filter("_flags <> 0L").selectExpr(*_quoted(keep), f"_word + {first} AS _word", "_flags")
+
+
 def flagged_rows(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str], first: int = 0) -> DataFrame:
     """Rows that break some rule, a row for each word with a bit set: the kept columns and flags.
 
     Words are numbered from ``first``, so that rows of several bases can share a list of rules.
     """
-    used = dict.fromkeys(keep) | dict.fromkeys(v for p in predicates for v in p.variables)
-    narrow = base.selectExpr(*_quoted([c for c in base.columns if c in used])) if all(p.variables for p in predicates) else base
-    flagged, words = rule_words(narrow, predicates, keep)
-    broken = flagged.filter(" OR ".join(f"{word} <> 0L" for word in words))
-    rows = broken.selectExpr(*_quoted(keep), f"posexplode(array({', '.join(words)})) AS (_word, _flags)")
-    return rows.filter("_flags <> 0L").selectExpr(*_quoted(keep), f"_word + {first} AS _word", "_flags")
+    numbers = distinct_comparisons(predicates)
+    df, bits = comparison_words(narrowed(base, predicates, keep), numbers, keep)
+    return words_of_rows(*rule_words(df, predicates, numbers, bits, keep), keep, first)
 
 
 def padded_ids(predicates: Sequence[Predicate]) -> list[int]:
@@ -134,6 +156,63 @@ def expand_flags(flagged: DataFrame, ids: Sequence[int], keep: Sequence[str]) ->
     )
 
 
+def common_shapes(predicates: Sequence[Predicate]) -> list[tuple[str | int, ...]]:
+    """What connects the comparisons of many rules, the most frequent first."""
+    counts: dict[tuple[str | int, ...], int] = {}
+    for predicate in predicates:
+        atoms, template = predicate.program()
+        if len(atoms) <= SHAPE_ATOMS:
+            counts[template] = counts.get(template, 0) + 1
+    return sorted((t for t, n in counts.items() if n >= ALIKE), key=lambda t: -counts[t])[:SHAPES]
+
+
+def rules_of_patterns(
+    patterns: DataFrame, bits: Sequence[str], predicates: Sequence[Predicate], numbers: dict[str, int],
+    shapes: Sequence[tuple[str | int, ...]],
+) -> DataFrame:
+    """The bits and ``rule_id`` of every pattern and rule of these shapes that holds for it.
+
+    Rules are rows with the places of their bits; a shape is one condition, whatever the number of its rules.
+    """
+    order = {shape: k for k, shape in enumerate(shapes)}
+    width = max(len(p.program()[0]) for p in predicates)
+    rows = []
+    for predicate in predicates:
+        atoms, template = predicate.program()
+        places = [divmod(numbers[atom], WORD) for atom in atoms]
+        rows.append((predicate.rule_id, order[template], *[x for place in places for x in place], *[0] * 2 * (width - len(places))))
+    columns = ", ".join(f"_at{k} int, _bit{k} int" for k in range(width))
+    kind = "int" if all(abs(p.rule_id) < 1 << 31 for p in predicates) else "long"
+    rules = patterns.sparkSession.createDataFrame(rows, f"rule_id {kind}, _shape int, {columns}")
+
+    def holds(shape: tuple[str | int, ...]) -> str:
+        return " ".join(x if isinstance(x, str) else f"(shiftright(_bits[_at{x}], _bit{x}) & 1L) <> 0L" for x in shape)
+
+    condition = F.expr(" OR ".join(f"(_shape = {k} AND ({holds(shape)}))" for shape, k in order.items()))
+    met = patterns.selectExpr(*bits, f"array({', '.join(bits)}) AS _bits").join(F.broadcast(rules), condition)
+    return met.selectExpr(*bits, "rule_id")
+
+
+def evaluate_patterns(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
+    """``evaluate``, the rules tested once for each pattern of comparisons; rows meet the rules of their pattern.
+
+    The cost of the rules no longer grows with the rows where rows share patterns, as answers from lists do.
+    """
+    numbers = distinct_comparisons(predicates)
+    rows, bits = comparison_words(narrowed(base, predicates, keep), numbers, keep)
+    patterns = rows.selectExpr(*bits).distinct()
+    shapes = common_shapes(predicates)
+    alike = [p for p in predicates if p.program()[1] in shapes and len(p.program()[0]) <= SHAPE_ATOMS]
+    others = [p for p in predicates if p.program()[1] not in shapes or len(p.program()[0]) > SHAPE_ATOMS]
+    found = rules_of_patterns(patterns, bits, alike, numbers, shapes) if alike else None
+    if others:
+        flagged = words_of_rows(*rule_words(patterns, others, numbers, bits, bits), bits)
+        apart = expand_flags(flagged, padded_ids(others), bits)
+        found = apart if found is None else found.unionByName(apart)
+    ruled = found.groupBy(*bits).agg(F.collect_list("rule_id").alias("_rules"))
+    return rows.join(ruled, bits).selectExpr(*_quoted(keep), "explode(_rules) AS rule_id")
+
+
 def evaluate(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
     """``keep`` and ``rule_id`` for every base row and rule that holds for it.
 
@@ -141,4 +220,6 @@ def evaluate(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[st
     """
     if not predicates:
         return base.selectExpr(*_quoted(keep), "0 AS rule_id").limit(0)
+    if len(predicates) > MANY and not base.isStreaming:
+        return evaluate_patterns(base, predicates, keep)
     return expand_flags(flagged_rows(base, predicates, keep), padded_ids(predicates), keep)
