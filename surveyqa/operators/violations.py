@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveyqa.operators.conditions import Condition
 
@@ -16,10 +17,10 @@ WORD = 60
 # 8 KB, and a step much larger than this outgrows that and runs many times slower.
 STEP_COMPARISONS = 24
 STEP_TESTS = 120
-# Sheets of more rules are tested once for each pattern of comparisons that rows have, and not once a row.
+# Sheets of more rules are tested once for rows that are alike in all comparisons and kept columns, and not once a row.
 MANY = 480
 # Rules alike but for their comparisons are rows of a table then: the shapes of at least ALIKE rules and at most
-# SHAPE_ATOMS comparisons, SHAPES of them. The others are tested in plan steps.
+# SHAPE_ATOMS comparisons, SHAPES of them. The others are tested in plan steps as well.
 ALIKE, SHAPE_ATOMS, SHAPES = 16, 16, 32
 
 
@@ -166,51 +167,56 @@ def common_shapes(predicates: Sequence[Predicate]) -> list[tuple[str | int, ...]
     return sorted((t for t, n in counts.items() if n >= ALIKE), key=lambda t: -counts[t])[:SHAPES]
 
 
-def rules_of_patterns(
-    patterns: DataFrame, bits: Sequence[str], predicates: Sequence[Predicate], numbers: dict[str, int],
-    shapes: Sequence[tuple[str | int, ...]],
-) -> DataFrame:
-    """The bits and ``rule_id`` of every pattern and rule of these shapes that holds for it.
+def can_group(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether values that are grouped as equal are the same: zeros, collated texts and nested values may not be."""
+    exact = (T.IntegralType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
+    return all(isinstance(t, exact) or t == T.StringType() for t in (df.schema[c].dataType for c in columns))
 
-    Rules are rows with the places of their bits; a shape is one condition, whatever the number of its rules.
+
+def evaluate_patterns(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
+    """``evaluate`` for large sheets, in one scan: equal rows are tested once, rules alike are rows of a table.
+
+    Rows with the same kept columns and the same bits are counted before the rules are tested, so that their cost
+    no longer grows with the rows where rows are alike. Rules meet them in one join: a rule says where its bits are,
+    a shape is one condition. Rules of rare shapes are tested in plan steps first, and are a bit of their own.
     """
-    order = {shape: k for k, shape in enumerate(shapes)}
-    width = max(len(p.program()[0]) for p in predicates)
-    rows = []
+    numbers = distinct_comparisons(predicates)
+    rows, words = comparison_words(narrowed(base, predicates, keep), numbers, keep)
+    kept = [*keep]
+    if grouped := can_group(rows, keep):
+        # Groups of more than a thousand rows are several, so that no task has to give all rows of a large one.
+        rows = rows.groupBy(*_quoted(keep), *words).agg(F.count("*").alias("_all"))
+        rows = rows.selectExpr(*_quoted(keep), *words, "_all", "explode(sequence(0L, (_all - 1) div 1000)) AS _part")
+        rows = rows.selectExpr(*_quoted(keep), *words, "least(1000L, _all - 1000 * _part) AS _times")
+        rows = rows.repartition(int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        kept.append("_times")
+    shapes = {shape: k for k, shape in enumerate(common_shapes(predicates))}
+    apart = [p for p in predicates if p.program()[1] not in shapes]
+    placed = {id(p): (0, [(len(words) + k // WORD, k % WORD)]) for k, p in enumerate(apart)}
+    if apart:
+        rows, own = rule_words(rows, apart, numbers, words, [*kept, *words])
+        words = [*words, *own]
     for predicate in predicates:
         atoms, template = predicate.program()
-        places = [divmod(numbers[atom], WORD) for atom in atoms]
-        rows.append((predicate.rule_id, order[template], *[x for place in places for x in place], *[0] * 2 * (width - len(places))))
-    columns = ", ".join(f"_at{k} int, _bit{k} int" for k in range(width))
+        if template in shapes:
+            placed[id(predicate)] = 1 + shapes[template], [divmod(numbers[atom], WORD) for atom in atoms]
+    width = max(len(places) for _, places in placed.values())
+    sheet = []
+    for predicate in predicates:
+        shape, places = placed[id(predicate)]
+        sheet.append((predicate.rule_id, shape, *[x for place in [*places, *[(0, 0)] * (width - len(places))] for x in place]))
     kind = "int" if all(abs(p.rule_id) < 1 << 31 for p in predicates) else "long"
-    rules = patterns.sparkSession.createDataFrame(rows, f"rule_id {kind}, _shape int, {columns}")
+    columns = ", ".join(f"_at{k} int, _bit{k} int" for k in range(width))
+    rules = base.sparkSession.createDataFrame(sheet, f"rule_id {kind} NOT NULL, _shape int, {columns}")
 
     def holds(shape: tuple[str | int, ...]) -> str:
         return " ".join(x if isinstance(x, str) else f"(shiftright(_bits[_at{x}], _bit{x}) & 1L) <> 0L" for x in shape)
 
-    condition = F.expr(" OR ".join(f"(_shape = {k} AND ({holds(shape)}))" for shape, k in order.items()))
-    met = patterns.selectExpr(*bits, f"array({', '.join(bits)}) AS _bits").join(F.broadcast(rules), condition)
-    return met.selectExpr(*bits, "rule_id")
-
-
-def evaluate_patterns(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:
-    """``evaluate``, the rules tested once for each pattern of comparisons; rows meet the rules of their pattern.
-
-    The cost of the rules no longer grows with the rows where rows share patterns, as answers from lists do.
-    """
-    numbers = distinct_comparisons(predicates)
-    rows, bits = comparison_words(narrowed(base, predicates, keep), numbers, keep)
-    patterns = rows.selectExpr(*bits).distinct()
-    shapes = common_shapes(predicates)
-    alike = [p for p in predicates if p.program()[1] in shapes and len(p.program()[0]) <= SHAPE_ATOMS]
-    others = [p for p in predicates if p.program()[1] not in shapes or len(p.program()[0]) > SHAPE_ATOMS]
-    found = rules_of_patterns(patterns, bits, alike, numbers, shapes) if alike else None
-    if others:
-        flagged = words_of_rows(*rule_words(patterns, others, numbers, bits, bits), bits)
-        apart = expand_flags(flagged, padded_ids(others), bits)
-        found = apart if found is None else found.unionByName(apart)
-    ruled = found.groupBy(*bits).agg(F.collect_list("rule_id").alias("_rules"))
-    return rows.join(ruled, bits).selectExpr(*_quoted(keep), "explode(_rules) AS rule_id")
+    condition = " OR ".join(f"(_shape = {k} AND ({holds(shape)}))" for k, shape in enumerate([(0,), *shapes]))
+    met = rows.selectExpr(*_quoted(kept), f"array({', '.join(words)}) AS _bits").join(F.broadcast(rules), F.expr(condition))
+    if grouped:
+        met = met.selectExpr(*_quoted(keep), "rule_id", "explode(sequence(1L, _times)) AS _n")
+    return met.selectExpr(*_quoted(keep), "rule_id")
 
 
 def evaluate(base: DataFrame, predicates: Sequence[Predicate], keep: Sequence[str]) -> DataFrame:

@@ -1,5 +1,6 @@
 """Sheets of thousands of rules, and what corrections leave on disk."""
 
+import pytest
 from survey_helpers import rows
 
 from surveyqa.operators import violations
@@ -15,13 +16,16 @@ def sheet_of(frame, count):
     return [Predicate.of(10 * k + 1, compile_condition(t, types)) for k, t in enumerate(texts)]
 
 
-def test_many_rules_are_tested_once_a_pattern(spark, monkeypatch):
-    data = [(k, None if k % 11 == 0 else k % 45, k % 8, (None, "", "x", "y")[k % 4]) for k in range(100)] * 2 + [(None, None, None, None)] * 2
-    frame = spark.createDataFrame(data, "n int, A int, B int, T string")
+@pytest.mark.parametrize("real", [False, True])
+def test_many_rules_are_tested_once_for_rows_alike(spark, monkeypatch, real):
+    """Each of 1,102 equal rows counts; rows kept with a double are not grouped."""
+    data = [(k, None if k % 11 == 0 else k % 45, k % 8, (None, "", "x", "y")[k % 4]) for k in range(100)] * 2 + [(7, 44, 2, "z")] * (2 if real else 1102) + [(None, None, None, None)] * 2
+    frame = spark.createDataFrame(data, "n int, A int, B int, T string").selectExpr("*", "n * 0.5D AS real")
     predicates = sheet_of(frame, 500)
-    found = evaluate(frame, predicates, ["n"])
+    keep = ["T", "real"] if real else ["T"]
+    found = evaluate(frame, predicates, keep)
     monkeypatch.setattr(violations, "MANY", 10_000)
-    plain = evaluate(frame, predicates, ["n"])
+    plain = evaluate(frame, predicates, keep)
     assert found.schema == plain.schema and rows(found) == rows(plain) and found.count() > 1_000
 
 
