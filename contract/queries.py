@@ -558,26 +558,28 @@ def split_list_query(spark, sf_dir):
     )
 
 
+CORRECTION = (
+    "l_orderkey % 22 + 1 AS depto", "l_orderkey % 17 + 1 AS mupio",
+    "l_orderkey div 1000 AS estructura", "l_orderkey % 1000 AS vivienda",
+    "l_orderkey % 3 + 1 AS hogar",
+    "CASE WHEN l_quantity = 49 THEN NULL ELSE CAST(l_linenumber AS BIGINT) END AS cp",
+    "CASE WHEN l_returnflag = 'A' THEN 'personas.ppa03' WHEN l_returnflag = 'R'"
+    " THEN 'personas.p10a01' WHEN l_linestatus = 'F' THEN 'vivienda.p01h10' END AS variable",
+    "CASE WHEN l_linenumber = 6 THEN NULL WHEN l_returnflag = 'R' THEN 'O''Neil ' || l_suppkey"
+    " ELSE CAST(l_suppkey % 90 AS STRING) END AS `valor nuevo`",
+    "l_partkey * 100 + l_suppkey % 100 AS seq",
+)
+
+
 def corrections(spark, sf_dir):
     """A correction for each line; some for a whole household, some unusable."""
-    return given(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey % 22 + 1 AS depto", "l_orderkey % 17 + 1 AS mupio",
-        "l_orderkey div 1000 AS estructura", "l_orderkey % 1000 AS vivienda",
-        "l_orderkey % 3 + 1 AS hogar",
-        "CASE WHEN l_quantity = 49 THEN NULL ELSE CAST(l_linenumber AS BIGINT) END AS cp",
-        "CASE WHEN l_returnflag = 'A' THEN 'personas.ppa03' WHEN l_returnflag = 'R'"
-        " THEN 'personas.p10a01' WHEN l_linestatus = 'F' THEN 'vivienda.p01h10' END AS variable",
-        "CASE WHEN l_linenumber = 6 THEN NULL WHEN l_returnflag = 'R' THEN 'O''Neil ' || l_suppkey"
-        " ELSE CAST(l_suppkey % 90 AS STRING) END AS `valor nuevo`",
-        "l_partkey * 100 + l_suppkey % 100 AS seq", "l_orderkey AS household",
-    )
+    return given(spark, sf_dir, "lineitem").selectExpr(*CORRECTION, "l_orderkey AS household")
 
 
 def placed_corrections(spark, sf_dir):
-    sector = given(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey AS household", "o_custkey % 28 AS sector"
-    )
-    return corrections(spark, sf_dir).join(sector, "household").drop("household")
+    """Corrections with their sector; lines meet their orders as they are, shorter than the corrections made of them."""
+    sector = given(spark, sf_dir, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey % 28 AS sector")
+    return given(spark, sf_dir, "lineitem").join(sector, "l_orderkey").selectExpr(*CORRECTION, "sector")
 
 
 @query("corrections_clean")

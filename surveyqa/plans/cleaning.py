@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,10 +14,10 @@ from surveyqa import fixed_values as fv
 from surveyqa import schemas
 from surveyqa.operators.assemble import SurveyTables, TableKey, locate
 from surveyqa.operators.conditions import ConditionError
-from surveyqa.operators.corrections import apply_corrections, clean_corrections, corrections_sql, located_corrections
+from surveyqa.operators.corrections import apply_corrections, apply_located, clean_corrections, corrections_sql, located_corrections
 from surveyqa.operators.keys import marked
 from surveyqa.plans.validate import RoutedRule, filter_rule, route_all, rule_hits, rule_rows
-from surveyqa.session import staged_once
+from surveyqa.session import shared_place, shuffles_removed, staged, staged_once
 from surveyqa.sources.snapshots import PART, part_of, table_path
 
 PLACE = (*fv.CARTOGRAPHY, fv.PERSON)
@@ -120,7 +121,8 @@ def with_rounds(cleaned: DataFrame, catalog: DataFrame) -> DataFrame:
 
     The sheet's ``round`` says which round is meant; where it has none, the only round that holds the
     column. A column held in both rounds is ambiguous then, and its corrections have a NULL round, as those
-    of unknown columns.
+    of unknown columns. The catalog has a row per column and round and goes to every task; else all corrections
+    would be dealt by the few columns they name.
     """
     held = catalog.groupBy(F.lower("table").alias("tabla"), F.upper("variable").alias("columna")).agg(
         F.map_from_entries(F.collect_set(F.struct("round", "dtype"))).alias("_held")  # an entry per round
@@ -128,7 +130,7 @@ def with_rounds(cleaned: DataFrame, catalog: DataFrame) -> DataFrame:
     said = F.col("round") if "round" in cleaned.columns else F.lit(None).cast("string")
     only = F.when(F.size("_held") == 1, F.map_keys("_held")[0])
     return (
-        cleaned.withColumn("tabla", F.lower("tabla")).join(held, ["tabla", "columna"], "left")
+        cleaned.withColumn("tabla", F.lower("tabla")).join(F.broadcast(held), ["tabla", "columna"], "left")
         .withColumn("round", F.coalesce(said, only))
         .withColumn("dtype", F.try_element_at("_held", F.col("round")))
         .withColumns({"round": F.when(F.col("dtype").isNotNull(), F.col("round")), "_rounds": F.size("_held")})
@@ -137,11 +139,13 @@ def with_rounds(cleaned: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def with_latest(placed: DataFrame) -> DataFrame:
-    """Corrections with ``_late``: a later value was given for the same cell; ``_cp`` 0 is the whole household's."""
+    """Corrections with ``_late``: a later value was given for the same cell; ``_cp`` 0 is the whole household's.
+
+    Corrections that were joined by round and place lie together already, and are not dealt once more.
+    """
     cell = ["round", *[c.lower() for c in fv.CARTOGRAPHY], "_cp", "tabla", "columna"]
     given = F.struct("seq", F.col(f"`{fv.NEW_VALUE}`"))
-    latest = placed.groupBy(*cell).agg(F.max(given).alias("_latest"))
-    return placed.join(latest, cell, "left").withColumn("_late", F.coalesce(given < F.col("_latest"), F.lit(False))).drop("_latest")
+    return placed.withColumn("_late", given < F.max(given).over(Window.partitionBy(*cell)))
 
 
 def unknown_persons(tables: SurveyTables, placed: DataFrame) -> DataFrame:
@@ -170,15 +174,20 @@ def unused_corrections(tables: SurveyTables, corrections: DataFrame) -> DataFram
 
     A value is superseded if a later one was given for the same cell, or for a household as a whole. What
     was said of a whole household is listed as superseded by a later value for it, not by persons' own.
+    The steps are staged in the shared place, so that the shuffle of one is gone before that of the next.
     """
     spark = corrections.sparkSession
+    folder = f"{shared_place(spark)}/unused-{uuid.uuid4().hex}"
+    place = [c.lower() for c in fv.CARTOGRAPHY]
+    said_round = ["round"] if "round" in corrections.columns else []
+    needed = ["seq", "variable", fv.NEW_VALUE, *place, "cp", *said_round]
+    corrections = staged(corrections.select(*[F.col(f"`{c}`") for c in needed]), f"{folder}/sheet")
     kept = ["seq", "variable", fv.NEW_VALUE]
     usable = F.col("variable").contains(".") & F.col(f"`{fv.NEW_VALUE}`").isNotNull()
     missing = corrections.filter(~F.coalesce(usable, F.lit(False))).select(
         *[F.col(f"`{c}`") for c in kept], F.lit(UNUSED_REASONS[0]).alias("motivo")
     )
     placed = with_rounds(clean_corrections(corrections), tables.catalog(spark))
-    place = [c.lower() for c in fv.CARTOGRAPHY]
     places = None
     for survey_round in sorted({r for name, r in tables.tables if name == fv.HOUSEHOLD_TABLE}):
         own = tables.tables[(fv.HOUSEHOLD_TABLE, survey_round)].select(
@@ -195,10 +204,12 @@ def unused_corrections(tables: SurveyTables, corrections: DataFrame) -> DataFram
     for name, data_type in types.items():
         if not isinstance(data_type, (T.StringType, T.ArrayType, T.StructType, T.MapType)):
             unfit = unfit | ((F.col("dtype") == name) & value.try_cast(data_type).isNull())
-    located = unknown_persons(tables, with_latest(placed).join(places, ["round", *place], "left"))
+    met = placed.withColumn("_unfit", unfit).drop("cp", "dtype").join(places, ["round", *place], "left")
+    found = staged(with_latest(met).drop(*place, "columna"), f"{folder}/found")
+    located = staged(unknown_persons(tables, found), f"{folder}/located")
     reason = (
         F.when(F.col("_rounds").isNull(), 1).when(F.col("round").isNull(), 2).when(F.col(f"`{fv.HOUSEHOLD_KEY}`").isNull(), 3)
-        .when(unfit, 4).when(F.col("_nobody"), 5).when(F.col("_late"), 6).otherwise(0)
+        .when(F.col("_unfit"), 4).when(F.col("_nobody"), 5).when(F.col("_late"), 6).otherwise(0)
     )
     reasons = F.array(*[F.lit(r) for r in UNUSED_REASONS])
     rest = located.withColumn("_reason", reason).groupBy("_id", *[F.col(f"`{c}`") for c in kept]).agg(F.min("_reason").alias("_reason"))
@@ -252,13 +263,15 @@ def correct_snapshot(
     count = int(spark.read.text(f"{path}_parts").first()[0])
     names = [c for c in stored.columns if c != PART]
     own = of_round(tables, key, corrections)
-    located = located_corrections(own, households, key[0], columns)
-    parts = [r[0] for r in located.select(part_of(count).alias(PART)).distinct().collect()]  # at most as many as parts
+    located = staged(located_corrections(own, households, key[0], columns), f"{work_dir}/located")
+    with shuffles_removed(spark):
+        parts = [r[0] for r in located.select(part_of(count).alias(PART)).distinct().collect()]  # at most as many as parts
     touched = stored.filter(F.col(PART).isin(parts))
     record_keys = [c for c in (fv.HOUSEHOLD_KEY, fv.PERSON) if c in names]
-    corrected, audit = apply_corrections(touched.select(*[F.col(f"`{c}`") for c in names]), households, own, key[0], columns, record_keys, logged_at)
+    corrected, audit = apply_located(touched.select(*[F.col(f"`{c}`") for c in names]), located, key[0], columns, record_keys, logged_at)
     log = staged_once(audit, f"{work_dir}/log")
     rows = staged_once(corrected.withColumn(PART, part_of(count)), f"{work_dir}/rows")
     if parts:
-        rows.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+        with shuffles_removed(spark):
+            rows.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
     return log
