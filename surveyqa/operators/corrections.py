@@ -124,6 +124,14 @@ def apply_corrections(
     have a correction are shuffled; the others pass through, and the log never reads them.
     """
     located = located_corrections(cleaned, households, table_name, columns)
+    return apply_located(table, located, table_name, columns, record_keys, logged_at, filter_words)
+
+
+def apply_located(
+    table: DataFrame, located: DataFrame, table_name: str, columns: Sequence[str], record_keys: Sequence[str],
+    logged_at: Column | None = None, filter_words: int = FILTER_WORDS,
+) -> tuple[DataFrame, DataFrame]:
+    """``apply_corrections`` with the table's corrections as ``located_corrections`` gives them."""
     rows = marked(table, located, fv.HOUSEHOLD_KEY, filter_words)
     names = [F.col(f"`{c}`") for c in table.columns]
     joined, newest = with_newest(rows.filter("_may").select(*names), located, columns)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from surveyqa import fixed_values as fv
 from surveyqa.functions.columns import drop_index, nan_to_null, upper_columns
 from surveyqa.operators.assemble import SurveyTables
+from surveyqa.session import shuffles_removed
 
 
 def table_path(root: str, table: str, survey_round: str, commission: int | None = None) -> str:
@@ -40,7 +41,8 @@ def write_table(
         clean.write.mode("overwrite").parquet(path)
     else:
         dealt = clean.withColumn(PART, part_of(parts))
-        dealt.hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(path)
+        with shuffles_removed(df.sparkSession):
+            dealt.hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(path)
         df.sparkSession.createDataFrame([(str(parts),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}_parts")
     return path
 
